@@ -10,9 +10,11 @@ from pyspark.sql import Column, functions as F
 
 
 def round_half_up(col: Column) -> Column:
-    """Nearest whole number, halves toward plus infinity (SQL ``round`` takes them away from zero)."""
-    down = F.floor(col)
-    return F.when(col - down >= 0.5, down + 1).otherwise(down).cast("double")
+    """Nearest whole number, halves toward plus infinity (SQL ``round`` takes them away from zero).
+
+    Doubling is exact, so no value just below a half is rounded up by accident.
+    """
+    return F.ceil(F.floor(col * 2) / 2).cast("double")
 
 
 def bucket_nearest(col: Column, width: float = 10.0) -> Column:

@@ -95,9 +95,19 @@ def _one_pass(df: DataFrame, labels: Sequence[tuple], values: Sequence[Column],
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
+def correlation(left: str, right: str) -> Column:
+    """Pearson correlation over the rows that have both values; null where either never varies.
+
+    (The built-in ``corr`` ends the query with a division by zero there.)
+    """
+    x = F.when(F.col(right).isNotNull(), F.col(left))
+    y = F.when(F.col(left).isNotNull(), F.col(right))
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def correlation_report(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of ``target`` with each column: one job for all columns."""
-    result = _one_pass(df, [(c,) for c in cols], [F.corr(target, c) for c in cols], ["name"])
+    """Correlation of ``target`` with each column: one job for all columns."""
+    result = _one_pass(df, [(c,) for c in cols], [correlation(target, c) for c in cols], ["name"])
     return result.withColumnRenamed("value", "correlation")
 
 
@@ -123,6 +133,6 @@ def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction"
 
 
 def r_squared(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: 1 - squared error / squared deviation from the mean."""
-    error = F.avg((F.col(label) - F.col(prediction)) ** 2)
-    return df.agg((1 - error / F.var_pop(label)).alias("r2"))
+    """One row: 1 - squared error / squared deviation from the mean; null for a constant label."""
+    gap = F.col(label) - F.col(prediction)
+    return df.agg((1 - F.avg(gap * gap) / F.nullif(F.var_pop(label), F.lit(0.0))).alias("r2"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions import tokens
 from millrace.operators.joins import salted_join
 from millrace.operators.ordering import with_ordinal
+from millrace.operators.partitions import spread_small_input
 from millrace.workspace import materialize
 
 
@@ -70,7 +71,7 @@ def strings_of_index(df: DataFrame, index: DataFrame, col: str, source: str, sal
 
 def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
     """``doc``, ``term`` and its number of occurrences ``tf``; copies of a term merge before the shuffle."""
-    words = df.select(F.col(doc), F.explode(tokens(F.col(text))).alias("term"))
+    words = spread_small_input(df.select(doc, text)).select(F.col(doc), F.explode(tokens(F.col(text))).alias("term"))
     return words.groupBy(doc, "term").agg(F.count("*").alias("tf"))
 
 

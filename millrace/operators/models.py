@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions import tokens
 from millrace.operators.aggregates import accuracy
 from millrace.operators.features import assemble
+from millrace.operators.partitions import spread_small_input
+from millrace.sources import inline_table
 
 SEED = 42
 
@@ -35,7 +37,7 @@ def linear_terms(model: LinearRegressionModel, features: Sequence[str], df: Data
     """The fitted terms as rows ``name``, ``coefficient``; the intercept is named so."""
     terms = [("intercept", float(model.intercept))]
     terms += [(name, float(value)) for name, value in zip(features, model.coefficients)]
-    return df.sparkSession.createDataFrame(terms, "name string, coefficient double")
+    return inline_table(df.sparkSession, terms, "name string, coefficient double")
 
 
 def predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -92,7 +94,7 @@ def term_likelihoods(df: DataFrame, text: str, flag: str) -> DataFrame:
     Rows ``class``, ``term``, ``log_likelihood``, with smoothing 1 over the whole vocabulary. Each
     term is one row until the end, so unseen pairs need no cross join.
     """
-    words = df.select(F.col(flag), F.explode(tokens(F.col(text))).alias("term"))
+    words = spread_small_input(df.select(flag, text)).select(F.col(flag), F.explode(tokens(F.col(text))).alias("term"))
     per_term = words.groupBy("term").agg(
         F.count_if(F.col(flag) == 0).alias("zeros"), F.count_if(F.col(flag) == 1).alias("ones")
     )

@@ -15,6 +15,7 @@ from millrace.operators.models import (
     fit_ratings,
     fit_text_classifier,
 )
+from millrace.operators.partitions import spread_small_input
 from millrace.operators.sampling import split_by_key
 from millrace.plans.registry import Tables, query
 from millrace.workspace import materialize
@@ -44,7 +45,8 @@ def random_forest(t: Tables) -> DataFrame:
 @query("decision_tree")
 def decision_tree(t: Tables) -> DataFrame:
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    rows = assemble(t.lineitem, features).select("l_orderkey", "l_returnflag", "features")
+    lines = spread_small_input(t.lineitem.select("l_orderkey", "l_returnflag", *features))
+    rows = assemble(lines, features).select("l_orderkey", "l_returnflag", "features")
     train, test = split_by_key(rows, "l_orderkey", 0.7)
     model = fit_classifier(train, DecisionTreeClassifier(labelCol="label_index", seed=SEED), "l_returnflag")
     return confusion_matrix(model.transform(test), "l_returnflag", "predicted")
@@ -54,7 +56,7 @@ def decision_tree(t: Tables) -> DataFrame:
 def nb_text(t: Tables) -> DataFrame:
     labelled = t.labels.join(t.documents.select("doc_id", "text"), "doc_id")
     rows = materialize(labelled.select("doc_id", "text", F.col("quality").cast("double").alias("label")), "labelled")
-    train, test = split_by_key(rows, "doc_id", 0.7)
+    train, test = split_by_key(spread_small_input(rows), "doc_id", 0.7)
     return confusion_matrix(fit_text_classifier(train, "text", "label").transform(test))
 
 

@@ -29,6 +29,7 @@ from millrace.functions import (
 from millrace.operators.aggregates import above_mean
 from millrace.operators.features import impute_constant, impute_mean
 from millrace.operators.ordering import top_k
+from millrace.operators.partitions import spread_small_input
 from millrace.plans.registry import Tables, query
 from millrace.plans.scans import READING_SQL, reading
 
@@ -37,11 +38,10 @@ TOKENS_SQL = r"""CASE WHEN regexp_full_match({col}, '[ \t\n\x0B\f\r]+') THEN []
   ELSE string_split_regex(regexp_replace(lower({col}), '[ \t\n\x0B\f\r]+$', ''), '[ \t\n\x0B\f\r]') END"""
 FIELDS_SQL = "CASE WHEN {col} <> '' AND rtrim({col}, '{sep}') = '' THEN [] ELSE string_split(rtrim({col}, '{sep}'), '{sep}') END"
 DOCUMENT_TOKENS_SQL = TOKENS_SQL.format(col="text")
-ROUND_SQL = "CASE WHEN {x} - floor({x}) >= 0.5 THEN floor({x}) + 1 ELSE floor({x}) END"
 
 
 def round_sql(x: str) -> str:
-    return ROUND_SQL.format(x=f"({x})")
+    return f"ceil(floor(2 * ({x})) / 2)"
 
 
 @query("global_count", "SELECT count(*) AS n FROM lineitem")
@@ -110,7 +110,8 @@ def filter_above_mean(t: Tables) -> DataFrame:
 )
 def regex_numeric(t: Tables) -> DataFrame:
     token = F.col("token")
-    return t.documents.select(F.explode(tokens(F.col("text"))).alias("token")).agg(
+    documents = spread_small_input(t.documents.select("text"))
+    return documents.select(F.explode(tokens(F.col("text"))).alias("token")).agg(
         F.count("*").alias("n_tokens"),
         F.count_if(is_number(token, SIGNED_DECIMAL)).alias("signed_decimal"),
         F.count_if(is_number(token, ONE_DIGIT_FRACTION)).alias("one_digit_fraction"),
@@ -177,7 +178,7 @@ def cleanse_row(t: Tables) -> DataFrame:
         FROM (SELECT unnest({FIELDS_SQL.format(col='text', sep=' ')}) AS word FROM documents) GROUP BY word""",
 )
 def explode_words(t: Tables) -> DataFrame:
-    words = t.documents.select(F.explode(split_fields(F.col("text"), " ")).alias("word"))
+    words = spread_small_input(t.documents.select("text")).select(F.explode(split_fields(F.col("text"), " ")).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 Schema = StructType | str
 
-INLINE_BROADCAST_ROWS = 10_000
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` in ``folder``: one file or a directory of files."""
@@ -67,11 +66,12 @@ def read_jdbc(
 def inline_table(
     spark: SparkSession, rows: Sequence[tuple], schema: Schema, partitions: int | None = None
 ) -> DataFrame:
-    """A table of literal rows; a short one is marked for broadcast since its length is known here."""
-    df = spark.createDataFrame(list(rows), schema)
-    if partitions:
-        return df.repartition(partitions)
-    return F.broadcast(df) if len(rows) <= INLINE_BROADCAST_ROWS else df
+    """A table of literal rows. Its exact size is part of the plan, so Spark itself picks the join for it."""
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrow = pa.table([pa.array(c) for c in columns], names=fields.names)
+    df = spark.createDataFrame(arrow, fields)
+    return df.repartition(partitions) if partitions else df
 
 
 def sql_over(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
