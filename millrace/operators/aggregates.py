@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from millrace.operators.joins import ROWS_PER_TASK, salted_join
+from millrace.operators.joins import ROWS_PER_TASK, skew_safe_join
 from millrace.operators.ordering import with_ordinal
 
 
@@ -59,7 +59,7 @@ def concat_ordered(
     place = [F.col(c) for c in (*keys, *order)]
     numbered = with_ordinal(df.select(*keys, *order, value), [*place, F.xxhash64(value)], "_ordinal")
     first = numbered.groupBy(*keys).agg(F.min("_ordinal").alias("_first"), F.count("*").alias("n"))
-    placed = salted_join(
+    placed = skew_safe_join(
         numbered, first.drop("n"), keys, salt_by=["_ordinal"], key_counts=first.select(*keys, "n")
     )
     piece = F.floor((F.col("_ordinal") - F.col("_first")) / rows_per_piece).cast("bigint")

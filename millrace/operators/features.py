@@ -8,7 +8,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import tokens
-from millrace.operators.joins import salted_join
+from millrace.operators.joins import skew_safe_join
 from millrace.operators.ordering import with_ordinal
 from millrace.operators.partitions import spread_small_input
 from millrace.workspace import materialize
@@ -53,20 +53,21 @@ def value_index(df: DataFrame, col: str) -> DataFrame:
     numbering is distributed, so the number of distinct values may be large.
     """
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
-    return with_ordinal(counts, [F.col("n").desc(), F.col(col).asc()], "index")
+    # joined more than once, so written down with its true size
+    return materialize(with_ordinal(counts, [F.col("n").desc(), F.col(col).asc()], "index"), "index")
 
 
 def index_strings(df: DataFrame, index: DataFrame, col: str, salt_by: Sequence[str], output: str) -> DataFrame:
     """Add the index of ``col`` to each row; ``index`` comes from ``value_index``."""
     lookup = index.select(F.col(col), F.col("index").alias(output))
-    return salted_join(df, lookup, col, salt_by, key_counts=index.select(col, "n"))
+    return skew_safe_join(df, lookup, col, salt_by, key_counts=index.select(col, "n"))
 
 
 def strings_of_index(df: DataFrame, index: DataFrame, col: str, source: str, salt_by: Sequence[str], output: str) -> DataFrame:
     """Add the original value of the index in ``source``; the inverse of ``index_strings``."""
     lookup = index.select(F.col("index").alias(source), F.col(col).alias(output))
     counts = index.select(F.col("index").alias(source), "n")
-    return salted_join(df, lookup, source, salt_by, key_counts=counts)
+    return skew_safe_join(df, lookup, source, salt_by, key_counts=counts)
 
 
 def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -85,7 +86,7 @@ def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     frequency = counts.groupBy("term").agg(F.count("*").alias("n"))
     documents = df.agg(F.count("*").alias("m")).scalar()
     weights = frequency.select("term", F.log((documents + 1) / (F.col("n") + 1)).alias("idf"))
-    joined = salted_join(counts, weights, "term", salt_by=[doc], key_counts=frequency)
+    joined = skew_safe_join(counts, weights, "term", salt_by=[doc], key_counts=frequency)
     return joined.select(doc, "term", "tf", (F.col("tf") * F.col("idf")).alias("tf_idf"))
 
 

@@ -6,6 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.operators.partitions import planned_bytes
+
+# A side within both limits is broadcast: by Spark's estimate, and by counting its rows.
+SMALL_SIDE_BYTES = 10 * 1024 * 1024
+SMALL_SIDE_ROWS = 1_000_000
+
 # A key is spread over several tasks once it holds more rows than this ...
 ROWS_PER_TASK = 1_000_000
 # ... and more than this share of all rows, which bounds the number of such keys by its inverse.
@@ -65,3 +71,31 @@ def salted_join(
     )
     joined = salted.drop("_pieces").join(repeated.drop("_pieces"), [*key, "_piece"], how)
     return joined.drop("_piece")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df`` is small. Rows are counted only where the files are, since columns compress well."""
+    if df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return False
+    if planned_bytes(df) > SMALL_SIDE_BYTES:
+        return False
+    return df.limit(SMALL_SIDE_ROWS + 1).count() <= SMALL_SIDE_ROWS
+
+
+def skew_safe_join(
+    fact: DataFrame,
+    other: DataFrame,
+    key: str | Sequence[str],
+    salt_by: Sequence[str],
+    how: str = "inner",
+    *,
+    key_counts: DataFrame | None = None,
+) -> DataFrame:
+    """Equi-join (``inner`` or ``left``) that no hot key of ``fact`` can stall.
+
+    A small ``other`` is broadcast and ``fact`` stays where it is; otherwise both are shuffled with
+    the hot keys salted, see ``salted_join``.
+    """
+    if fits_broadcast(other):
+        return fact.join(F.broadcast(other), [key] if isinstance(key, str) else list(key), how)
+    return salted_join(fact, other, key, salt_by, how, key_counts=key_counts)

@@ -143,10 +143,15 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def statements(t: Tables) -> DataFrame:
     """Raw statement rows, as text, for every customer: orders summed per period."""
-    period = F.floor((F.month("o_orderdate") - 1) / 2) + 1
-    price = F.col("o_totalprice").cast("decimal(18,2)")
-    finished, open_ = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
-    per_customer = t.orders.groupBy("o_custkey").agg(
+    bills = t.orders.select(
+        "o_custkey",
+        (F.floor((F.month("o_orderdate") - 1) / 2) + 1).alias("period"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        (F.col("o_orderstatus") == "F").alias("finished"),
+        (F.col("o_orderstatus") == "O").alias("open"),
+    )
+    period, price, finished, open_ = (F.col(c) for c in ("period", "price", "finished", "open"))
+    per_customer = bills.groupBy("o_custkey").agg(
         *[(F.count_if((period == m) & open_) - 3).alias(f"PAY_{m}") for m in MONTHS],
         *[F.sum(F.when(period == m, price)).alias(f"BILL_AMT{m}") for m in MONTHS],
         *[F.sum(F.when((period == m) & finished, price)).alias(f"PAY_AMT{m}") for m in MONTHS],
@@ -252,8 +257,8 @@ def credit_corr(t: Tables) -> DataFrame:
     return default_correlations(_features(t)).withColumn("correlation", F.round("correlation", 6))
 
 
-@query("credit_models")
-def credit_models(t: Tables) -> DataFrame:
+@query("model_compare")
+def model_compare(t: Tables) -> DataFrame:
     return compare_models(_features(t))
 
 

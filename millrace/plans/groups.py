@@ -19,7 +19,7 @@ from millrace.operators.aggregates import (
     shortest_and_longest,
     sum_count_mean,
 )
-from millrace.operators.joins import lookup_join, salted_join
+from millrace.operators.joins import lookup_join, skew_safe_join
 from millrace.operators.sampling import key_in_fraction
 from millrace.operators.sets import intersect_distinct, union_all
 from millrace.plans.registry import Tables, query
@@ -38,7 +38,7 @@ NUMBERS = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
 def inner_join(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    return salted_join(orders, customers, "o_custkey", salt_by=["o_orderkey"])
+    return skew_safe_join(orders, customers, "o_custkey", salt_by=["o_orderkey"])
 
 
 def with_region(t: Tables, customers: DataFrame) -> DataFrame:

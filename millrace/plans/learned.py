@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.aggregates import confusion_matrix
 from millrace.operators.features import assemble, center_and_scale, principal_components
+from millrace.operators.joins import skew_safe_join
 from millrace.operators.models import (
     SEED,
     fit_classifier,
@@ -70,14 +71,16 @@ def kmeans(t: Tables) -> DataFrame:
     return clusters.groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
 
 
-@query("als_predict")
-def als_predict(t: Tables) -> DataFrame:
-    bought = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity").join(
-        t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    ratings = materialize(
-        bought.groupBy("o_custkey", "l_partkey").agg(F.avg("l_quantity").alias("rating")), "ratings"
+@query("als_recommend")
+def als_recommend(t: Tables) -> DataFrame:
+    # one row per order and part before the join; a huge order is spread by its parts
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), "l_partkey").agg(
+        F.sum("l_quantity").alias("total"), F.count("*").alias("n")
     )
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    bought = skew_safe_join(lines, orders, "o_orderkey", salt_by=["l_partkey"])
+    rating = F.sum("total") / F.sum("n")
+    ratings = materialize(bought.groupBy("o_custkey", "l_partkey").agg(rating.alias("rating")), "ratings")
     pair = F.concat_ws("-", "o_custkey", "l_partkey")
     train, test = split_by_key(ratings.withColumn("pair", pair), "pair", 0.9)
     model = fit_ratings(train.drop("pair"), "o_custkey", "l_partkey", "rating")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregates as A
-from millrace.operators.joins import hot_keys, lookup_join, salted_join
+from millrace.operators.joins import fits_broadcast, hot_keys, lookup_join, salted_join, skew_safe_join
 from millrace.operators.ordering import top_k, with_ordinal
 from millrace.operators.partitions import partition_count, spread_small_input
 from millrace.operators.sampling import key_in_fraction, split_at_random, split_by_key
@@ -70,6 +70,35 @@ def test_salting_spreads_a_hot_key(rows):
     assert sum(sizes) == 2000 and len(sizes) > 4 and max(sizes) < 1000
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_skew_safe_join_broadcasts_only_what_is_small(spark, rows, values, tmp_path):
+    fact = rows(skewed(300), "id long, k long")
+    path = str(tmp_path / "other")
+    rows([(k, f"v{k}") for k in range(12)], "k long, name string").write.parquet(path)
+    other = spark.read.parquet(path)
+    expected = values(fact.join(other, "k"), "id", "name")
+    assert fits_broadcast(other) and not fits_broadcast(spark.range(10**9))
+    small = skew_safe_join(fact, other, "k", ["id"])
+    assert "_piece" not in plan_of(small) and values(small, "id", "name") == expected
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        large = skew_safe_join(fact, other, "k", ["id"])
+        assert "_piece" in plan_of(large) and values(large, "id", "name") == expected
+    finally:
+        spark.conf.set(threshold, before)
+
+
+def test_rows_are_counted_where_files_compress_well(spark, tmp_path):
+    path = str(tmp_path / "constant")
+    spark.range(2_000_000).selectExpr("1L AS k").write.parquet(path)
+    assert not fits_broadcast(spark.read.parquet(path))
+
+
 def test_lookup_join_drops_the_lookup_key(employees, rows, values):
     departments = rows([(100, "Sales")], "id int, department string")
     inner = lookup_join(employees, departments, "dept", "id")
