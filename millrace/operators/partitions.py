@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.workspace import materialize
+
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
@@ -12,15 +14,17 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
+def spread_small_input(df: DataFrame, reused: bool = False) -> DataFrame:
     """Give heavy per-row work on a small input one partition per core.
 
     A small file is one row group and hence one task. Larger inputs have partitions enough and are
-    returned as they are, so no large table is ever shuffled for this.
+    returned as they are, so no large table is ever shuffled for this. What is read many times
+    (``reused``) is written down in its new partitions.
     """
     if planned_bytes(df) > SMALL_INPUT_BYTES:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return materialize(spread, "spread") if reused else spread
 
 
 def partition_count(df: DataFrame) -> DataFrame:

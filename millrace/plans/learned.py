@@ -46,7 +46,7 @@ def random_forest(t: Tables) -> DataFrame:
 @query("decision_tree")
 def decision_tree(t: Tables) -> DataFrame:
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    lines = spread_small_input(t.lineitem.select("l_orderkey", "l_returnflag", *features))
+    lines = spread_small_input(t.lineitem.select("l_orderkey", "l_returnflag", *features), reused=True)
     rows = assemble(lines, features).select("l_orderkey", "l_returnflag", "features")
     train, test = split_by_key(rows, "l_orderkey", 0.7)
     model = fit_classifier(train, DecisionTreeClassifier(labelCol="label_index", seed=SEED), "l_returnflag")
@@ -55,9 +55,9 @@ def decision_tree(t: Tables) -> DataFrame:
 
 @query("nb_text")
 def nb_text(t: Tables) -> DataFrame:
-    labelled = t.labels.join(t.documents.select("doc_id", "text"), "doc_id")
+    labelled = t.labels.join(spread_small_input(t.documents.select("doc_id", "text")), "doc_id")
     rows = materialize(labelled.select("doc_id", "text", F.col("quality").cast("double").alias("label")), "labelled")
-    train, test = split_by_key(spread_small_input(rows), "doc_id", 0.7)
+    train, test = split_by_key(rows, "doc_id", 0.7)
     return confusion_matrix(fit_text_classifier(train, "text", "label").transform(test))
 
 

@@ -1,10 +1,11 @@
-from millrace.streaming.counts import count_per_batch, sliding_counts, tumbling_counts, words_of
+from millrace.streaming.counts import count_per_batch, print_first, sliding_counts, tumbling_counts, words_of
 from millrace.streaming.runner import drain_windows, run_available, run_continuously
 from millrace.streaming.sources import socket_lines, stream_parquet, stream_text, utc_instant
 
 __all__ = [
     "count_per_batch",
     "drain_windows",
+    "print_first",
     "run_available",
     "run_continuously",
     "sliding_counts",

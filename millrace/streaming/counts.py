@@ -49,3 +49,8 @@ def sliding_counts(
     steps = tumbling_counts(events, time, key, slide, delay)
     windows = steps.groupBy(F.window(F.window_time("window"), size, slide), key)
     return windows.agg(F.sum("n").alias("n")).select("window", key, "n")
+
+
+def print_first(n: int = 10) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that shows the first ``n`` rows of each micro-batch on the driver."""
+    return lambda batch, batch_id: batch.show(n, truncate=False)

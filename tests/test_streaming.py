@@ -116,3 +116,9 @@ def test_single_file_streams(spark, rows, values, tmp_path):
         out = f"{seen}-{len(path)}"
         S.run_available(S.stream_parquet(spark, path), lambda b, i, o=out: b.write.mode("append").parquet(o), f"{out}-c")
         assert values(spark.read.parquet(out)) == [(i,) for i in range(5)]
+
+
+def test_print_first_shows_a_bounded_part_of_each_batch(spark, events, capsys):
+    S.run_available(events[0].select("kind"), S.print_first(3), new_folder(spark, "checkpoint"))
+    shown = capsys.readouterr().out
+    assert "only showing top 3 rows" in shown
