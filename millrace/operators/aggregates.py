@@ -44,7 +44,7 @@ def sum_count_mean(df: DataFrame, keys: Sequence[str], value: Column | str) -> D
 
 def shortest_and_longest(df: DataFrame, value: str) -> DataFrame:
     """One row: the shortest and the longest text, the smaller or larger text winning a tie."""
-    rank = F.struct(F.length(value), F.col(value))
+    rank = F.when(F.col(value).isNotNull(), F.struct(F.length(value), F.col(value)))
     return df.agg(F.min_by(value, rank).alias("shortest"), F.max_by(value, rank).alias("longest"))
 
 

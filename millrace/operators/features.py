@@ -70,20 +70,55 @@ def strings_of_index(df: DataFrame, index: DataFrame, col: str, source: str, sal
     return skew_safe_join(df, lookup, source, salt_by, key_counts=counts)
 
 
+def _counted_terms(words: Column) -> Column:
+    """Each distinct element of an array of strings with its number of occurrences.
+
+    The sorted array is cut where its elements change, so the work grows with the text's length.
+    """
+    ordered = F.sort_array(words)
+
+    def cuts(a: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(a) - 1)
+        return F.filter(places, lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)))
+
+    def runs(a: Column, starts: Column) -> Column:
+        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(a)))
+        return F.zip_with(
+            starts,
+            ends,
+            lambda start, end: F.struct(F.get(a, start).alias("term"), (end - start).cast("bigint").alias("tf")),
+        )
+
+    # a transform over a one-element array names an intermediate value, so that it is computed once
+    def named(value: Column, use) -> Column:
+        return F.get(F.transform(F.array(value), use), 0)
+
+    counted = named(ordered, lambda a: named(cuts(a), lambda starts: runs(a, starts)))
+    return F.when(F.size(words) > 0, counted)
+
+
 def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """``doc``, ``term`` and its number of occurrences ``tf``; copies of a term merge before the shuffle."""
-    words = spread_small_input(df.select(doc, text)).select(F.col(doc), F.explode(tokens(F.col(text))).alias("term"))
-    return words.groupBy(doc, "term").agg(F.count("*").alias("tf"))
+    """``doc``, ``term`` and its number of occurrences ``tf``.
+
+    Terms are counted within their row. Only if some ``doc`` has several rows, which a look at the ids
+    alone tells, are the rows of a document brought together.
+    """
+    words = spread_small_input(df.select(doc, text)).select(doc, tokens(F.col(text)).alias("_words"))
+    pairs = words.select(doc, F.explode(_counted_terms(F.col("_words"))).alias("_pair"))
+    counts = pairs.select(doc, "_pair.term", "_pair.tf")
+    if df.groupBy(doc).agg(F.count("*").alias("n")).where(F.col("n") > 1).isEmpty():
+        return counts
+    return counts.groupBy(doc, "term").agg(F.sum("tf").alias("tf"))
 
 
 def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     """``doc``, ``term``, ``tf`` and ``tf_idf`` = tf * ln((documents + 1) / (documents with the term + 1)).
 
-    Term counts are needed twice, so they are written down once. Terms of nearly every document are
-    hot keys of the join back and are spread by document.
+    The vocabulary with its document counts is written down; the texts are read once for it and once
+    for the result. Terms of nearly every document are hot keys and are spread by document.
     """
-    counts = materialize(term_counts(df, doc, text), "term-counts")
-    frequency = counts.groupBy("term").agg(F.count("*").alias("n"))
+    counts = term_counts(df, doc, text)
+    frequency = materialize(counts.groupBy("term").agg(F.count("*").alias("n")), "vocabulary")
     documents = df.agg(F.count("*").alias("m")).scalar()
     weights = frequency.select("term", F.log((documents + 1) / (F.col("n") + 1)).alias("idf"))
     joined = skew_safe_join(counts, weights, "term", salt_by=[doc], key_counts=frequency)

@@ -57,8 +57,10 @@ def classifiers(seed: int = SEED) -> dict[str, Estimator]:
 def fit_classifier(df: DataFrame, estimator: Estimator, label: str) -> PipelineModel:
     """Index ``label``, train on ``features`` and turn predictions back into label values.
 
-    The scored rows carry ``label`` as text and the predicted value as ``predicted``.
+    Rows without a label take no part in training. The scored rows carry the predicted label, as text,
+    in ``predicted``.
     """
+    df = df.where(F.col(label).isNotNull())
     indexer = StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep").fit(df)
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
     return Pipeline(stages=[indexer, estimator, names]).fit(df)
@@ -150,8 +152,16 @@ def assign_to_nearest(df: DataFrame, vector: str, centres: DataFrame, key: str)
     ).drop("_nearest")
 
 
-def fit_ratings(df: DataFrame, user: str, item: str, rating: str, seed: int = SEED) -> ALSModel:
-    """Explicit-rating factors of rank 10. Users or items unseen in training get no prediction row."""
-    return ALS(
+def fit_ratings(
+    df: DataFrame, user: str, item: str, rating: str, seed: int = SEED, blocks: int | None = None
+) -> ALSModel:
+    """Explicit-rating factors of rank 10. Users or items unseen in training get no prediction row.
+
+    Ratings are divided into ``blocks`` blocks of users and of items: by default 10, or one per core
+    where there are more.
+    """
+    blocks = blocks or max(10, df.sparkSession.sparkContext.defaultParallelism)
+    als = ALS(
         userCol=user, itemCol=item, ratingCol=rating, maxIter=5, regParam=0.01, coldStartStrategy="drop", seed=seed
-    ).fit(df)
+    )
+    return als.setNumBlocks(blocks).fit(df)

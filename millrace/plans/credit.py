@@ -184,11 +184,11 @@ def _statement_sql() -> str:
     number = "CAST(coalesce({0}, 0) AS DOUBLE)"
     d, b, p = ([number.format(f"{kind}{m}") for m in MONTHS] for kind in "dbp")
     return f"""
-        SELECT CAST(c_custkey AS DOUBLE) AS "CustId", floor(c_acctbal) AS "LimitBal",
+        SELECT CAST(c_custkey AS DOUBLE) AS "CustId", coalesce(floor(c_acctbal), 0) AS "LimitBal",
                CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'MACHINERY' THEN 2
                     ELSE CASE WHEN c_acctbal < 4000 THEN 1 ELSE 2 END END AS DOUBLE) AS "Sex",
                CAST(c_nationkey % 4 + 1 AS DOUBLE) AS "Education", CAST(c_nationkey % 3 + 1 AS DOUBLE) AS "Marriage",
-               floor(abs(c_acctbal) / 200) + 20 AS age, ({' + '.join(f'abs({x})' for x in d)}) / 6 AS delay,
+               coalesce(floor(abs(c_acctbal) / 200) + 20, 0) AS age, ({' + '.join(f'abs({x})' for x in d)}) / 6 AS delay,
                abs(({' + '.join(b)}) / 6) AS "AvgBillAmt", abs(({' + '.join(p)}) / 6) AS "AvgPayAmt",
                CAST(coalesce(late, 0) AS DOUBLE) AS "Defaulted"
         FROM customer LEFT JOIN (

@@ -56,7 +56,8 @@ def decision_tree(t: Tables) -> DataFrame:
 @query("nb_text")
 def nb_text(t: Tables) -> DataFrame:
     labelled = t.labels.join(spread_small_input(t.documents.select("doc_id", "text")), "doc_id")
-    rows = materialize(labelled.select("doc_id", "text", F.col("quality").cast("double").alias("label")), "labelled")
+    label = F.col("quality").cast("double").alias("label")
+    rows = materialize(labelled.select("doc_id", "text", label).na.fill("", ["text"]), "labelled")
     train, test = split_by_key(rows, "doc_id", 0.7)
     return confusion_matrix(fit_text_classifier(train, "text", "label").transform(test))
 
@@ -77,7 +78,7 @@ def als_recommend(t: Tables) -> DataFrame:
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), "l_partkey").agg(
         F.sum("l_quantity").alias("total"), F.count("*").alias("n")
     )
-    orders = t.orders.select("o_orderkey", "o_custkey")
+    orders = t.orders.select("o_orderkey", "o_custkey").na.drop()
     bought = skew_safe_join(lines, orders, "o_orderkey", salt_by=["l_partkey"])
     rating = F.sum("total") / F.sum("n")
     ratings = materialize(bought.groupBy("o_custkey", "l_partkey").agg(rating.alias("rating")), "ratings")

@@ -213,7 +213,7 @@ def binary_encode(t: Tables) -> DataFrame:
     """SELECT c_custkey, CAST(c_mktsegment = 'AUTOMOBILE' AS DOUBLE) AS "AUTOMOBILE",
               CAST(c_mktsegment = 'BUILDING' AS DOUBLE) AS "BUILDING",
               CAST(c_mktsegment = 'MACHINERY' AS DOUBLE) AS "MACHINERY",
-              CAST(c_acctbal < 0 AS DOUBLE) AS overdrawn FROM customer""",
+              CAST(coalesce(c_acctbal < 0, false) AS DOUBLE) AS overdrawn FROM customer""",
 )
 def indicator_columns(t: Tables) -> DataFrame:
     overdrawn = F.when(F.col("c_acctbal") < 0, F.lit("yes")).otherwise(F.lit("no"))

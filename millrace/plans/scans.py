@@ -36,7 +36,7 @@ def reading() -> Column:
 )
 def scan_text(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "text")
-    write_text(t.documents.select("text"), path)
+    write_text(t.documents.select("text").na.drop(), path)
     return read_text(t.spark, path).groupBy("value").agg(F.count("*").alias("n"))
 
 

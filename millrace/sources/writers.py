@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 
 def write_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One line per row of a single string column."""
+    """One line per row of a single string column; a null is an empty line."""
     df.write.mode(mode).option("lineSep", "\n").text(path)
 
 

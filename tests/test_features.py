@@ -1,5 +1,9 @@
 import math
+import random
+import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import IDF, HashingTF, StringIndexer, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -76,3 +80,35 @@ def test_principal_components_follow_the_largest_variance(spark):
     first = {r.id: r.c[0] for r in out.collect()}
     # the direction is (1, 2, 0) / sqrt(5), the sign is free, and the mean stays in
     assert abs(first[100]) == pytest.approx(100 * math.sqrt(5), rel=1e-3)
+
+
+def test_principal_components_equal_an_eigen_decomposition(rows):
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(60, 5)) @ rng.normal(size=(5, 5)) + 3
+    df = rows([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id int, a array<double>")
+    out = X.principal_components(df.select("id", array_to_vector("a").alias("v")), 3, "v", "c").orderBy("id").collect()
+    values, vectors = np.linalg.eigh(np.cov(data.T))
+    expected = data @ vectors[:, np.argsort(values)[::-1][:3]]
+    mine = np.array([r.c.toArray() for r in out])
+    np.testing.assert_allclose(np.abs(mine), np.abs(expected), rtol=1e-6, atol=1e-8)
+
+
+WORDS = ["a", "b", "B", "", "cé", "dd\t", "\n", "x"]
+
+
+def test_term_counts_equal_brute_force(rows):
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choices(WORDS, k=rnd.randrange(40))) for _ in range(80)] + ["", "   ", None, "one " * 5000]
+    df = rows(list(enumerate(texts)), "id int, text string")
+    expected = Counter()
+    for i, text in enumerate(texts):
+        if text is None or (text and not text.strip(" \t\n")):
+            continue
+        parts = re.split(r"[ \t\n]", text.lower().rstrip(" \t\n"))
+        expected.update((i, p) for p in parts)
+    assert {(r.id, r.term): r.tf for r in X.term_counts(df, "id", "text").collect()} == expected
+
+
+def test_rows_of_one_document_are_counted_together(rows, values):
+    df = rows([(1, "a b a"), (1, "a"), (2, "b")], "id int, text string")
+    assert values(X.term_counts(df, "id", "text")) == [(1, "a", 3), (1, "b", 1), (2, "b", 1)]

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.functions import array_to_vector
@@ -38,6 +39,23 @@ def test_linear_regression_recovers_a_plane(rows):
     assert r_squared(scored, "mpg").first()[0] == pytest.approx(1)
 
 
+def test_linear_regression_equals_least_squares(rows):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(200, 3)) * [1, 10, 0.1]
+    y = x @ [2.0, -0.5, 30.0] + 4 + rng.normal(size=200)
+    df = rows([(*map(float, a), float(b)) for a, b in zip(x, y)], "a double, b double, c double, y double")
+    model = M.fit_linear(df, ["a", "b", "c"], "y")
+    expected = np.linalg.lstsq(np.column_stack([np.ones(200), x]), y, rcond=None)[0]
+    np.testing.assert_allclose([model.intercept, *model.coefficients], expected, rtol=1e-8)
+
+
+def test_rows_without_a_label_are_not_trained_on(flowers, rows):
+    more = flowers.unionByName(rows([(9999, None, 3.0, 6.2)], "id long, species string, x double, y double"))
+    model = M.fit_classifier(assemble(more, ["x", "y"]), M.classifiers()["decision_tree"], "species")
+    scored = model.transform(assemble(more, ["x", "y"])).where("species IS NULL").collect()
+    assert [r.predicted for r in scored] == ["three"]
+
+
 @pytest.mark.parametrize("name", ["decision_tree", "random_forest", "naive_bayes"])
 def test_classifiers_learn_separable_groups(flowers, name):
     vectors = assemble(flowers, ["x", "y"])

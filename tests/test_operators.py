@@ -179,7 +179,7 @@ def test_rate_report_from_rows_and_from_partial_counts(rows, values):
 
 
 def test_shortest_and_longest_break_ties_by_value(rows):
-    df = rows([("bb",), ("aa",), ("dddd",), ("cccc",), ("xxx",)], "t string")
+    df = rows([("bb",), (None,), ("aa",), ("dddd",), ("cccc",), ("xxx",)], "t string")
     assert tuple(A.shortest_and_longest(df, "t").first()) == ("aa", "dddd")
 
 
