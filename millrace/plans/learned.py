@@ -79,7 +79,8 @@ def als_recommend(t: Tables) -> DataFrame:
         F.sum("l_quantity").alias("total"), F.count("*").alias("n")
     )
     orders = t.orders.select("o_orderkey", "o_custkey").na.drop()
-    bought = skew_safe_join(lines, orders, "o_orderkey", salt_by=["l_partkey"])
+    per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    bought = skew_safe_join(lines, orders, "o_orderkey", salt_by=["l_partkey"], key_counts=per_order)
     rating = F.sum("total") / F.sum("n")
     ratings = materialize(bought.groupBy("o_custkey", "l_partkey").agg(rating.alias("rating")), "ratings")
     pair = F.concat_ws("-", "o_custkey", "l_partkey")

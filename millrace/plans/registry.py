@@ -17,7 +17,10 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return table(self.spark, self.folder, name)
+        # reached only on first use: the opened table then is an attribute like any other
+        opened = table(self.spark, self.folder, name)
+        setattr(self, name, opened)
+        return opened
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"

@@ -67,13 +67,14 @@ def drain_windows(events: DataFrame, time: str, counts: Callable[[DataFrame], Da
     marker = marker.select(*events.columns)
     marker.where(F.lit(False)).write.parquet(markers)
 
+    windows = counts(events.unionByName(spark.readStream.schema(marker.schema).parquet(markers)))
+
     def run() -> None:
-        flushed = events.unionByName(spark.readStream.schema(marker.schema).parquet(markers))
-        writer = counts(flushed).writeStream.format("parquet").option("path", path)
+        writer = windows.writeStream.format("parquet").option("path", path)
         writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
         _start(spark, writer.trigger(availableNow=True)).awaitTermination()
 
     run()
     marker.write.mode("append").parquet(markers)
     run()
-    return spark.read.parquet(path)
+    return spark.read.schema(windows.schema).parquet(path)

@@ -47,6 +47,14 @@ def test_sliding_windows_equal_batch(events, values, by_slide):
     assert result.agg(F.sum("n")).first()[0] == 12 * 5
 
 
+def test_windows_of_no_events(spark, rows, tmp_path):
+    folder = str(tmp_path / "events")
+    rows([], "ts timestamp_ntz, kind string").write.parquet(folder)
+    stream = S.stream_parquet(spark, folder).select(S.utc_instant("ts").alias("ts"), "kind")
+    result = S.drain_windows(stream, "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds"))
+    assert result.count() == 0 and result.columns == ["window", "kind", "n"]
+
+
 def test_instants_do_not_depend_on_the_session_zone(spark, rows):
     df = rows([(EPOCH,)], "ts timestamp_ntz")
     zone = spark.conf.get("spark.sql.session.timeZone")
