@@ -54,28 +54,32 @@ MODEL_COLUMNS = ["Sex", "Education", "Marriage", "Age", "AvgPayDur", "AvgPayAmt"
 GROUP_COLUMNS = ["Sex", "Education", "Marriage", "Age"]
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """Drop rows without a usable customer id, and make numbers of all columns (of no number: 0)."""
+def clean(raw: DataFrame, unknown_sex: float | None = None) -> DataFrame:
+    """Drop rows without a usable customer id, and make numbers of all columns.
+
+    Text that is no number becomes 0, and a sex code that is neither a letter nor a number ``unknown_sex``.
+    """
     good = raw.where(~F.col("CUSTID").startswith(GARBAGE_PREFIX) & F.col("CUSTID").try_cast("double").isNotNull())
     typed = {c: number_or(F.col(c), 0) for c in RAW_COLUMNS if c != "SEX"}
-    return good.withColumns({**typed, "SEX": normalise_code(F.col("SEX"), SEX_LETTERS)})
+    return good.withColumns({**typed, "SEX": normalise_code(F.col("SEX"), SEX_LETTERS, unknown_sex)})
 
 
 def features(cleaned: DataFrame) -> DataFrame:
     """One row per customer with averages over six months, the age decade and the share paid."""
-    averages = cleaned.withColumns(
-        {
-            "Age": bucket_nearest(F.col("AGE")),
-            "AvgPayDur": mean_abs_across([F.col(c) for c in DELAYS]),
-            "AvgBillAmt": F.abs(mean_across([F.col(c) for c in BILLS])),
-            "AvgPayAmt": F.abs(mean_across([F.col(c) for c in PAYMENTS])),
-        }
-    ).withColumn("PerPaid", bin_percent(F.col("AvgPayAmt"), F.col("AvgBillAmt")))
-    renamed = {"CUSTID": "CustId", "LIMIT_BAL": "LimitBal", "SEX": "Sex", "EDUCATION": "Education"}
-    renamed |= {"MARRIAGE": "Marriage", "DEFAULTED": "Defaulted"}
-    return averages.select(*[F.col(old).alias(new) for old, new in renamed.items()], "Age", *FEATURE_COLUMNS[6:10]).select(
-        *FEATURE_COLUMNS
+    averages = cleaned.select(
+        F.col("CUSTID").alias("CustId"),
+        F.col("LIMIT_BAL").alias("LimitBal"),
+        F.col("SEX").alias("Sex"),
+        F.col("EDUCATION").alias("Education"),
+        F.col("MARRIAGE").alias("Marriage"),
+        bucket_nearest(F.col("AGE")).alias("Age"),
+        mean_abs_across([F.col(c) for c in DELAYS]).alias("AvgPayDur"),
+        F.abs(mean_across([F.col(c) for c in BILLS])).alias("AvgBillAmt"),
+        F.abs(mean_across([F.col(c) for c in PAYMENTS])).alias("AvgPayAmt"),
+        F.col("DEFAULTED").alias("Defaulted"),
     )
+    paid = bin_percent(F.col("AvgPayAmt"), F.col("AvgBillAmt"))
+    return averages.withColumn("PerPaid", paid).select(*FEATURE_COLUMNS)
 
 
 def whole_number_features(cleaned: DataFrame) -> DataFrame:

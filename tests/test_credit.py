@@ -32,6 +32,12 @@ def test_garbage_is_dropped_and_codes_are_numbers(raw, values):
     assert values(C.clean(raw), "CUSTID", "SEX") == [(1.0, 1.0), (2.0, 2.0), (3.0, 2.0), (4.0, 1.0)]
 
 
+def test_unknown_sex_codes_are_null_or_the_given_one(raw, values):
+    odd = raw.withColumn("SEX", F.lit("?"))
+    assert {s for (s,) in values(C.clean(odd), "SEX")} == {None}
+    assert {s for (s,) in values(C.clean(odd, unknown_sex=2.0), "SEX")} == {2.0}
+
+
 def test_features(raw):
     result = {int(r.CustId): r for r in C.features(C.clean(raw)).collect()}
     picked = {k: (r.Age, r.AvgPayDur, r.AvgBillAmt, r.AvgPayAmt, r.PerPaid) for k, r in result.items()}
