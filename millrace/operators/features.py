@@ -63,7 +63,9 @@ def index_strings(df: DataFrame, index: DataFrame, col: str, salt_by: Sequence[s
     return skew_safe_join(df, lookup, col, salt_by, key_counts=index.select(col, "n"))
 
 
-def strings_of_index(df: DataFrame, index: DataFrame, col: str, source: str, salt_by: Sequence[str], output: str) -> DataFrame:
+def strings_of_index(
+    df: DataFrame, index: DataFrame, col: str, source: str, salt_by: Sequence[str], output: str
+) -> DataFrame:
     """Add the original value of the index in ``source``; the inverse of ``index_strings``."""
     lookup = index.select(F.col("index").alias(source), F.col(col).alias(output))
     counts = index.select(F.col("index").alias(source), "n")

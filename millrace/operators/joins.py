@@ -32,7 +32,7 @@ def hot_keys(counts: DataFrame, key: Sequence[str], count: str, rows_per_task: i
     """The keys too large for one task, with the number of pieces ``_pieces`` to spread each over."""
     total_share = counts.agg(F.coalesce(F.sum(count), F.lit(0)) * F.lit(HOT_SHARE)).scalar()
     heavy = (F.col(count) > rows_per_task) & (F.col(count) > total_share)
-    return counts.where(heavy).select(*key, F.ceil(F.col(count) / rows_per_task).cast("int").alias("_pieces"))
+    return counts.where(heavy).select(*key, F.ceil(F.col(count) / rows_per_task).alias("_pieces"))
 
 
 def salted_join(
@@ -63,12 +63,11 @@ def salted_join(
         same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key]
         return df.join(hot, same, "left").drop(*[f"_hot_{k}" for k in key])
 
-    salted = with_pieces(fact).withColumn(
-        "_piece", F.coalesce(F.pmod(F.xxhash64(*salt_by), F.col("_pieces")), F.lit(0).cast("bigint"))
-    )
-    repeated = with_pieces(other).withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_pieces") - 1, F.lit(0)).cast("bigint")))
-    )
+    first = F.lit(0).cast("bigint")
+    picked = F.pmod(F.xxhash64(*salt_by), F.col("_pieces"))
+    salted = with_pieces(fact).withColumn("_piece", F.coalesce(picked, first))
+    all_pieces = F.sequence(first, F.coalesce(F.col("_pieces") - 1, first))
+    repeated = with_pieces(other).withColumn("_piece", F.explode(all_pieces))
     joined = salted.drop("_pieces").join(repeated.drop("_pieces"), [*key, "_piece"], how)
     return joined.drop("_piece")
 

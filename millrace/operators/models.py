@@ -69,7 +69,10 @@ def fit_classifier(df: DataFrame, estimator: Estimator, label: str) -> PipelineM
 def compare_classifiers(
     train: DataFrame, test: DataFrame, label: str, estimators: Mapping[str, Estimator]
 ) -> DataFrame:
-    """Train each classifier on the same rows and report its accuracy on the same test rows."""
+    """Train each classifier on the same rows and report its accuracy on the same test rows.
+
+    Naive Bayes among them needs features that are not negative.
+    """
 
     def scored(name: str) -> DataFrame:
         result = fit_classifier(train, estimators[name], label).transform(test)

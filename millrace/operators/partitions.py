@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.workspace import materialize
@@ -9,9 +11,15 @@ from millrace.workspace import materialize
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of ``df``; for a file scan the size of its files, already listed."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def planned_bytes(df: DataFrame) -> float:
+    """Spark's size estimate of ``df``; for a file scan the size of its files, already listed.
+
+    A remote session does not tell: everything then counts as large.
+    """
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return math.inf
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def spread_small_input(df: DataFrame, reused: bool = False) -> DataFrame:

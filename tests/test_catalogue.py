@@ -1,6 +1,7 @@
 """Every query against DuckDB on the smallest tables; those without SQL must run and return rows."""
 
 import math
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -35,6 +36,34 @@ def comparable(rows, columns):
     return Counter(tuple(cell(row[i]) for i in order) for row in rows)
 
 
+# joins of all pairs, and rows that leave the JVM
+SLOW_NODES = {"CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = plan_of(QUERIES["select_filter"](spark, str(FOLDER)))
+    assert "GreaterThan(o_totalprice,250000.0)" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
+
+
+def test_orders_are_counted_before_they_are_joined(spark):
+    plan = plan_of(QUERIES["rate_report"](spark, str(FOLDER)))
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string>" in plan
+    joins = [i for i, line in enumerate(plan.splitlines()) if "Join" in line and "o_custkey" in line]
+    counts = [i for i, line in enumerate(plan.splitlines()) if "partial_count(1)" in line]
+    # the plan is printed from the result down to the scans
+    assert joins and counts and max(joins) < min(counts)
+
+
+def test_text_terms_are_counted_without_a_shuffle_of_pairs(spark):
+    plan = plan_of(QUERIES["term_freq"](spark, str(FOLDER)))
+    assert "hashpartitioning" not in plan and "HashAggregate" not in plan
+
+
 def test_every_sql_has_its_query():
     assert SQL.keys() <= QUERIES.keys()
 
@@ -48,6 +77,7 @@ def test_query(spark, duck, key):
     result = QUERIES[key](spark, str(FOLDER))
     rows = [tuple(r) for r in result.collect()]
     assert rows
+    assert not SLOW_NODES & set(re.findall(r"\w+", plan_of(result)))
     if key in SQL:
         cursor = duck.execute(SQL[key])
         columns = [d[0] for d in cursor.description]
