@@ -196,7 +196,7 @@ def finished_by_region(t: Tables) -> DataFrame:
 
 @query(
     "rate_report_2key",
-    f"SELECT r_name, o_orderpriority, {_FINISHED_SQL} {_REGION_ORDERS_SQL} GROUP BY r_name, o_orderpriority ORDER BY 1, 2",
+    f"SELECT r_name, o_orderpriority, {_FINISHED_SQL} {_REGION_ORDERS_SQL} GROUP BY 1, 2 ORDER BY 1, 2",
 )
 def finished_by_region_and_priority(t: Tables) -> DataFrame:
     return _region_rates(t, ["r_name", "o_orderpriority"])
@@ -228,7 +228,8 @@ def mean_std(t: Tables) -> DataFrame:
 @query(
     "corr_report",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS name, round(corr(l_extendedprice, {c}), 6) AS correlation FROM lineitem" for c in NUMBERS[1:]
+        f"SELECT '{c}' AS name, round(corr(l_extendedprice, {c}), 6) AS correlation FROM lineitem"
+        for c in NUMBERS[1:]
     ),
 )
 def corr_report(t: Tables) -> DataFrame:
@@ -239,7 +240,8 @@ def corr_report(t: Tables) -> DataFrame:
 @query(
     "covariance",
     " UNION ALL ".join(
-        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", round(covar_samp({a}, {b}), 4) + 0.0 AS covariance FROM lineitem"
+        f"""SELECT '{a}' AS "left", '{b}' AS "right", round(covar_samp({a}, {b}), 4) + 0.0 AS covariance
+            FROM lineitem"""
         for i, a in enumerate(NUMBERS)
         for b in NUMBERS[i:]
     ),
@@ -257,7 +259,8 @@ def _length_rule(t: Tables) -> DataFrame:
     return labelled.select(F.col("quality").alias("label"), (F.col("n_chars") > 400).cast("int").alias("prediction"))
 
 
-_RULE_SQL = "SELECT quality AS label, CAST(n_chars > 400 AS INTEGER) AS prediction FROM labels JOIN documents USING (doc_id)"
+_RULE_SQL = """SELECT quality AS label, CAST(n_chars > 400 AS INTEGER) AS prediction
+               FROM labels JOIN documents USING (doc_id)"""
 
 
 @query("confusion_matrix", f"SELECT label, prediction, count(*) AS n FROM ({_RULE_SQL}) GROUP BY label, prediction")

@@ -70,7 +70,10 @@ def center_scale(t: Tables) -> DataFrame:
     )
 
 
-@query("string_index", f"SELECT event_id, event_type, type_index FROM events JOIN ({_TYPE_INDEX_SQL}) USING (event_type)")
+@query(
+    "string_index",
+    f"SELECT event_id, event_type, type_index FROM events JOIN ({_TYPE_INDEX_SQL}) USING (event_type)",
+)
 def string_index(t: Tables) -> DataFrame:
     events = t.events.select("event_id", "event_type")
     return index_strings(events, value_index(events, "event_type"), "event_type", ["event_id"], "type_index")
@@ -117,10 +120,29 @@ def linear_regression(t: Tables) -> DataFrame:
     return linear_terms(model, ["l_quantity"], t.lineitem).withColumn("coefficient", F.round("coefficient", 4))
 
 
-@query("linear_regression_multi")
+# least squares in three variables: the covariances, and Cramer's rule
+_THREE_VARIABLES_SQL = """
+    WITH moments AS (
+        SELECT avg(q) AS mq, avg(d) AS md, avg(t) AS mt, avg(y) AS my, covar_samp(q, q) AS qq, covar_samp(q, d) AS qd,
+               covar_samp(q, t) AS qt, covar_samp(d, d) AS dd, covar_samp(d, t) AS dt, covar_samp(t, t) AS tt,
+               covar_samp(q, y) AS qy, covar_samp(d, y) AS dy, covar_samp(t, y) AS ty
+        FROM (SELECT l_quantity AS q, l_discount AS d, l_tax AS t, l_extendedprice AS y FROM lineitem)),
+    solved AS (
+        SELECT *, qq * (dd * tt - dt * dt) - qd * (qd * tt - qt * dt) + qt * (qd * dt - qt * dd) AS det FROM moments),
+    terms AS (
+        SELECT *, (qy * (dd * tt - dt * dt) - qd * (dy * tt - dt * ty) + qt * (dy * dt - dd * ty)) / det AS bq,
+               (qq * (dy * tt - dt * ty) - qy * (qd * tt - qt * dt) + qt * (qd * ty - qt * dy)) / det AS bd,
+               (qq * (dd * ty - dy * dt) - qd * (qd * ty - qt * dy) + qy * (qd * dt - qt * dd)) / det AS bt FROM solved)
+    SELECT 'intercept' AS name, round(my - bq * mq - bd * md - bt * mt, 4) AS coefficient FROM terms
+    UNION ALL SELECT 'l_quantity', round(bq, 4) FROM terms UNION ALL SELECT 'l_discount', round(bd, 4) FROM terms
+    UNION ALL SELECT 'l_tax', round(bt, 4) FROM terms"""
+
+
+@query("linear_regression_multi", _THREE_VARIABLES_SQL)
 def linear_regression_multi(t: Tables) -> DataFrame:
     features = ["l_quantity", "l_discount", "l_tax"]
-    return linear_terms(fit_linear(t.lineitem, features, "l_extendedprice"), features, t.lineitem)
+    model = fit_linear(t.lineitem, features, "l_extendedprice")
+    return linear_terms(model, features, t.lineitem).withColumn("coefficient", F.round("coefficient", 4))
 
 
 _LABELLED_SQL = f"""SELECT quality, unnest({DOCUMENT_TOKENS_SQL}) AS term FROM labels JOIN documents USING (doc_id)"""

@@ -36,7 +36,8 @@ from millrace.plans.scans import READING_SQL, reading
 # The same rules as millrace.functions.text, for the SQL of this catalogue.
 TOKENS_SQL = r"""CASE WHEN regexp_full_match({col}, '[ \t\n\x0B\f\r]+') THEN []
   ELSE string_split_regex(regexp_replace(lower({col}), '[ \t\n\x0B\f\r]+$', ''), '[ \t\n\x0B\f\r]') END"""
-FIELDS_SQL = "CASE WHEN {col} <> '' AND rtrim({col}, '{sep}') = '' THEN [] ELSE string_split(rtrim({col}, '{sep}'), '{sep}') END"
+FIELDS_SQL = """CASE WHEN {col} <> '' AND rtrim({col}, '{sep}') = '' THEN []
+  ELSE string_split(rtrim({col}, '{sep}'), '{sep}') END"""
 DOCUMENT_TOKENS_SQL = TOKENS_SQL.format(col="text")
 
 
@@ -86,7 +87,8 @@ def filter_not_prefix(t: Tables) -> DataFrame:
 
 @query(
     "filter_not_null",
-    f"SELECT event_id, k FROM (SELECT event_id, try_cast({READING_SQL} AS INTEGER) AS k FROM events) WHERE k IS NOT NULL",
+    f"""SELECT event_id, k FROM (SELECT event_id, try_cast({READING_SQL} AS INTEGER) AS k FROM events)
+        WHERE k IS NOT NULL""",
 )
 def filter_not_null(t: Tables) -> DataFrame:
     return t.events.select("event_id", reading().try_cast("int").alias("k")).where(F.col("k").isNotNull())
@@ -225,7 +227,8 @@ def indicator_columns(t: Tables) -> DataFrame:
 
 @query(
     "normalise_code",
-    """SELECT o_orderkey, CAST(CASE code WHEN 'M' THEN 1 WHEN 'F' THEN 2 ELSE try_cast(code AS DOUBLE) END AS DOUBLE) AS code
+    """SELECT o_orderkey,
+              CAST(CASE code WHEN 'M' THEN 1 WHEN 'F' THEN 2 ELSE try_cast(code AS DOUBLE) END AS DOUBLE) AS code
        FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'M' WHEN 'F' THEN 'F'
                                 ELSE substr(o_orderpriority, 1, 1) END AS code FROM orders)""",
 )

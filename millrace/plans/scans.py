@@ -32,7 +32,8 @@ def reading() -> Column:
 
 @query(
     "scan_text",
-    r"SELECT value, count(*) AS n FROM (SELECT unnest(string_split(text, E'\n')) AS value FROM documents) GROUP BY value",
+    r"""SELECT value, count(*) AS n FROM (SELECT unnest(string_split(text, E'\n')) AS value FROM documents)
+        GROUP BY value""",
 )
 def scan_text(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "text")
