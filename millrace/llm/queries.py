@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import fingerprints, mixing
+from millrace.llm import fingerprints, html_text, licences, mixing, warc
 from millrace.sources import table
 
 
@@ -14,14 +14,38 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_pairs(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"), "doc_id", "text", licences.known_licences(spark))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), "doc_id", "text", "source")
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"), "page_id", "url", "html")
+
+
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.archived(table(spark, folder, "pages"), "page_id", "url", "html")
+    return records.select(
+        warc.id_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.id_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op6_licences": op6_licences,
     "op7_mixing": op7_mixing,
+    "op8_html_text": op8_html_text,
+    "op10_warc": op10_warc,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_licences": licences.scan_sql(),
+}
