@@ -131,3 +131,47 @@ def mix(
     zero = F.lit(0).cast("bigint")
     taken = passes * F.col("size") + F.least(F.greatest(rest, zero), F.col("size"))
     return joined.select("doc_id", *extra, "source", "size", "source_size", "target", taken.alias("taken"))
+
+
+def mix_sql(table: str = "documents") -> str:
+    """The same for DuckDB, with the defaults of ``mix``."""
+    return rf"""
+    WITH sized AS (
+        SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+            coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size
+        FROM {table}
+    ),
+    sizes AS (SELECT source, sum(size) AS source_size FROM sized GROUP BY source),
+    ranked AS (
+        SELECT source, source_size, 2 * source_size AS cap,
+            [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+        FROM sizes
+    ),
+    walked AS (
+        SELECT *, row_number() OVER o AS place,
+            sum(source_size) OVER () * 150 - 100 * coalesce(sum(cap) OVER b, 0) AS rest,
+            sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS weights
+        FROM ranked
+        WINDOW o AS (ORDER BY cap / weight, source NULLS LAST),
+            b AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ),
+    opened AS (SELECT min(place) AS open FROM walked WHERE NOT 100 * cap * weights <= weight * rest),
+    level AS (SELECT open, rest, weights FROM opened LEFT JOIN walked ON place = open),
+    targets AS (
+        SELECT source, source_size,
+            CASE WHEN open IS NULL OR place < open THEN CAST(cap AS DOUBLE)
+                ELSE CAST(weight * l.rest AS DOUBLE) / CAST(100 * l.weights AS DOUBLE) END AS target,
+            CASE WHEN open IS NULL OR place < open THEN cap ELSE (weight * l.rest) // (100 * l.weights) END AS budget
+        FROM walked CROSS JOIN level l
+    ),
+    summed AS (
+        SELECT *, coalesce(sum(size) OVER (
+            PARTITION BY source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+        ), 0) AS earlier
+        FROM sized
+    )
+    SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, s.source,
+        CAST(CASE WHEN source_size > 0 THEN (budget // source_size) * size
+            + least(greatest(budget - (budget // source_size) * source_size - earlier, 0), size) ELSE 0 END AS BIGINT) AS taken
+    FROM summed s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    """

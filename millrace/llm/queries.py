@@ -48,4 +48,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op6_licences": licences.scan_sql(),
+    "op7_mixing": mixing.mix_sql(),
+    "op10_warc": warc.archived_sql(),
 }

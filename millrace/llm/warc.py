@@ -494,3 +494,21 @@ def archived(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> D
     records = archive_records(pages, id_col, url_col, payload_col)
     records.write.format("warc").mode("append").save(path)
     return read_warc(spark, path, SCHEMA.replace(", headers map<string,string>", "").replace(", payload binary", ""), verify=True)
+
+
+def archived_sql(table: str = "pages") -> str:
+    """The result of the query over ``archived`` for DuckDB."""
+    letters = " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((v{group} >> {35 - 5 * i}) & 31 AS INT), 1)"
+        for group in range(4)
+        for i in range(8)
+    )
+    groups = ", ".join(f"CAST('0x' || substr(digest, {10 * g + 1}, 10) AS BIGINT) AS v{g}" for g in range(4))
+    return f"""
+    WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM {table}),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first, {groups} FROM hashed)
+    SELECT page_id, payload_bytes, {letters} AS payload_digest,
+        CASE WHEN page_id > first OR (page_id IS NULL AND first IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id > first OR (page_id IS NULL AND first IS NOT NULL) THEN first END AS refers_to
+    FROM firsts
+    """
