@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import fingerprints, html_text, licences, mixing, warc
+from millrace.llm import fingerprints, html_text, licences, mixing, substring_dedup, warc
 from millrace.sources import table
 
 
@@ -14,6 +14,11 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_pairs(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text")
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"), "doc_id", "text", licences.known_licences(spark))
 
@@ -40,6 +45,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_licences": op6_licences,
     "op7_mixing": op7_mixing,
     "op8_html_text": op8_html_text,
@@ -47,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_substring_dedup": substring_dedup.removed_sql(),
     "op6_licences": licences.scan_sql(),
     "op7_mixing": mixing.mix_sql(),
     "op10_warc": warc.archived_sql(),
