@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import fingerprints, html_text, licences, mixing, substring_dedup, warc
+from millrace.llm import fingerprints, html_text, licences, mixing, substring_dedup, suffix_dedup, warc
 from millrace.sources import table
 
 
@@ -32,6 +32,11 @@ def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"), "page_id", "url", "html")
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.archived(table(spark, folder, "pages"), "page_id", "url", "html")
     return records.select(
@@ -49,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licences": op6_licences,
     "op7_mixing": op7_mixing,
     "op8_html_text": op8_html_text,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
 }
 
