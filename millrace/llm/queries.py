@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import fingerprints, html_text, licences, mixing, substring_dedup, suffix_dedup, warc
+from millrace.llm import fingerprints, html_text, jaccard, licences, mixing, substring_dedup, suffix_dedup, warc
 from millrace.sources import table
 
 
@@ -19,6 +19,10 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components_by_id(table(spark, folder, "documents"), "doc_id", "text", k=4, percent=85)
+
+
 def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"), "doc_id", "text", licences.known_licences(spark))
 
@@ -51,6 +55,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_jaccard": op5_jaccard,
     "op6_licences": op6_licences,
     "op7_mixing": op7_mixing,
     "op8_html_text": op8_html_text,
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op4_substring_dedup": substring_dedup.removed_sql(),
+    "op5_jaccard": jaccard.components_sql(4, 85),
     "op6_licences": licences.scan_sql(),
     "op7_mixing": mixing.mix_sql(),
     "op10_warc": warc.archived_sql(),
