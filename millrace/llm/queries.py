@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import fingerprints, html_text, jaccard, licences, mixing, substring_dedup, suffix_dedup, warc
+from millrace.llm import decontamination, fingerprints, html_text, jaccard, licences, mixing, substring_dedup, suffix_dedup, toxicity, warc
 from millrace.sources import table
 
 
@@ -14,6 +14,23 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_pairs(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    models = toxicity.train(docs, labels, "doc_id", "text", "toxic", usable=~toxicity.held_out(F.col("id")))
+    scored = toxicity.with_score(docs.select("doc_id", "text"), "text", models)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontamination.contaminated(docs, items, "doc_id", "text", "item_id", "text")
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text")
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -54,6 +71,8 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_toxicity": op2_toxicity,
+    "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_jaccard": op5_jaccard,
     "op6_licences": op6_licences,

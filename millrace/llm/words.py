@@ -36,7 +36,15 @@ def _is_space() -> np.ndarray:
     return table
 
 
+def _is_mark() -> np.ndarray:
+    """All of ASCII but letters and digits; the bytes of other characters count as letters."""
+    table = np.zeros(256, dtype=bool)
+    table[:128] = [not chr(b).isalnum() for b in range(128)]
+    return table
+
+
 IS_SPACE = _is_space()
+IS_MARK = _is_mark()
 _VALUES = mix(np.arange(1, 257, dtype=U64) * _STEP)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -94,10 +102,13 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the number of the first word of each text (and of the end)."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the number of the first word of each text (and of the end).
+
+    ``between`` marks the bytes that stand between words.
+    """
     inside = np.zeros(len(data) + 2, dtype=bool)
-    inside[1:-1] = ~IS_SPACE[data]
+    inside[1:-1] = ~between[data]
     body = inside[1:-1]
     first = body & ~inside[:-2]
     last = body & ~inside[2:]
@@ -124,10 +135,12 @@ def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return out
 
 
-def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    texts: pa.Array, lower: bool = False, between: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word of all texts in order, and the number of each text's first word (and of the end)."""
     data, offsets = as_bytes(texts)
-    starts, ends, first = word_bounds(data, offsets)
+    starts, ends, first = word_bounds(data, offsets, between)
     return hash_ranges(data, starts, ends, lower), first
 
 
