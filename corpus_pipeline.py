@@ -24,30 +24,31 @@ from millrace.workspace import materialize
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Train on all labels whose text is still there, score whole texts, and drop scores of 0.5 and more."""
     models = toxicity.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
-    scored = toxicity.with_score(docs, "text", models, "_score")
-    return scored.where("_score < 0.5").drop("_score")
+    return docs.where(toxicity.score(F.col("text"), models) < 0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest document of each group; rows that repeat a document whole stay once."""
-    columns = docs.columns
     found = jaccard.similar_components(docs, "doc_id", "text")
     first = found.where((F.col("doc") == F.col("root_doc")) & (F.col("tie") == F.col("root_tie"))).select("doc", "tie")
-    kept = repeats.keyed(docs, "doc_id", "text").join(
-        first, (F.col(repeats.DOC) == F.col("doc")) & (F.col(repeats.TIE) == F.col("tie")), "left_semi"
-    )
-    return kept.dropDuplicates([repeats.DOC, repeats.TIE]).select(*columns)
+    given = repeats.numbered(docs)
+    at = dict(zip(docs.columns, given.columns, strict=True))
+    keyed = repeats.keyed(given, at["doc_id"], at["text"])
+    kept = keyed.join(first, (keyed[repeats.DOC] == first["doc"]) & (keyed[repeats.TIE] == first["tie"]), "left_semi")
+    return kept.dropDuplicates([repeats.DOC, repeats.TIE]).select(*given.columns).toDF(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut repeated stretches; a text that loses nothing stays as it is."""
-    cut = substring_dedup.remove_repeats(docs, "doc_id", "text")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    new = cut.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        new = new.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
-    return new.select(*docs.columns)
+    given = repeats.numbered(docs)
+    at = dict(zip(docs.columns, given.columns, strict=True))
+    cut = substring_dedup.remove_repeats(given, at["doc_id"], at["text"])
+    less = F.col("n_removed") > 0
+    new = {at["text"]: F.when(less, F.col("kept_text")).otherwise(F.col(at["text"]))}
+    if "n_chars" in at:
+        kind = docs.schema["n_chars"].dataType
+        new[at["n_chars"]] = F.when(less, F.length("kept_text").cast(kind)).otherwise(F.col(at["n_chars"]))
+    return cut.withColumns(new).select(*given.columns).toDF(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -398,6 +398,11 @@ def _links(opened: DataFrame, percent: int) -> DataFrame:
     return opened.mapInArrow(compare, "doc bigint, tie bigint, to_doc bigint, to_tie bigint")
 
 
+def key_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return repeats.keyed(given, "id", "text").select("id", DOC, TIE, "text")
+
+
 def similar_components(
     docs: DataFrame,
     id_col: str,
@@ -411,7 +416,7 @@ def similar_components(
 
     Columns: ``doc``, ``tie``, ``n_shingles``, ``root_doc``, ``root_tie``, see ``repeats.keyed`` for the key.
     """
-    keyed = repeats.keyed(docs, id_col, text_col).select(DOC, TIE, text_col)
+    keyed, text_col = key_and_text(docs, id_col, text_col), "text"
     parts = shuffle_partitions(docs)
     buckets = parts * repeats.BUCKETS_PER_PARTITION
     signed = materialize(signatures(keyed, text_col, k).distinct(), "signatures")
@@ -427,6 +432,7 @@ def similar_components(
     cells = repeats.by_bucket(_cell_blocks(keyed, text_col, k, percent, common, buckets), parts)
     met = _met_groups(cells, percent, buckets)
     copies = members.where(F.struct("doc", "tie") != F.col("first")).select("doc", "tie")
+    keyed = keyed.drop("id")
     facts = met.unionByName(_copy_blocks(copies, buckets))
     texts = repeats.by_bucket(facts.unionByName(repeats.text_blocks(keyed, buckets)), parts)
     opened = repeats.by_bucket(_open_groups(texts, text_col, k, percent, common, buckets), parts)
@@ -445,7 +451,7 @@ def similar_components(
 def components_by_id(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``, repeated rows included."""
     found = similar_components(docs, id_col, text_col, **options)
-    keys = repeats.keyed(docs.select(id_col, text_col), id_col, text_col).select(F.col(id_col).alias("doc_id"), DOC, TIE)
+    keys = key_and_text(docs, id_col, text_col).select(F.col("id").alias("doc_id"), DOC, TIE)
     joined = keys.join(found, (F.col(DOC) == F.col("doc")) & (F.col(TIE) == F.col("tie")))
     # the working id of a null id is the largest number
     least = F.when(F.col("root_doc") != F.lit((1 << 63) - 1), F.col("root_doc"))

@@ -17,7 +17,7 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     models = toxicity.train(docs, labels, "doc_id", "text", "toxic", usable=~toxicity.held_out(F.col("id")))
-    scored = toxicity.with_score(docs.select("doc_id", "text"), "text", models)
+    scored = docs.select("doc_id", toxicity.score(F.col("text"), models).alias("score"))
     return scored.select(
         "doc_id",
         toxicity.held_out(F.col("doc_id")).alias("held_out"),

@@ -99,10 +99,16 @@ def bucket_of_hash(hashes: np.ndarray, buckets: int) -> np.ndarray:
 # ---------------------------------------------------------------- documents
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns renamed by number, so that no name clashes with a working column."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with a working key: the id (null after all others), and if ids repeat a hash of the text.
 
-    Rows that repeat both id and text are one document that stands in several rows.
+    Rows that repeat both id and text are one document that stands in several rows. Other columns must not
+    have the names of the key.
     """
     ident = F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1))
     # one column of ids decides

@@ -116,17 +116,19 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, *, words: int =
     """
     added = [c.split()[0] for c in REMOVED.split(", ")]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
+    given = repeats.numbered(docs)
+    at = {name: given.columns[i] for i, name in enumerate(docs.columns)}
     windows = Windows(words, seed, word_hashes)
-    columns = docs.columns
-    result = f"{docs.schema.toDDL()}, {REMOVED}"
+    columns, text = given.columns, at[text_col]
+    result = f"{given.schema.toDDL()}, {REMOVED}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, facts in repeats.texts_with_facts(batches):
             batch = repeats.in_order(batch)
             spans = repeats.removals_by_row(batch, facts, words)
             n_words, n_removed, listed, kept = [], [], [], []
-            for i, text in enumerate(batch.column(text_col).to_pylist()):
-                parts = (text or "").encode().split()
+            for i, own in enumerate(batch.column(text).to_pylist()):
+                parts = (own or "").encode().split()
                 n_words.append(len(parts))
                 gone = spans.get(i, [])
                 n_removed.append(sum(end - begin for begin, end in gone))
@@ -149,7 +151,8 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, *, words: int =
                 names=[*columns, *added],
             )
 
-    return repeats.plan(repeats.keyed(docs, id_col, text_col), text_col, windows, _compare(text_col, windows), cut, result)
+    keyed = repeats.keyed(given, at[id_col], text)
+    return repeats.plan(keyed, text, windows, _compare(text, windows), cut, result).toDF(*docs.columns, *added)
 
 
 def removed_sql(table: str = "documents", words: int = WORDS) -> str:

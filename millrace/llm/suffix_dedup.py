@@ -310,17 +310,19 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, *, length: int =
     """
     added = [c.split()[0] for c in REMOVED.split(", ")]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
+    given = repeats.numbered(docs)
+    at = {name: given.columns[i] for i, name in enumerate(docs.columns)}
     windows = Windows(length, seed, byte_units)
-    columns = docs.columns
-    result = f"{docs.schema.toDDL()}, {REMOVED}"
+    columns, text = given.columns, at[text_col]
+    result = f"{given.schema.toDDL()}, {REMOVED}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, facts in repeats.texts_with_facts(batches):
             batch = repeats.in_order(batch)
             spans = repeats.removals_by_row(batch, facts, length)
             n_bytes, n_removed, listed, kept = [], [], [], []
-            for i, text in enumerate(batch.column(text_col).to_pylist()):
-                data, gone, at, parts = (text or "").encode(), spans.get(i, []), 0, []
+            for i, own in enumerate(batch.column(text).to_pylist()):
+                data, gone, at, parts = (own or "").encode(), spans.get(i, []), 0, []
                 for begin, end in gone:
                     parts.append(data[at:begin])
                     at = end
@@ -341,4 +343,5 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, *, length: int =
                 names=[*columns, *added],
             )
 
-    return repeats.plan(repeats.keyed(docs, id_col, text_col), text_col, windows, _compare(text_col, windows), cut, result)
+    keyed = repeats.keyed(given, at[id_col], text)
+    return repeats.plan(keyed, text, windows, _compare(text, windows), cut, result).toDF(*docs.columns, *added)

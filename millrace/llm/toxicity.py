@@ -226,13 +226,13 @@ def scores_of(texts: pa.Array, models: list[Classifier]) -> np.ndarray:
     return out
 
 
-def with_score(docs: DataFrame, text_col: str, models: list[Classifier], name: str = "score") -> DataFrame:
-    """``docs`` with the mean score of the classifiers, from 0 to 1, in ``name``; a column of that name is replaced."""
+def score(text: Column, models: list[Classifier]) -> Column:
+    """The mean score of the classifiers for a text, from 0 to 1."""
 
     @F.pandas_udf("double")
-    def score(texts):
+    def scored(texts):
         import pandas as pd
 
         return pd.Series(scores_of(pa.Array.from_pandas(texts, type=pa.large_string()), models), index=texts.index)
 
-    return docs.withColumn(name, score(F.col(text_col)))
+    return scored(text)
