@@ -71,7 +71,9 @@ def codes(texts: pa.Array, k: int = SHINGLE_WORDS, bins: int = BINS, bits: int =
     if bins & (bins - 1) or bits not in (1, 2, 4, 8):
         raise ValueError("bins is a power of two and bits one of 1, 2, 4, 8")
     table, has_words = _minima(texts, k, bins)
-    low = (mix(_densify(table, has_words)) & U64((1 << bits) - 1)).astype(np.uint8)
+    # mixed with the bin, so that a value that fills many bins agrees by chance in each of them on its own
+    salt = mix(np.arange(1, bins + 1, dtype=U64))
+    low = (mix(_densify(table, has_words) ^ salt) & U64((1 << bits) - 1)).astype(np.uint8)
     low[~has_words] = 0
     return low, has_words
 

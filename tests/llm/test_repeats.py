@@ -122,8 +122,8 @@ def test_hash_compared_sort_is_the_suffix_order():
     anchor = np.array(sorted(r.sample(range(30, 370), 80)))
     reach = np.array([r.randint(0, 30) for _ in anchor])
     group = np.array([r.randint(0, 3) for _ in anchor])
-    for left in (False, True):
-        suffixes = suffix_dedup.Suffixes(data, anchor, reach, left, 0)
+    for left, salt in ((False, 0), (True, 0), (False, 3)):
+        suffixes = suffix_dedup.Suffixes(data, suffix_dedup.salted_sums(data, salt), anchor, reach, left)
         text = [bytes(data[a - n : a])[::-1] if left else bytes(data[a : a + n]) for a, n in zip(anchor, reach)]
         order, common = suffix_dedup.extension_order(suffixes, group)
         assert [(group[i], text[i]) for i in order] == sorted(zip(group.tolist(), text))
