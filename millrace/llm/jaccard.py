@@ -196,7 +196,11 @@ def _cell_blocks(docs: DataFrame, text_col: str, k: int, percent: int, frequent:
 def _met_groups(cells: DataFrame, percent: int, buckets: int) -> DataFrame:
     """For each document and shingle the groups, its own included, that have another document with the shingle."""
 
+    def settle(rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, int]]:
+        yield repeats.send_runs(rows, buckets, FACTS)
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = repeats.Outbox(settle)
         for facts, _ in repeats.grouped_facts(batches):
             x = repeats.joined(facts)
             token = x["high"].astype(U64) << U64(16) | x["low"].astype(U64)
@@ -231,7 +235,8 @@ def _met_groups(cells: DataFrame, percent: int, buckets: int) -> DataFrame:
                 met = pa.RecordBatch.from_pydict(
                     {"doc": doc, "tie": tie, "group": group[cell_at[cell[kept]]], "flag": np.where(own[kept], OWN, CROSS).astype(np.uint8)}
                 )
-                yield from repeats.block_batches(repeats.deal(met, repeats.bucket_of_doc(doc, tie, buckets), FACTS))
+                yield from out.add(met)
+        yield from out.flush()
 
     return cells.mapInArrow(meet, BLOCK)
 
@@ -268,26 +273,29 @@ def _copy_blocks(members: DataFrame, buckets: int) -> DataFrame:
 def _open_groups(texts: DataFrame, text_col: str, k: int, percent: int, frequent: np.ndarray, buckets: int) -> DataFrame:
     """The sets of documents that reach the bound of a group, dealt by group."""
 
+    def settle(rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, int]]:
+        group = rows.column("group").to_numpy()
+        yield rows, (mix(group.astype(U64)) % U64(buckets)).astype(np.int32), FACTS
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = repeats.Outbox(settle)
         for batch, facts in repeats.texts_with_facts(batches):
-            if not facts:
+            doc, tie, at_row = repeats.distinct_documents(batch)
+            row, x = facts.of(doc, tie)
+            if not len(row):
                 continue
-            batch = repeats.in_order(batch)
-            doc, tie = repeats.key_of(batch)
-            row = repeats.Ranker(doc, tie).rows(facts["doc"], facts["tie"])
             copies = np.zeros(len(doc), dtype=bool)
-            copies[row[(row >= 0) & (facts["flag"] == COPY)]] = True
-            here = np.flatnonzero((row >= 0) & (facts["flag"] != COPY))
-            here = here[~copies[row[here]]]
+            copies[row[x["flag"] == COPY]] = True
+            here = np.flatnonzero((x["flag"] != COPY) & ~copies[row])
             if not len(here):
                 continue
             # how many cells of each group a document meets
-            pair = row[here].astype(U64) << U64(33) | facts["flag"][here].astype(U64) << U64(32) | facts["group"][here].astype(U64)
+            pair = row[here].astype(U64) << U64(33) | x["flag"][here].astype(U64) << U64(32) | x["group"][here].astype(U64)
             pair, met = np.unique(pair, return_counts=True)
             rows, own = (pair >> U64(33)).astype(np.int64), (pair >> U64(32)) & U64(1) == OWN
             group = (pair & U64(0xFFFFFFFF)).astype(np.uint32)
             used = np.unique(rows)
-            tokens, first = sets_of(batch.column(text_col).take(pa.array(used)), k)
+            tokens, first = sets_of(batch.column(text_col).take(pa.array(at_row[used])), k)
             ordered, marked = in_rare_order(tokens, first, frequent)
             mine, n = group_of(ordered, marked, first), np.diff(first)
             at = np.searchsorted(used, rows)
@@ -306,7 +314,8 @@ def _open_groups(texts: DataFrame, text_col: str, k: int, percent: int, frequent
             rows_out = pa.RecordBatch.from_pydict(
                 {"group": to, "doc": doc[used][of], "tie": tie[used][of], "member": member, "set": sets}
             )
-            yield from repeats.block_batches(repeats.deal(rows_out, (mix(to.astype(U64)) % U64(buckets)).astype(np.int32), FACTS))
+            yield from out.add(rows_out)
+        yield from out.flush()
 
     return texts.mapInArrow(send, BLOCK)
 

@@ -29,7 +29,9 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.ranges import shuffle_partitions
 from millrace.llm.words import U64, mix, powers, prefix_sums, slices
 
-BUCKETS_PER_PARTITION = 3
+BUCKETS_PER_PARTITION = 2
+# a task gathers so many bytes for all buckets before it sends them as blocks
+GATHERED_BYTES = 24_000_000
 BLOCK = "bucket int, kind int, block binary"
 BLOCK_SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.binary())])
 # kinds of blocks; within a bucket they come in this order
@@ -76,6 +78,31 @@ def block_batches(blocks: list[tuple[int, int, bytes]], most_bytes: int = 8_000_
             first, size = i + 1, 0
 
 
+class Outbox:
+    """Gathers rows over many inputs of a task, so that blocks are few and large.
+
+    ``settle`` turns the gathered rows into what is to be sent: tuples of rows, their buckets and their kind.
+    """
+
+    def __init__(self, settle: Callable[[pa.RecordBatch], Iterator[tuple[pa.RecordBatch, np.ndarray, int]]]) -> None:
+        self.settle, self.rows, self.size = settle, [], 0
+
+    def add(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if len(rows):
+            self.rows.append(rows)
+            self.size += rows.nbytes
+        if self.size >= GATHERED_BYTES:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            whole = pa.concat_batches(self.rows)
+            self.rows, self.size = [], 0
+            for rows, buckets, kind in self.settle(whole):
+                if len(rows):
+                    yield from block_batches(deal(rows, buckets, kind))
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
     for batch in batches:
         buckets, kinds, blocks = (batch.column(i) for i in range(3))
@@ -255,7 +282,11 @@ def grouped_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[byte
 def candidate_blocks(seeds: DataFrame, buckets: int) -> DataFrame:
     """The anchors that more than one batch has, dealt by document."""
 
+    def settle(rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, int]]:
+        yield rows, bucket_of_doc(rows.column("doc").to_numpy(), rows.column("tie").to_numpy(), buckets), FACTS
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Outbox(settle)
         for facts, passed in grouped_facts(batches):
             if passed:
                 yield from block_batches([(passed[1], FACTS, passed[0])])
@@ -268,39 +299,56 @@ def candidate_blocks(seeds: DataFrame, buckets: int) -> DataFrame:
             twice[1:] |= same
             twice[:-1] |= same
             picked = np.sort(order[twice])
-            if len(picked):
-                doc, tie = x["doc"][picked], x["tie"][picked]
-                yield from block_batches(deal(_candidates(doc, tie, x["place"][picked]), bucket_of_doc(doc, tie, buckets), FACTS))
+            yield from out.add(_candidates(x["doc"][picked], x["tie"][picked], x["place"][picked]))
+        yield from out.flush()
 
     return seeds.mapInArrow(find, BLOCK)
 
 
-def texts_with_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, dict[str, np.ndarray]]]:
-    """Every text block with the facts of its bucket: those come first, then the texts one block at a time."""
-    bucket, facts, ready = None, [], None
+class Facts:
+    """The facts of a bucket in the order of their documents."""
+
+    def __init__(self, blocks: list[bytes]) -> None:
+        self.columns = joined(blocks) if blocks else {}
+        if blocks:
+            keys = _paired(self.columns["doc"], self.columns["tie"])
+            order = np.argsort(keys, kind="stable")
+            self.keys = keys[order]
+            self.columns = {name: column[order] for name, column in self.columns.items()}
+
+    def of(self, doc: np.ndarray, tie: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """The facts of some documents, given once each and in order: the document's number, and the columns."""
+        if not self.columns:
+            return np.zeros(0, np.int64), {}
+        wanted = _paired(doc, tie)
+        begin, end = np.searchsorted(self.keys, wanted, "left"), np.searchsorted(self.keys, wanted, "right")
+        many = end - begin
+        number = np.repeat(np.arange(len(doc)), many)
+        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin, many)
+        return number, {name: column[at] for name, column in self.columns.items()}
+
+
+def texts_with_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Facts]]:
+    """Every text block, in key order, with the facts of its bucket: those come first, then the texts one block at a time."""
+    bucket, blocks, ready = None, [], None
     for at, kind, block in rows_of(batches):
         if at != bucket:
-            bucket, facts, ready = at, [], None
+            bucket, blocks, ready = at, [], None
         if kind == FACTS:
-            facts.append(block)
+            blocks.append(block)
             continue
         if ready is None:
-            ready = joined(facts) if facts else {}
-        yield from_block(block), ready
-
+            ready = Facts(blocks)
+        yield in_order(from_block(block)), ready
 
-class Ranker:
-    """Row numbers of documents in a block whose rows are in key order."""
 
-    def __init__(self, doc: np.ndarray, tie: np.ndarray) -> None:
-        self.keys = _paired(doc, tie)
-
-    def rows(self, doc: np.ndarray, tie: np.ndarray) -> np.ndarray:
-        """The first row of each document, or -1 if the block does not have it."""
-        wanted = _paired(doc, tie)
-        at = np.searchsorted(self.keys, wanted)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == wanted, at, -1) if len(self.keys) else np.full(len(wanted), -1)
+def distinct_documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Id and tie of the documents of a block in key order, and the first row of each."""
+    doc, tie = key_of(batch)
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])
+    rows = np.flatnonzero(new)
+    return doc[rows], tie[rows], rows
 
 
 def _paired(doc: np.ndarray, tie: np.ndarray) -> np.ndarray:
@@ -322,10 +370,8 @@ def runs_of(doc: np.ndarray, tie: np.ndarray, start: np.ndarray) -> pa.RecordBat
     return pa.RecordBatch.from_pydict({"doc": doc[at], "tie": tie[at], "start": start[at], "stop": start[last] if len(at) else start[:0]})
 
 
-def run_blocks(runs: pa.RecordBatch, buckets: int, kind: int) -> Iterator[pa.RecordBatch]:
-    if len(runs):
-        doc, tie = runs.column("doc").to_numpy(), runs.column("tie").to_numpy()
-        yield from block_batches(deal(runs, bucket_of_doc(doc, tie, buckets), kind))
+def send_runs(rows: pa.RecordBatch, buckets: int, kind: int) -> tuple[pa.RecordBatch, np.ndarray, int]:
+    return rows, bucket_of_doc(rows.column("doc").to_numpy(), rows.column("tie").to_numpy(), buckets), kind
 
 
 def covered_spans(starts: np.ndarray, stops: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -340,23 +386,17 @@ def covered_spans(starts: np.ndarray, stops: np.ndarray, length: int) -> list[tu
     return [tuple(s) for s in spans]
 
 
-def removals_by_row(batch: pa.RecordBatch, facts: dict[str, np.ndarray], length: int) -> dict[int, list[tuple[int, int]]]:
-    """Row number of ``batch`` (in key order) to the spans to be removed."""
-    if not facts:
-        return {}
-    doc, tie = key_of(batch)
-    row = Ranker(doc, tie).rows(facts["doc"], facts["tie"])
-    here = np.flatnonzero(row >= 0)
-    order = here[np.argsort(row[here], kind="stable")]
-    cuts = np.flatnonzero(np.diff(row[order])) + 1
+def removals_by_row(batch: pa.RecordBatch, facts: Facts, length: int) -> dict[int, list[tuple[int, int]]]:
+    """Row number of ``batch`` (in key order) to the spans to be removed; rows that repeat a document share them."""
+    doc, tie, rows = distinct_documents(batch)
+    number, x = facts.of(doc, tie)
+    ends = np.append(rows[1:], len(batch))
     out = {}
-    for part in np.split(order, cuts):
+    for part in np.split(np.arange(len(number)), np.flatnonzero(np.diff(number)) + 1):
         if len(part):
-            out[int(row[part[0]])] = covered_spans(facts["start"][part], facts["stop"][part], length)
-    # rows that repeat a document share its spans
-    for i in range(1, len(batch)):
-        if doc[i] == doc[i - 1] and tie[i] == tie[i - 1] and i - 1 in out:
-            out[i] = out[i - 1]
+            spans = covered_spans(x["start"][part], x["stop"][part], length)
+            of = number[part[0]]
+            out |= dict.fromkeys(range(int(rows[of]), int(ends[of])), spans)
     return out
 
 

@@ -45,63 +45,70 @@ def _first_of_equals(h1: np.ndarray, h2: np.ndarray, order_keys: tuple[np.ndarra
     return out
 
 
-def _windows(batch: pa.RecordBatch, facts: dict, text_col: str, windows: Windows) -> dict[str, np.ndarray]:
+_WINDOW = pa.schema(
+    [("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.uint32()), ("h1", pa.uint64()), ("h2", pa.uint32()), ("seed", pa.uint64())]
+)
+
+
+def _windows(batch: pa.RecordBatch, facts: repeats.Facts, text_col: str, windows: Windows) -> pa.RecordBatch:
     """The windows of a text block that its candidate anchors answer for."""
-    doc, tie = repeats.key_of(batch)
-    row = repeats.Ranker(doc, tie).rows(facts["doc"], facts["tie"])
-    here = row >= 0
-    rows = np.unique(row[here])
-    values, first = windows.units(batch.column(text_col).take(pa.array(rows)))
+    doc, tie, rows = repeats.distinct_documents(batch)
+    number, x = facts.of(doc, tie)
+    if not len(number):
+        return pa.RecordBatch.from_pylist([], _WINDOW)
+    used, text = np.unique(number, return_inverse=True)
+    values, first = windows.units(batch.column(text_col).take(pa.array(rows[used])))
     found = windows.anchors(values, first)
     # an anchor is a candidate if the document and place are among the facts
-    text = np.searchsorted(rows, row[here])
-    wanted = np.unique(first[text] + facts["place"][here].astype(np.int64))
-    keep = np.isin(found.at, wanted)
+    keep = np.isin(found.at, np.unique(first[text] + x["place"].astype(np.int64)))
     low, many, seed = found.low[keep], (found.high - found.low + 1)[keep], found.hash[keep]
     starts = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
     span, n = windows.length, len(values)
     inverse = powers(n)[1]
     sums, other = prefix_sums(values), prefix_sums(mix(values ^ U64(0x5851F42D4C957F2D)))
     of_text = np.repeat(found.text[keep], many)
-    return {
-        "doc": doc[rows][of_text],
-        "tie": tie[rows][of_text],
+    columns = {
+        "doc": doc[used][of_text],
+        "tie": tie[used][of_text],
         "start": (starts - first[of_text]).astype(np.uint32),
         "h1": mix((sums[starts + span] - sums[starts]) * inverse[starts]),
         "h2": (mix((other[starts + span] - other[starts]) * inverse[starts]) >> U64(32)).astype(np.uint32),
         "seed": np.repeat(seed, many),
     }
+    return pa.RecordBatch.from_pydict(columns, schema=_WINDOW)
+
+
+def _split(rows: pa.RecordBatch) -> tuple[np.ndarray, pa.RecordBatch]:
+    """Marks the first of equal windows, and the runs of all later ones."""
+    x = {name: rows.column(name).to_numpy() for name in ("doc", "tie", "start", "h1", "h2")}
+    first = _first_of_equals(x["h1"], x["h2"], (x["doc"], x["tie"], x["start"]))
+    return first, repeats.runs_of(x["doc"][~first], x["tie"][~first], x["start"][~first])
 
 
 def _compare(text_col: str, windows: Windows):
     def compare(texts: DataFrame, buckets: int) -> DataFrame:
+        def gathered(rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, int]]:
+            # settle what is equal within the task, and send on the first of each
+            first, runs = _split(rows)
+            yield repeats.send_runs(runs, buckets, PASSED)
+            sent = rows.filter(pa.array(first))
+            yield sent.drop_columns(["seed"]), repeats.bucket_of_hash(sent.column("seed").to_numpy(), buckets), FACTS
+
         def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = repeats.Outbox(gathered)
             for batch, facts in repeats.texts_with_facts(batches):
-                if not facts:
-                    continue
-                batch = repeats.in_order(batch)
-                x = _windows(batch, facts, text_col, windows)
-                if not len(x["h1"]):
-                    continue
-                # settle what is equal within the block, and send on the first of each
-                first = _first_of_equals(x["h1"], x["h2"], (x["doc"], x["tie"], x["start"]))
-                later = ~first
-                yield from repeats.run_blocks(
-                    repeats.runs_of(x["doc"][later], x["tie"][later], x["start"][later]), buckets, PASSED
-                )
-                sent = pa.RecordBatch.from_pydict({c: x[c][first] for c in ("doc", "tie", "start", "h1", "h2")})
-                yield from repeats.block_batches(repeats.deal(sent, repeats.bucket_of_hash(x["seed"][first], buckets), FACTS))
+                yield from out.add(_windows(batch, facts, text_col, windows))
+            yield from out.flush()
 
         def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = repeats.Outbox(lambda rows: iter([repeats.send_runs(rows, buckets, FACTS)]))
             for facts, passed in repeats.grouped_facts(batches):
                 if passed:
                     yield from repeats.block_batches([(passed[1], FACTS, passed[0])])
-                    continue
-                x = repeats.joined(facts)
-                later = ~_first_of_equals(x["h1"], x["h2"], (x["doc"], x["tie"], x["start"]))
-                yield from repeats.run_blocks(
-                    repeats.runs_of(x["doc"][later], x["tie"][later], x["start"][later]), buckets, FACTS
-                )
+                else:
+                    rows = pa.concat_batches([repeats.from_block(b) for b in facts])
+                    yield from out.add(_split(rows)[1])
+            yield from out.flush()
 
         parts = buckets // repeats.BUCKETS_PER_PARTITION
         return repeats.by_bucket(texts.mapInArrow(extend, BLOCK), parts).mapInArrow(settle, BLOCK)
@@ -124,7 +131,6 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, *, words: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, facts in repeats.texts_with_facts(batches):
-            batch = repeats.in_order(batch)
             spans = repeats.removals_by_row(batch, facts, words)
             n_words, n_removed, listed, kept = [], [], [], []
             for i, own in enumerate(batch.column(text).to_pylist()):

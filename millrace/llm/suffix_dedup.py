@@ -44,12 +44,16 @@ def byte_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- the sort
 
 
+def salted_sums(data: np.ndarray, salt: int) -> np.ndarray:
+    """Prefix polynomial hashes of the bytes; each salt makes another hash."""
+    return prefix_sums(byte_values(data) ^ mix(np.array([salt], U64))) if salt else prefix_sums(byte_values(data))
+
+
 class Suffixes:
     """Suffixes of one buffer of bytes, each from an anchor up to a limit, to the right or to the left."""
 
-    def __init__(self, data: np.ndarray, anchor: np.ndarray, reach: np.ndarray, leftwards: bool, salt: int) -> None:
-        self.data, self.anchor, self.reach, self.leftwards = data, anchor, reach, leftwards
-        self.sums = prefix_sums(mix(byte_values(data) + U64(salt)))
+    def __init__(self, data: np.ndarray, sums: np.ndarray, anchor: np.ndarray, reach: np.ndarray, leftwards: bool) -> None:
+        self.data, self.sums, self.anchor, self.reach, self.leftwards = data, sums, anchor, reach, leftwards
         self.inverse = powers(len(self.sums))[1]
 
     def _hash(self, i: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -164,7 +168,7 @@ def earlier_strings(x: dict[str, np.ndarray], segments: pa.Array, length: int) -
     salt = 0
     while True:
         # equal segments are one class; its first document speaks for it
-        sums = prefix_sums(mix(byte_values(data) + U64(salt)))
+        sums = salted_sums(data, salt)
         digest = mix((sums[begin[1:]] - sums[begin[:-1]]) * powers(len(sums))[1][begin[:-1]]) + whole.astype(U64)
         order = np.lexsort((rank, off, digest, x["seed"]))
         new = np.ones(len(order), dtype=bool)
@@ -174,7 +178,7 @@ def earlier_strings(x: dict[str, np.ndarray], segments: pa.Array, length: int) -
         class_of = np.empty(len(order), np.int64)
         class_of[order] = np.cumsum(new) - 1
         same = np.flatnonzero(~new)
-        spans = Suffixes(data, begin[:-1], whole, False, salt)
+        spans = Suffixes(data, sums, begin[:-1], whole, False)
         fine = spans.verified(order[same], head[class_of[order[same]]], whole[order[same]])
         anchor = (begin[:-1] + off)[head]
         left, right = off[head], (whole - off)[head]
@@ -183,8 +187,8 @@ def earlier_strings(x: dict[str, np.ndarray], segments: pa.Array, length: int) -
         shared = np.flatnonzero(np.bincount(group)[group] > 1) if len(group) else np.zeros(0, np.int64)
         group, anchor, left, right = group[shared], anchor[shared], left[shared], right[shared]
         if fine:
-            onward = extension_order(Suffixes(data, anchor, right, False, salt), group)
-            backward = extension_order(Suffixes(data, anchor, left, True, salt), group)
+            onward = extension_order(Suffixes(data, sums, anchor, right, False), group)
+            backward = extension_order(Suffixes(data, sums, anchor, left, True), group)
             if onward and backward:
                 break
         salt += 1
@@ -229,17 +233,21 @@ def as_binary(segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, begin - begin[0]
 
 
-def _segments(batch: pa.RecordBatch, facts: dict, text_col: str, windows: Windows) -> tuple[dict, pa.Array]:
+_SEGMENT = pa.schema(
+    [("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.uint32()), ("off", pa.uint32()), ("seed", pa.uint64()), ("segment", pa.large_binary())]
+)
+
+
+def _segments(batch: pa.RecordBatch, facts: repeats.Facts, text_col: str, windows: Windows) -> pa.RecordBatch:
     """The text around the candidate anchors of a block: all the strings that an anchor answers for."""
-    doc, tie = repeats.key_of(batch)
-    row = repeats.Ranker(doc, tie).rows(facts["doc"], facts["tie"])
-    here = row >= 0
-    rows = np.unique(row[here])
-    texts = batch.column(text_col).take(pa.array(rows))
-    data, first = as_bytes(texts)
+    doc, tie, rows = repeats.distinct_documents(batch)
+    number, x = facts.of(doc, tie)
+    if not len(number):
+        return pa.RecordBatch.from_pylist([], _SEGMENT)
+    used, text = np.unique(number, return_inverse=True)
+    data, first = as_bytes(batch.column(text_col).take(pa.array(rows[used])))
     found = windows.anchors(byte_values(data), first)
-    text = np.searchsorted(rows, row[here])
-    keep = np.isin(found.at, np.unique(first[text] + facts["place"][here].astype(np.int64)))
+    keep = np.isin(found.at, np.unique(first[text] + x["place"].astype(np.int64)))
     low, end = found.low[keep], found.high[keep] + windows.length
     size = end - low
     offsets = np.concatenate([[0], np.cumsum(size)])
@@ -248,13 +256,19 @@ def _segments(batch: pa.RecordBatch, facts: dict, text_col: str, windows: Window
         pa.large_binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(joined)]
     )
     of = found.text[keep]
-    return {
-        "doc": doc[rows][of],
-        "tie": tie[rows][of],
+    columns = {
+        "doc": doc[used][of],
+        "tie": tie[used][of],
         "start": (low - first[of]).astype(np.uint32),
         "off": (found.at[keep] - low).astype(np.uint32),
         "seed": found.hash[keep],
-    }, segments
+        "segment": segments,
+    }
+    return pa.RecordBatch.from_pydict(columns, schema=_SEGMENT)
+
+
+def _columns(rows: pa.RecordBatch) -> dict[str, np.ndarray]:
+    return {c: rows.column(c).to_numpy() for c in ("doc", "tie", "start", "off", "seed")}
 
 
 def _runs(x: dict, segment: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
@@ -263,39 +277,37 @@ def _runs(x: dict, segment: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
 
 def _compare(text_col: str, windows: Windows):
     def compare(texts: DataFrame, buckets: int) -> DataFrame:
+        def gathered(rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, int]]:
+            # equal segments within the task: the later documents' strings are removed, the first is sent on
+            x, segments = _columns(rows), rows.column("segment")
+            names = segments.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            rank = np.unique(repeats._paired(x["doc"], x["tie"]), return_inverse=True)[1]
+            order = np.lexsort((rank, x["off"], names))
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (np.diff(names[order]) != 0) | (np.diff(x["off"][order].astype(np.int64)) != 0)
+            least = np.repeat(rank[order][new], np.diff(np.append(np.flatnonzero(new), len(order))))
+            later = np.sort(order[rank[order] > least])
+            strings = pa.compute.binary_length(segments).to_numpy()[later] - windows.length + 1
+            yield repeats.send_runs(_runs(x, np.repeat(later, strings), _counted(strings)), buckets, PASSED)
+            sent = rows.take(pa.array(np.sort(order[rank[order] == least])))
+            yield sent, repeats.bucket_of_hash(sent.column("seed").to_numpy(), buckets), FACTS
+
         def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = repeats.Outbox(gathered)
             for batch, facts in repeats.texts_with_facts(batches):
-                if not facts:
-                    continue
-                batch = repeats.in_order(batch)
-                x, segments = _segments(batch, facts, text_col, windows)
-                if not len(segments):
-                    continue
-                # equal segments of a block: the later documents' strings are removed, the first is sent on
-                names = segments.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                rank = np.unique(repeats._paired(x["doc"], x["tie"]), return_inverse=True)[1]
-                order = np.lexsort((rank, x["off"], names))
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = (np.diff(names[order]) != 0) | (np.diff(x["off"][order].astype(np.int64)) != 0)
-                least = np.repeat(rank[order][new], np.diff(np.append(np.flatnonzero(new), len(order))))
-                later = np.sort(order[rank[order] > least])
-                strings = pa.compute.binary_length(segments).to_numpy()[later] - windows.length + 1
-                yield from repeats.run_blocks(_runs(x, np.repeat(later, strings), _counted(strings)), buckets, PASSED)
-                sent = np.sort(order[rank[order] == least])
-                rows = pa.RecordBatch.from_pydict(
-                    {**{c: x[c][sent] for c in ("doc", "tie", "start", "off", "seed")}, "segment": segments.take(pa.array(sent))}
-                )
-                yield from repeats.block_batches(repeats.deal(rows, repeats.bucket_of_hash(x["seed"][sent], buckets), FACTS))
+                yield from out.add(_segments(batch, facts, text_col, windows))
+            yield from out.flush()
 
         def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = repeats.Outbox(lambda rows: iter([repeats.send_runs(rows, buckets, FACTS)]))
             for facts, passed in repeats.grouped_facts(batches):
                 if passed:
                     yield from repeats.block_batches([(passed[1], FACTS, passed[0])])
                     continue
-                table = pa.Table.from_batches([repeats.from_block(b) for b in facts])
-                x = {c: table.column(c).to_numpy() for c in ("doc", "tie", "start", "off", "seed")}
-                segment, start = earlier_strings(x, table.column("segment").combine_chunks(), windows.length)
-                yield from repeats.run_blocks(_runs(x, segment, start), buckets, FACTS)
+                rows = pa.concat_batches([repeats.from_block(b) for b in facts])
+                x = _columns(rows)
+                yield from out.add(_runs(x, *earlier_strings(x, rows.column("segment"), windows.length)))
+            yield from out.flush()
 
         parts = buckets // repeats.BUCKETS_PER_PARTITION
         return repeats.by_bucket(texts.mapInArrow(extend, BLOCK), parts).mapInArrow(settle, BLOCK)
@@ -318,7 +330,6 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, *, length: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, facts in repeats.texts_with_facts(batches):
-            batch = repeats.in_order(batch)
             spans = repeats.removals_by_row(batch, facts, length)
             n_bytes, n_removed, listed, kept = [], [], [], []
             for i, own in enumerate(batch.column(text).to_pylist()):
