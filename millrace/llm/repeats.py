@@ -31,7 +31,7 @@ from millrace.llm.words import U64, mix, powers, prefix_sums, slices
 
 BUCKETS_PER_PARTITION = 2
 # a task gathers so many bytes for all buckets before it sends them as blocks
-GATHERED_BYTES = 24_000_000
+GATHERED_BYTES = 16_000_000
 BLOCK = "bucket int, kind int, block binary"
 BLOCK_SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("block", pa.binary())])
 # kinds of blocks; within a bucket they come in this order

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from millrace.llm import repeats
 from millrace.llm.repeats import BLOCK, FACTS, PASSED, Windows
-from millrace.llm.words import U64, as_bytes, byte_values, mix, powers, prefix_sums
+from millrace.llm.words import SLICE_BYTES, U64, as_bytes, byte_values, mix, powers, prefix_sums
 
 LENGTH = 50
 SEED_BYTES = 16
@@ -271,6 +271,28 @@ def _columns(rows: pa.RecordBatch) -> dict[str, np.ndarray]:
     return {c: rows.column(c).to_numpy() for c in ("doc", "tie", "start", "off", "seed")}
 
 
+def _by_seed(rows: pa.RecordBatch, seed: int) -> Iterator[pa.RecordBatch]:
+    """The rows with their ``seed`` again, in parts of about ``SLICE_BYTES`` of text that keep equal seeds together."""
+    data, begin = as_binary(rows.column("segment"))
+    at = begin[:-1] + rows.column("off").to_numpy()
+    key = np.zeros(len(at), U64)
+    for i in range(0, seed, 8):
+        word = np.zeros(len(at), U64)
+        for j in range(i, min(i + 8, seed)):
+            word = word << U64(8) | data[at + j].astype(U64)
+        key = mix(key ^ word)
+    order = np.argsort(key, kind="stable")
+    size = np.cumsum(np.diff(begin)[order])
+    edges = np.append(np.flatnonzero(np.diff(key[order])) + 1, len(order))
+    rows = rows.append_column("seed", pa.array(key))
+    first = 0
+    while first < len(order):
+        done = size[first - 1] if first else 0
+        last = edges[min(len(edges) - 1, np.searchsorted(edges, max(first + 1, np.searchsorted(size, done + SLICE_BYTES))))]
+        yield rows.take(pa.array(order[first:last]))
+        first = int(last)
+
+
 def _runs(x: dict, segment: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
     return repeats.runs_of(x["doc"][segment], x["tie"][segment], x["start"][segment].astype(np.int64) + start)
 
@@ -290,7 +312,7 @@ def _compare(text_col: str, windows: Windows):
             strings = pa.compute.binary_length(segments).to_numpy()[later] - windows.length + 1
             yield repeats.send_runs(_runs(x, np.repeat(later, strings), _counted(strings)), buckets, PASSED)
             sent = rows.take(pa.array(np.sort(order[rank[order] == least])))
-            yield sent, repeats.bucket_of_hash(sent.column("seed").to_numpy(), buckets), FACTS
+            yield sent.drop_columns(["seed"]), repeats.bucket_of_hash(sent.column("seed").to_numpy(), buckets), FACTS
 
         def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = repeats.Outbox(gathered)
@@ -305,8 +327,9 @@ def _compare(text_col: str, windows: Windows):
                     yield from repeats.block_batches([(passed[1], FACTS, passed[0])])
                     continue
                 rows = pa.concat_batches([repeats.from_block(b) for b in facts])
-                x = _columns(rows)
-                yield from out.add(_runs(x, *earlier_strings(x, rows.column("segment"), windows.length)))
+                for part in _by_seed(rows, windows.seed):
+                    x = _columns(part)
+                    yield from out.add(_runs(x, *earlier_strings(x, part.column("segment"), windows.length)))
             yield from out.flush()
 
         parts = buckets // repeats.BUCKETS_PER_PARTITION

@@ -8,7 +8,6 @@ bijective mix; two hashes of independent keys are used wherever a single one cou
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,25 +49,23 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-@cache
-def _powers(bits: int, base: int) -> np.ndarray:
-    """``base`` to the power of 0, 1, ... for ``2**bits`` positions."""
-    out = np.ones(1, dtype=U64)
-    for i in range(bits):
-        out = np.concatenate([out, out * U64(pow(base, 1 << i, 1 << 64))])
-    return out
+# the powers of the base and of its inverse for the positions asked for so far
+_POWERS = [np.ones(1, dtype=U64), np.ones(1, dtype=U64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of the base and of its inverse for ``n`` positions at least."""
-    bits = max(16, (max(n, 1) - 1).bit_length())
-    return _powers(bits, _BASE), _powers(bits, _BASE_INVERSE)
+    """The powers 0, 1, ... of the base and of its inverse for ``n`` positions at least."""
+    for i, base in enumerate((_BASE, _BASE_INVERSE)):
+        while len(_POWERS[i]) < n:
+            known = _POWERS[i]
+            _POWERS[i] = np.concatenate([known, known * U64(pow(base, len(known), 1 << 64))])
+    return _POWERS[0], _POWERS[1]
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     """Polynomial prefix hashes of ``values``; entry ``i`` covers the values before ``i``."""
     out = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum(values * powers(len(values))[0][: len(values)], out=out[1:])
+    np.cumsum(values * powers(len(values) + 1)[0][: len(values)], out=out[1:])
     return out
 
 
