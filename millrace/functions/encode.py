@@ -6,10 +6,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
+from millrace.functions.text import DECIMAL, is_number
+
 
 def number_or(col: Column, default: float | int | Column | None, kind: str = "double") -> Column:
-    """The number in ``col``, or ``default`` where the text is not one."""
-    parsed = col.try_cast(kind)
+    """The number in ``col``, or ``default`` where the text is not one.
+
+    Numbers are digits with a sign, a point and a power of ten; what only a cast takes for one (``12d``,
+    ``NaN``, ``Infinity``) is not.
+    """
+    text = F.trim(col.cast("string"))
+    parsed = F.when(is_number(text, DECIMAL), text.try_cast(kind))
     return parsed if default is None else F.coalesce(parsed, F.lit(default).cast(kind))
 
 

@@ -44,8 +44,8 @@ def truncated_mean_abs_across(cols: Sequence[Column]) -> Column:
 
 
 def bin_percent(part: Column, whole: Column, width: float = 25.0) -> Column:
-    """``part`` as a percentage of ``whole + 1``, to the nearest ``width``."""
-    return bucket_nearest(part / (whole + 1) * 100, width)
+    """``part`` as a percentage of ``whole + 1``, to the nearest ``width``; null where that is zero."""
+    return bucket_nearest(F.try_divide(part, whole + 1) * 100, width)
 
 
 def whole_percent(part: Column, whole: Column) -> Column:

@@ -9,6 +9,9 @@ SIGNED_DECIMAL = r"^[-+]?\d*\.?\d+$"
 ONE_DIGIT_FRACTION = r"^[+-]?\d+\.?\d?$"
 OPTIONAL_DIGITS = r"^[+-]?\d*\.?\d*$"
 
+# a number as it may stand in a file, with an optional power of ten
+DECIMAL = r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"
+
 # Fixed value: the characters that end a token.
 WHITESPACE = " \t\n\x0b\f\r"
 

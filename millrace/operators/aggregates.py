@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql.types import IntegralType
 
-from millrace.operators.joins import ROWS_PER_TASK, skew_safe_join
-from millrace.operators.ordering import with_ordinal
+from millrace.operators.ordering import in_slots
+
+BYTES_PER_PIECE = 1 << 20
 
 
 def partial_rate(df: DataFrame, keys: Sequence[str], flag: Column) -> DataFrame:
@@ -28,17 +30,18 @@ def rate_report(df: DataFrame, keys: Sequence[str], hits: Column | str, n: Colum
     )
 
 
-def sum_count_mean(df: DataFrame, keys: Sequence[str], value: Column | str) -> DataFrame:
-    """Sum, row count, mean and whole-number mean of ``value`` per key (no keys: of all rows)."""
+def sum_count_mean(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Sum, number, mean and whole-number mean of ``value`` per key (no keys: of all rows).
+
+    Nulls are no values: a caller to whom they mean zero coalesces them first. The whole-number mean of
+    integers is exact; of other numbers the mean is cut.
+    """
+    integral = isinstance(df.schema[value].dataType, IntegralType)
+    whole = F.expr("total div n") if integral else (F.col("total") / F.col("n")).cast("bigint")
     return (
         df.groupBy(*keys)
-        .agg(F.sum(value).alias("total"), F.count("*").alias("n"))
-        .withColumns(
-            {
-                "mean": F.col("total") / F.col("n"),
-                "whole_mean": (F.col("total") / F.col("n")).cast("bigint"),
-            }
-        )
+        .agg(F.sum(value).alias("total"), F.count(value).alias("n"), F.avg(value).alias("mean"))
+        .withColumn("whole_mean", F.when(F.col("n") > 0, whole))
     )
 
 
@@ -49,22 +52,34 @@ def shortest_and_longest(df: DataFrame, value: str) -> DataFrame:
 
 
 def concat_ordered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, rows_per_piece: int = ROWS_PER_TASK // 1000
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bytes_per_piece: int = BYTES_PER_PIECE
 ) -> DataFrame:
-    """Concatenate ``value`` per key in ``order``, as numbered pieces of at most ``rows_per_piece`` rows.
+    """Concatenate ``value`` per key in ``order``, as numbered pieces of about ``bytes_per_piece``.
 
-    A key with few rows has the single piece 0. A key of any size is spread over many tasks, and its
-    pieces in order make up the whole text, which one cell could not hold.
+    A row goes to the piece that the bytes of its key before it give, so a piece is longer than the limit by
+    one row at most, and a short text is the single piece 0. Null keys are a key. A key of any size is
+    spread over many tasks; its pieces in order make up the whole text, which one cell could not hold.
+
+    Rows are range-sorted and written down. Each task adds up bytes within its range; only the first key of
+    a range can go on from ranges before, so one offset for each range completes them.
     """
     place = [F.col(c) for c in (*keys, *order)]
-    numbered = with_ordinal(df.select(*keys, *order, value), [*place, F.xxhash64(value)], "_ordinal")
-    first = numbered.groupBy(*keys).agg(F.min("_ordinal").alias("_first"), F.count("*").alias("n"))
-    placed = skew_safe_join(
-        numbered, first.drop("n"), keys, salt_by=["_ordinal"], key_counts=first.select(*keys, "n")
-    )
-    piece = F.floor((F.col("_ordinal") - F.col("_first")) / rows_per_piece).cast("bigint")
-    text = F.expr(f"listagg(`{value}`, '') WITHIN GROUP (ORDER BY _ordinal)")
-    return placed.withColumn("piece", piece).groupBy(*keys, "piece").agg(text.alias(value))
+    slots = in_slots(df.select(*keys, *order, value), [*place, F.xxhash64(value)]).withColumn("_size", F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint"))
+    group = Window.partitionBy("_part", *keys)
+    parts = slots.groupBy("_part", *keys).agg(F.sum("_size").alias("_size"), F.min("_slot").alias("_first"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("_offset", F.sum("_size").over(earlier)).where("_offset is not null")
+    # at most one row for each range
+    offsets = offsets.select(F.col("_part").alias("_of"), "_offset", F.col("_first").alias("_from"))
+    running = F.sum("_size").over(group.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1))
+    head = F.first("_slot").over(group.orderBy("_slot"))
+    counted = slots.withColumns({"_before": F.coalesce(running, F.lit(0)), "_head": head})
+    same = (F.col("_part") == F.col("_of")) & (F.col("_head") == F.col("_from"))
+    placed = counted.join(F.broadcast(offsets), same, "left")
+    before = F.col("_before") + F.coalesce("_offset", F.lit(0))
+    text = F.expr(f"listagg(`{value}`, '') WITHIN GROUP (ORDER BY _slot)")
+    pieces = placed.withColumn("piece", F.floor(before / bytes_per_piece).cast("bigint"))
+    return pieces.groupBy(*keys, "piece").agg(text.alias(value))
 
 
 def count_where(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:

@@ -57,19 +57,30 @@ def value_index(df: DataFrame, col: str) -> DataFrame:
     return materialize(with_ordinal(counts, [F.col("n").desc(), F.col(col).asc()], "index"), "index")
 
 
-def index_strings(df: DataFrame, index: DataFrame, col: str, salt_by: Sequence[str], output: str) -> DataFrame:
-    """Add the index of ``col`` to each row; ``index`` comes from ``value_index``."""
+def index_strings(
+    df: DataFrame, index: DataFrame, col: str, salt_by: Sequence[str], output: str, unknown: str = "keep"
+) -> DataFrame:
+    """Add the index of ``col`` to each row; ``index`` comes from ``value_index``.
+
+    Values that the index does not have, null among them, get no index with ``unknown="keep"``, drop their
+    row with ``"drop"``, and end the query with ``"error"``.
+    """
     lookup = index.select(F.col(col), F.col("index").alias(output))
-    return skew_safe_join(df, lookup, col, salt_by, key_counts=index.select(col, "n"))
+    how = "inner" if unknown == "drop" else "left"
+    out = skew_safe_join(df, lookup, col, salt_by, how, key_counts=index.select(col, "n"))
+    if unknown != "error":
+        return out
+    complain = F.raise_error(F.concat(F.lit(f"{col} without an index: "), F.coalesce(F.col(col).cast("string"), F.lit("null"))))
+    return out.withColumn(output, F.coalesce(output, complain.cast("bigint")))
 
 
 def strings_of_index(
     df: DataFrame, index: DataFrame, col: str, source: str, salt_by: Sequence[str], output: str
 ) -> DataFrame:
-    """Add the original value of the index in ``source``; the inverse of ``index_strings``."""
+    """Add the original value of the index in ``source``; the inverse of ``index_strings``. No index, no value."""
     lookup = index.select(F.col("index").alias(source), F.col(col).alias(output))
     counts = index.select(F.col("index").alias(source), "n")
-    return skew_safe_join(df, lookup, source, salt_by, key_counts=counts)
+    return skew_safe_join(df, lookup, source, salt_by, "left", key_counts=counts)
 
 
 def _counted_terms(words: Column) -> Column:
@@ -99,29 +110,31 @@ def _counted_terms(words: Column) -> Column:
     return F.when(F.size(words) > 0, counted)
 
 
-def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
+def term_counts(df: DataFrame, doc: str, text: str, *, one_row_per_doc: bool = False) -> DataFrame:
     """``doc``, ``term`` and its number of occurrences ``tf``.
 
-    Terms are counted within their row. Only if some ``doc`` has several rows, which a look at the ids
-    alone tells, are the rows of a document brought together.
+    Terms are counted within their row, and then the rows of a document are brought together. Who knows that
+    each ``doc`` has one row says so and saves that shuffle.
     """
     words = spread_small_input(df.select(doc, text)).select(doc, tokens(F.col(text)).alias("_words"))
     pairs = words.select(doc, F.explode(_counted_terms(F.col("_words"))).alias("_pair"))
     counts = pairs.select(doc, "_pair.term", "_pair.tf")
-    if df.groupBy(doc).agg(F.count("*").alias("n")).where(F.col("n") > 1).isEmpty():
+    if one_row_per_doc:
         return counts
     return counts.groupBy(doc, "term").agg(F.sum("tf").alias("tf"))
 
 
-def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
+def tf_idf(df: DataFrame, doc: str, text: str, *, one_row_per_doc: bool = False) -> DataFrame:
     """``doc``, ``term``, ``tf`` and ``tf_idf`` = tf * ln((documents + 1) / (documents with the term + 1)).
 
-    The vocabulary with its document counts is written down; the texts are read once for it and once
-    for the result. Terms of nearly every document are hot keys and are spread by document.
+    The texts are read and tokenised once: their term counts are written down, and read for the vocabulary
+    and for the result. Terms of nearly every document are hot keys and are spread by document.
     """
-    counts = term_counts(df, doc, text)
+    counts = materialize(term_counts(df, doc, text, one_row_per_doc=one_row_per_doc), "term-counts")
     frequency = materialize(counts.groupBy("term").agg(F.count("*").alias("n")), "vocabulary")
-    documents = df.agg(F.count("*").alias("m")).scalar()
+    # documents, not rows; one without words counts as well
+    ids = df if one_row_per_doc else df.select(doc).distinct()
+    documents = ids.agg(F.count("*").alias("m")).scalar()
     weights = frequency.select("term", F.log((documents + 1) / (F.col("n") + 1)).alias("idf"))
     joined = skew_safe_join(counts, weights, "term", salt_by=[doc], key_counts=frequency)
     return joined.select(doc, "term", "tf", (F.col("tf") * F.col("idf")).alias("tf_idf"))

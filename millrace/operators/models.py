@@ -9,23 +9,25 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF, IndexToString, StringIndexer, StringIndexerModel, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import tokens
 from millrace.operators.aggregates import accuracy
 from millrace.operators.features import assemble
-from millrace.operators.partitions import spread_small_input
+from millrace.operators.joins import skew_safe_join
+from millrace.operators.ordering import with_ordinal
 from millrace.sources import inline_table
+from millrace.workspace import materialize
 
 SEED = 42
 
-# Labels and cluster centres become model parameters on the driver, so their number is limited.
-MAX_CENTRES = 1_000
+# Centres are compared in blocks of about so many, each one value of the plan.
+CENTRES_PER_BLOCK = 1_000
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], label: str) -> LinearRegressionModel:
@@ -54,14 +56,23 @@ def classifiers(seed: int = SEED) -> dict[str, Estimator]:
     }
 
 
-def fit_classifier(df: DataFrame, estimator: Estimator, label: str) -> PipelineModel:
+def label_index(df: DataFrame, label: str) -> StringIndexerModel:
+    """The classes of ``label``, the most frequent first, read into ``label_index``."""
+    known = df.where(F.col(label).isNotNull())
+    return StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep").fit(known)
+
+
+def fit_classifier(
+    df: DataFrame, estimator: Estimator, label: str, indexer: StringIndexerModel | None = None
+) -> PipelineModel:
     """Index ``label``, train on ``features`` and turn predictions back into label values.
 
     Rows without a label take no part in training. The scored rows carry the predicted label, as text,
-    in ``predicted``.
+    in ``predicted``. The labels are a parameter of the model: the classes that it can predict. ``indexer`` may
+    bring an index of them that is fitted already.
     """
     df = df.where(F.col(label).isNotNull())
-    indexer = StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep").fit(df)
+    indexer = indexer or label_index(df, label)
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
     return Pipeline(stages=[indexer, estimator, names]).fit(df)
 
@@ -74,8 +85,10 @@ def compare_classifiers(
     Naive Bayes among them needs features that are not negative.
     """
 
+    indexer = label_index(train, label)
+
     def scored(name: str) -> DataFrame:
-        result = fit_classifier(train, estimators[name], label).transform(test)
+        result = fit_classifier(train, estimators[name], label, indexer).transform(test)
         scores = accuracy(result.withColumn(label, F.col(label).cast("string")), label, "predicted")
         return scores.select(F.lit(name).alias("model"), "accuracy")
 
@@ -93,26 +106,40 @@ def fit_text_classifier(df: DataFrame, text: str, label: str) -> PipelineModel:
     return Pipeline(stages=stages).fit(df)
 
 
-def term_likelihoods(df: DataFrame, text: str, flag: str) -> DataFrame:
-    """Multinomial naive Bayes over words for a 0/1 label, as a table.
+def term_likelihoods(df: DataFrame, text: str, label: str) -> DataFrame:
+    """Multinomial naive Bayes over words, for any number of classes, as a table.
 
-    Rows ``class``, ``term``, ``log_likelihood``, with smoothing 1 over the whole vocabulary. Each
-    term is one row until the end, so unseen pairs need no cross join.
+    Rows ``class``, ``term``, ``log_likelihood`` for every class and word, with smoothing 1 over the whole
+    vocabulary. Rows without a class take no part. The classes are the parameter of the model: each term
+    keeps one row with a count for each, so unseen pairs need no cross join.
     """
-    words = spread_small_input(df.select(flag, text)).select(F.col(flag), F.explode(tokens(F.col(text))).alias("term"))
-    per_term = words.groupBy("term").agg(
-        F.count_if(F.col(flag) == 0).alias("zeros"), F.count_if(F.col(flag) == 1).alias("ones")
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).alias("class"), F.explode(tokens(F.col(text))).alias("term"))
+    per_pair = rows.groupBy("term", "class").agg(F.count("*").alias("n"))
+    return _likelihoods(per_pair, df.select(F.col(label).alias("class")), "term")
+
+
+def feature_likelihoods(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """The same for numeric features that are not negative: rows ``class``, ``feature``, ``log_likelihood``."""
+    named = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("n")) for f in features]))
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).alias("class"), named.alias("e"))
+    per_pair = rows.groupBy(F.col("e.feature").alias("feature"), "class").agg(F.sum("e.n").alias("n"))
+    return _likelihoods(per_pair, df.select(F.col(label).alias("class")), "feature")
+
+
+def _likelihoods(per_pair: DataFrame, labelled: DataFrame, name: str) -> DataFrame:
+    """Smoothed shares from the sums ``n`` of each pair of ``name`` and class."""
+    # one number for each class, and the size of the vocabulary
+    classes = labelled.where("class is not null").distinct().agg(F.array_sort(F.collect_list("class")).alias("c")).scalar()
+    per_class = per_pair.groupBy("class").agg(F.sum("n").alias("n"))
+    totals = per_class.agg(F.map_from_entries(F.collect_list(F.struct("class", "n"))).alias("t")).scalar()
+    by_name = per_pair.groupBy(name).agg(F.map_from_entries(F.collect_list(F.struct("class", "n"))).alias("by_class"))
+    size = by_name.agg(F.count("*").alias("v")).scalar()
+    each = by_name.select(name, "by_class", F.explode(classes).alias("class"))
+    zero = F.lit(0)
+    share = (F.coalesce(F.try_element_at("by_class", F.col("class")), zero) + 1) / (
+        F.coalesce(F.try_element_at(totals, F.col("class")), zero) + size
     )
-    totals = per_term.agg(
-        F.struct(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.count("*").alias("terms"))
-    ).scalar()
-
-    def row(cls: int, count: str):
-        value = F.log((F.col(count) + 1) / (totals.getField(count) + totals.getField("terms")))
-        return F.struct(F.lit(cls).alias("class"), value.alias("log_likelihood"))
-
-    both = F.array(row(0, "zeros"), row(1, "ones"))
-    return per_term.select("term", F.explode(both).alias("e")).select("e.class", "term", "e.log_likelihood")
+    return each.select("class", name, F.log(share).alias("log_likelihood"))
 
 
 def class_priors(df: DataFrame, label: str) -> DataFrame:
@@ -136,23 +163,30 @@ def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
 def assign_to_nearest(df: DataFrame, vector: str, centres: DataFrame, key: str) -> DataFrame:
     """Add ``cluster``, the ``key`` of the nearest centre, and the ``distance`` to it.
 
-    The centres are model parameters: there may be at most ``MAX_CENTRES``. Equal distances go to the
-    smaller key.
+    Equal distances go to the smaller key. There may be any number of centres: they are taken in blocks of
+    about ``CENTRES_PER_BLOCK``, each a value that the plan computes, and a point keeps the nearest of the
+    blocks. Points are read once and never joined with centres.
     """
-    rows = centres.select(key, "centre").limit(MAX_CENTRES + 1).collect()
-    if len(rows) > MAX_CENTRES:
-        raise ValueError(f"more than {MAX_CENTRES} centres")
-    point = F.col(vector).cast("array<double>")
-
-    def squared_distance(centre: list[float]):
-        gaps = F.zip_with(point, F.lit(centre), lambda a, b: (a - b) * (a - b))
-        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
-
-    candidates = [F.struct(squared_distance(r["centre"]).alias("d"), F.lit(r[key]).alias("k")) for r in rows]
-    nearest = df.withColumn("_nearest", F.array_min(F.array(*candidates)))
-    return nearest.withColumns(
-        {"cluster": F.col("_nearest.k"), "distance": F.sqrt("_nearest.d")}
-    ).drop("_nearest")
+    blocks = -(-centres.count() // CENTRES_PER_BLOCK)
+    point = F.col("_point")
+    listed: dict[str, Column] = {}
+    nearest = []
+    for block in range(blocks):
+        mine = centres.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == block)
+        # a block holds so many centres, not the whole table
+        centre_list = F.collect_list(F.struct(F.col("centre").alias("c"), F.col(key).alias("k")))
+        listed[f"_centres{block}"] = mine.agg(centre_list.alias("l")).scalar()
+
+        def candidate(centre: Column) -> Column:
+            gaps = F.zip_with(point, centre.getField("c"), lambda a, b: (a - b) * (a - b))
+            distance = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+            return F.struct(distance.alias("d"), centre.getField("k").alias("k"))
+
+        nearest.append(F.array_min(F.transform(f"_centres{block}", candidate)))
+    best = F.least(*nearest) if len(nearest) > 1 else nearest[0] if nearest else F.lit(None).cast("struct<d:double,k:string>")
+    found = df.withColumns({"_point": F.col(vector).cast("array<double>"), **listed}).withColumn("_nearest", best)
+    found = found.withColumns({"cluster": F.col("_nearest.k"), "distance": F.sqrt("_nearest.d")})
+    return found.drop("_nearest", "_point", *listed)
 
 
 def fit_ratings(
@@ -160,11 +194,36 @@ def fit_ratings(
 ) -> ALSModel:
     """Explicit-rating factors of rank 10. Users or items unseen in training get no prediction row.
 
-    Ratings are divided into ``blocks`` blocks of users and of items: by default 10, or one per core
-    where there are more.
+    Ids must be whole numbers of 32 bits; ``score_ratings`` takes ids of any kind. Ratings are divided into
+    ``blocks`` blocks of users and of items: by default 10, or one per core where there are more.
     """
     blocks = blocks or max(10, df.sparkSession.sparkContext.defaultParallelism)
     als = ALS(
         userCol=user, itemCol=item, ratingCol=rating, maxIter=5, regParam=0.01, coldStartStrategy="drop", seed=seed
     )
     return als.setNumBlocks(blocks).fit(df)
+
+
+def score_ratings(train: DataFrame, test: DataFrame, user: str, item: str, rating: str, **options) -> DataFrame:
+    """``test`` with a ``prediction`` from factors of ``train``, for ids of any type and size.
+
+    Ids are replaced by dense numbers for the training, users and items that ``train`` does not have are
+    dropped, and the result has the original ids.
+    """
+
+    def numbers(col: str) -> DataFrame:
+        counts = train.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
+        dense = with_ordinal(counts, [F.col(col)], "_dense").withColumn("_dense", F.col("_dense").cast("int"))
+        return materialize(dense, "dense")
+
+    users, items = numbers(user), numbers(item)
+
+    def dense(df: DataFrame) -> DataFrame:
+        by_user = users.select(user, F.col("_dense").alias("_user"))
+        by_item = items.select(item, F.col("_dense").alias("_item"))
+        df = skew_safe_join(df, by_user, user, [item], key_counts=users.select(user, "n"))
+        return skew_safe_join(df, by_item, item, [user], key_counts=items.select(item, "n"))
+
+    rows = materialize(dense(train).select("_user", "_item", F.col(rating).alias("_rating")), "dense-ratings")
+    model = fit_ratings(rows, "_user", "_item", "_rating", **options)
+    return model.transform(dense(test)).drop("_user", "_item")

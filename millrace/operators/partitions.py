@@ -6,9 +6,8 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.workspace import materialize
-
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
+MODEL_PARTS = 32
 
 
 def planned_bytes(df: DataFrame) -> float:
@@ -22,17 +21,25 @@ def planned_bytes(df: DataFrame) -> float:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread_small_input(df: DataFrame, reused: bool = False) -> DataFrame:
-    """Give heavy per-row work on a small input one partition per core.
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Give heavy per-row work on a small input one partition per core; the rows stay the same.
 
     A small file is one row group and hence one task. Larger inputs have partitions enough and are
-    returned as they are, so no large table is ever shuffled for this. What is read many times
-    (``reused``) is written down in its new partitions.
+    returned as they are, so no large table is ever shuffled for this. Not for input of models, whose
+    result may depend on the layout, see ``stated_layout``.
     """
     if planned_bytes(df) > SMALL_INPUT_BYTES:
         return df
-    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return materialize(spread, "spread") if reused else spread
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def stated_layout(df: DataFrame, parts: int = MODEL_PARTS) -> DataFrame:
+    """``df`` in ``parts`` sorted partitions that depend on its rows only, not on files, cores or the run.
+
+    Training that samples or adds up by partition then repeats exactly. ``parts`` belongs to the model: raise
+    it with the data so that a partition fits into a task. Vectors have no order; leave them to a later step.
+    """
+    return df.repartition(parts, *df.columns).sortWithinPartitions(*df.columns)
 
 
 def partition_count(df: DataFrame) -> DataFrame:

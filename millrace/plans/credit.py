@@ -23,6 +23,7 @@ from millrace.operators.aggregates import correlation_report, rate_report
 from millrace.operators.features import assemble, center_and_scale
 from millrace.operators.joins import lookup_join
 from millrace.operators.models import classifiers, compare_classifiers, fit_clusters
+from millrace.operators.partitions import stated_layout
 from millrace.operators.sampling import split_by_key
 from millrace.plans.registry import Tables, query
 from millrace.plans.rows import round_sql
@@ -46,12 +47,13 @@ SEX_NAMES = [(1.0, "Male"), (2.0, "Female")]
 EDUCATION_NAMES = [(1.0, "Graduate"), (2.0, "University"), (3.0, "High School"), (4.0, "Others")]
 MARRIAGE_NAMES = [(1.0, "Single"), (2.0, "Married"), (3.0, "Others")]
 
+# The columns of the features, in order; the models read the eight between customer and outcome.
 FEATURE_COLUMNS = [
     "CustId", "LimitBal", "Sex", "Education", "Marriage", "Age",
     "AvgPayDur", "AvgBillAmt", "AvgPayAmt", "PerPaid", "Defaulted",
 ]
-MODEL_COLUMNS = ["Sex", "Education", "Marriage", "Age", "AvgPayDur", "AvgPayAmt", "AvgBillAmt", "PerPaid"]
-GROUP_COLUMNS = ["Sex", "Education", "Marriage", "Age"]
+MODEL_COLUMNS = FEATURE_COLUMNS[2:10]
+GROUP_COLUMNS = FEATURE_COLUMNS[2:6]
 
 
 def clean(raw: DataFrame, unknown_sex: float | None = None) -> DataFrame:
@@ -100,6 +102,7 @@ def whole_number_features(cleaned: DataFrame) -> DataFrame:
 def with_names(rows: DataFrame, how: str = "inner") -> DataFrame:
     """Add ``sexName``, ``eduName`` and ``marriageName``; ``how="left"`` keeps rows with unknown codes."""
     spark = rows.sparkSession
+    # fixed values: the names of the lookup columns
     for key, names, id_column, name_column in (
         ("Sex", SEX_NAMES, "sexId", "sexName"),
         ("Education", EDUCATION_NAMES, "eduId", "eduName"),
@@ -121,7 +124,7 @@ def default_correlations(rows: DataFrame) -> DataFrame:
 def compare_models(rows: DataFrame, estimators: dict[str, Estimator] | None = None) -> DataFrame:
     """Accuracy of each classifier on the same 30 per cent of the customers."""
     # read many times by the training loops: written once, so no lost executor repeats the joins
-    prepared = materialize(rows.select("CustId", "Defaulted", *MODEL_COLUMNS), "credit-features")
+    prepared = materialize(stated_layout(rows.select("CustId", "Defaulted", *MODEL_COLUMNS)), "credit-features")
     vectors = assemble(prepared, MODEL_COLUMNS).select("CustId", "Defaulted", "features")
     train, test = split_by_key(vectors.withColumn("id", F.col("CustId").cast("bigint")), "id", 0.7)
     return compare_classifiers(train, test, "Defaulted", estimators or classifiers())
@@ -129,7 +132,7 @@ def compare_models(rows: DataFrame, estimators: dict[str, Estimator] | None = No
 
 def customer_groups(rows: DataFrame, k: int = 4, seed: int = 1) -> DataFrame:
     """``CustId`` and ``prediction``: the group by centred and scaled sex, education, marriage and age."""
-    prepared = materialize(rows.select("CustId", *GROUP_COLUMNS), "credit-groups")
+    prepared = materialize(stated_layout(rows.select("CustId", *GROUP_COLUMNS)), "credit-groups")
     points = assemble(center_and_scale(prepared, GROUP_COLUMNS), GROUP_COLUMNS).select("CustId", "features")
     return fit_clusters(points, k, seed).transform(points).select("CustId", "prediction")
 
@@ -263,9 +266,36 @@ def credit_corr(t: Tables) -> DataFrame:
 
 @query("model_compare")
 def model_compare(t: Tables) -> DataFrame:
-    return compare_models(_features(t))
+    return compare_models(with_names(_features(t)))
 
 
 @query("credit_groups")
 def credit_groups(t: Tables) -> DataFrame:
-    return customer_groups(_features(t)).groupBy("prediction").agg(F.count("*").alias("n"))
+    return customer_groups(with_names(_features(t))).groupBy("prediction").agg(F.count("*").alias("n"))
+
+
+def _whole_sql() -> str:
+    """The SQL form of ``whole_number_features`` over the statements, from the typed columns behind them."""
+    inner = _statement_sql()
+    source = inner[inner.index("FROM customer") :]
+    d, b, p = ([f"CAST(coalesce({kind}{m}, 0) AS INTEGER)" for m in MONTHS] for kind in "dbp")
+    cut = lambda xs: f"CAST(trunc(({' + '.join(f'abs(CAST({x} AS DOUBLE))' for x in xs[:5])}) / 5) AS INTEGER)"
+    raw = [f'{x} AS "{c}"' for x, c in zip([*d, *(f"CAST(trunc(coalesce({k}{m}, 0)) AS INTEGER)" for k in "bp" for m in MONTHS)], [*DELAYS, *BILLS, *PAYMENTS])]
+    whole = lambda xs: [f"CAST(trunc(coalesce({x}, 0)) AS INTEGER)" for x in xs]
+    bills, paid = whole([f"b{m}" for m in MONTHS]), whole([f"p{m}" for m in MONTHS])
+    age = "CAST(coalesce(floor(abs(c_acctbal) / 200) + 20, 0) AS INTEGER)"
+    return f"""
+        SELECT *, CASE WHEN "AVG_BILL" = 0 THEN 100 ELSE CAST(trunc("AVG_PAYMENT" / "AVG_BILL") AS INTEGER) * 100 END AS "PER_PAID"
+        FROM (SELECT CAST(c_custkey AS INTEGER) AS "CUSTID", CAST(coalesce(floor(c_acctbal), 0) AS INTEGER) AS "LIMIT_BAL",
+                     CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'MACHINERY' THEN 2
+                          ELSE CASE WHEN c_acctbal < 4000 THEN 1 ELSE 2 END END AS "SEX",
+                     CAST(c_nationkey % 4 + 1 AS INTEGER) AS "EDUCATION", CAST(c_nationkey % 3 + 1 AS INTEGER) AS "MARRIAGE",
+                     CASE WHEN {age} % 10 < 5 THEN {age} - {age} % 10 ELSE {age} + 10 - {age} % 10 END AS "AGE",
+                     {', '.join(raw)}, CAST(coalesce(late, 0) AS INTEGER) AS "DEFAULTED",
+                     {cut(d)} AS "AVG_DELAY", {cut(bills)} AS "AVG_BILL", {cut(paid)} AS "AVG_PAYMENT"
+              {source})"""
+
+
+@query("credit_whole_numbers", _whole_sql())
+def credit_whole_numbers(t: Tables) -> DataFrame:
+    return whole_number_features(clean(statements(t)))

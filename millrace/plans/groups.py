@@ -13,6 +13,7 @@ from millrace.operators.aggregates import (
     count_where,
     covariance_report,
     mean_and_deviation,
+    observe_counts,
     partial_rate,
     r_squared,
     rate_report,
@@ -20,10 +21,11 @@ from millrace.operators.aggregates import (
     sum_count_mean,
 )
 from millrace.operators.joins import lookup_join, skew_safe_join
-from millrace.operators.sampling import key_in_fraction
+from millrace.operators.sampling import key_in_fraction, split_at_random
 from millrace.operators.sets import intersect_distinct, union_all
 from millrace.plans.registry import Tables, query
 from millrace.plans.rows import round_sql
+from millrace.workspace import materialize
 
 NUMBERS = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
 
@@ -42,8 +44,9 @@ def inner_join(t: Tables) -> DataFrame:
 
 
 def with_region(t: Tables, customers: DataFrame) -> DataFrame:
-    nations = lookup_join(t.nation, t.region, "n_regionkey", "r_regionkey")
-    return lookup_join(customers, nations, "c_nationkey", "n_nationkey")
+    # one lookup after the other: joined to each other first, they look as large as the product of their sizes
+    nations = lookup_join(customers, t.nation.select("n_nationkey", "n_name", "n_regionkey"), "c_nationkey", "n_nationkey")
+    return lookup_join(nations, t.region.select("r_regionkey", "r_name"), "n_regionkey", "r_regionkey")
 
 
 @query(
@@ -120,12 +123,13 @@ def shortest_longest(t: Tables) -> DataFrame:
 
 @query(
     "concat_ordered",
-    """SELECT conv_id, row // 1000 AS piece, string_agg(text, '' ORDER BY turn) AS text
-       FROM (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS row
+    """SELECT conv_id, CAST(coalesce(before, 0) // 2000 AS BIGINT) AS piece, string_agg(text, '' ORDER BY turn) AS text
+       FROM (SELECT conv_id, turn, text, sum(strlen(text)) OVER (
+                 PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
              FROM conversations) GROUP BY conv_id, piece""",
 )
 def whole_conversations(t: Tables) -> DataFrame:
-    return concat_ordered(t.conversations, ["conv_id"], ["turn"], "text", rows_per_piece=1000)
+    return concat_ordered(t.conversations, ["conv_id"], ["turn"], "text", bytes_per_piece=2000)
 
 
 @query(
@@ -174,6 +178,26 @@ def two_counters(t: Tables) -> DataFrame:
     return count_where(t.events, {"clicks": F.col("event_type") == "click", "large": F.col("value") > 50})
 
 
+@query(
+    "observed_counts",
+    """SELECT count(*) AS n, count(*) FILTER (event_type = 'click') AS clicks, count(*) FILTER (value > 50) AS large
+       FROM events""",
+)
+def counters_beside_a_write(t: Tables) -> DataFrame:
+    watched = {"clicks": F.col("event_type") == "click", "large": F.col("value") > 50}
+    events, seen = observe_counts(t.events, "events", watched)
+    written = materialize(events, "observed")
+    counts = [F.lit(seen.get[name]).cast("bigint").alias(name) for name in watched]
+    return written.agg(F.count("*").alias("n")).select("n", *counts)
+
+
+@query("random_parts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def random_parts_together(t: Tables) -> DataFrame:
+    # the parts change with the layout of the rows; together they are the table
+    first, second = split_at_random(t.events.select("event_id", "event_type"), [0.7, 0.3], seed=1)
+    return union_all(first, second).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 _REGION_ORDERS_SQL = """FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey"""
 _RATE_SQL = "count(*) AS total, CAST(sum({flag}) AS BIGINT) AS hits, round(sum({flag}) * 100 / count(*)) AS percent"
@@ -185,8 +209,11 @@ def _region_rates(t: Tables, keys: list[str]) -> DataFrame:
     per_customer = partial_rate(
         t.orders, ["o_custkey", *[k for k in keys if k.startswith("o_")]], F.col("o_orderstatus") == "F"
     )
-    joined = per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return rate_report(with_region(t, joined), keys, "hits", "n").orderBy(*keys)
+    joined = per_customer.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    # summed per nation before any lookup: the 25 keys of the lookup meet a few rows each
+    own = ["c_nationkey", *[k for k in keys if k.startswith("o_")]]
+    per_nation = joined.groupBy(*own).agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    return rate_report(with_region(t, per_nation), keys, "hits", "n").orderBy(*keys)
 
 
 @query("rate_report", f"SELECT r_name, {_FINISHED_SQL} {_REGION_ORDERS_SQL} GROUP BY r_name ORDER BY 1")

@@ -13,10 +13,10 @@ from millrace.operators.models import (
     SEED,
     fit_classifier,
     fit_clusters,
-    fit_ratings,
     fit_text_classifier,
+    score_ratings,
 )
-from millrace.operators.partitions import spread_small_input
+from millrace.operators.partitions import stated_layout
 from millrace.operators.sampling import split_by_key
 from millrace.plans.registry import Tables, query
 from millrace.workspace import materialize
@@ -46,7 +46,7 @@ def random_forest(t: Tables) -> DataFrame:
 @query("decision_tree")
 def decision_tree(t: Tables) -> DataFrame:
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    lines = spread_small_input(t.lineitem.select("l_orderkey", "l_returnflag", *features), reused=True)
+    lines = stated_layout(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", *features))
     rows = assemble(lines, features).select("l_orderkey", "l_returnflag", "features")
     train, test = split_by_key(rows, "l_orderkey", 0.7)
     model = fit_classifier(train, DecisionTreeClassifier(labelCol="label_index", seed=SEED), "l_returnflag")
@@ -55,9 +55,9 @@ def decision_tree(t: Tables) -> DataFrame:
 
 @query("nb_text")
 def nb_text(t: Tables) -> DataFrame:
-    labelled = t.labels.join(spread_small_input(t.documents.select("doc_id", "text")), "doc_id")
+    labelled = t.labels.join(t.documents.select("doc_id", "text"), "doc_id")
     label = F.col("quality").cast("double").alias("label")
-    rows = materialize(labelled.select("doc_id", "text", label).na.fill("", ["text"]), "labelled")
+    rows = stated_layout(labelled.select("doc_id", "text", label).na.fill("", ["text"]))
     train, test = split_by_key(rows, "doc_id", 0.7)
     return confusion_matrix(fit_text_classifier(train, "text", "label").transform(test))
 
@@ -72,18 +72,27 @@ def kmeans(t: Tables) -> DataFrame:
     return clusters.groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
 
 
+def _rated(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Customers rate parts by the mean quantity they order; nine tenths of the pairs are for training."""
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity").na.drop()
+    orders = t.orders.select("o_orderkey", "o_custkey").na.drop()
+    bought = skew_safe_join(lines, orders, "o_orderkey", salt_by=["l_partkey"])
+    rated = bought.groupBy("o_custkey", "l_partkey").agg(F.avg("l_quantity").alias("rating"))
+    ratings = materialize(rated.withColumn("pair", F.concat_ws("-", "o_custkey", "l_partkey")), "ratings")
+    train, test = split_by_key(ratings, "pair", 0.9)
+    return train.drop("pair"), test.drop("pair")
+
+
 @query("als_recommend")
 def als_recommend(t: Tables) -> DataFrame:
-    # one row per order and part before the join; a huge order is spread by its parts
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"), "l_partkey").agg(
-        F.sum("l_quantity").alias("total"), F.count("*").alias("n")
-    )
-    orders = t.orders.select("o_orderkey", "o_custkey").na.drop()
-    per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
-    bought = skew_safe_join(lines, orders, "o_orderkey", salt_by=["l_partkey"], key_counts=per_order)
-    rating = F.sum("total") / F.sum("n")
-    ratings = materialize(bought.groupBy("o_custkey", "l_partkey").agg(rating.alias("rating")), "ratings")
-    pair = F.concat_ws("-", "o_custkey", "l_partkey")
-    train, test = split_by_key(ratings.withColumn("pair", pair), "pair", 0.9)
-    model = fit_ratings(train.drop("pair"), "o_custkey", "l_partkey", "rating")
-    return model.transform(test.drop("pair"))
+    return score_ratings(*_rated(t), "o_custkey", "l_partkey", "rating")
+
+
+@query("als_rmse")
+def als_rmse(t: Tables) -> DataFrame:
+    """Root mean squared error of the ratings model on the pairs it has not seen, beside that of the mean rating."""
+    train, test = _rated(t)
+    scored = score_ratings(train, test, "o_custkey", "l_partkey", "rating")
+    mean = train.agg(F.avg("rating")).scalar()
+    error = lambda guess: F.sqrt(F.avg((F.col("rating") - guess) * (F.col("rating") - guess)))
+    return scored.agg(F.count("*").alias("n"), error(F.col("prediction")).alias("rmse"), error(mean).alias("rmse_of_mean"))

@@ -18,6 +18,7 @@ from millrace.operators.features import (
 from millrace.operators.models import (
     assign_to_nearest,
     class_priors,
+    feature_likelihoods,
     fit_linear,
     linear_terms,
     mean_vectors,
@@ -27,7 +28,7 @@ from millrace.plans.registry import Tables, query
 from millrace.plans.rows import DOCUMENT_TOKENS_SQL
 
 _TYPE_INDEX_SQL = """SELECT event_type, row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS type_index
-                     FROM events GROUP BY event_type"""
+                     FROM events WHERE event_type IS NOT NULL GROUP BY event_type"""
 _TERMS_SQL = f"""SELECT doc_id, term, count(*) AS tf
                  FROM (SELECT doc_id, unnest({DOCUMENT_TOKENS_SQL}) AS term FROM documents) GROUP BY doc_id, term"""
 
@@ -72,7 +73,7 @@ def center_scale(t: Tables) -> DataFrame:
 
 @query(
     "string_index",
-    f"SELECT event_id, event_type, type_index FROM events JOIN ({_TYPE_INDEX_SQL}) USING (event_type)",
+    f"SELECT event_id, event_type, type_index FROM events LEFT JOIN ({_TYPE_INDEX_SQL}) USING (event_type)",
 )
 def string_index(t: Tables) -> DataFrame:
     events = t.events.select("event_id", "event_type")
@@ -81,7 +82,7 @@ def string_index(t: Tables) -> DataFrame:
 
 @query(
     "index_to_string",
-    f"SELECT event_id, type_index, event_type AS original FROM events JOIN ({_TYPE_INDEX_SQL}) USING (event_type)",
+    f"SELECT event_id, type_index, event_type AS original FROM events LEFT JOIN ({_TYPE_INDEX_SQL}) USING (event_type)",
 )
 def index_to_string(t: Tables) -> DataFrame:
     events = t.events.select("event_id", "event_type")
@@ -97,7 +98,7 @@ def tokenize(t: Tables) -> DataFrame:
 
 @query("term_freq", _TERMS_SQL)
 def term_freq(t: Tables) -> DataFrame:
-    return term_counts(t.documents, "doc_id", "text")
+    return term_counts(t.documents, "doc_id", "text", one_row_per_doc=True)
 
 
 @query(
@@ -107,7 +108,7 @@ def term_freq(t: Tables) -> DataFrame:
         FROM terms JOIN frequency USING (term)""",
 )
 def weighted_terms(t: Tables) -> DataFrame:
-    return tf_idf(t.documents, "doc_id", "text").withColumn("tf_idf", F.round("tf_idf", 6))
+    return tf_idf(t.documents, "doc_id", "text", one_row_per_doc=True).withColumn("tf_idf", F.round("tf_idf", 6))
 
 
 @query(
@@ -162,6 +163,35 @@ def nb_terms(t: Tables) -> DataFrame:
     return term_likelihoods(labelled, "text", "quality").withColumn("log_likelihood", F.round("log_likelihood", 6))
 
 
+@query(
+    "nb_languages",
+    f"""WITH words AS (SELECT lang, unnest({DOCUMENT_TOKENS_SQL}) AS term FROM documents WHERE lang IS NOT NULL),
+             pairs AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL),
+             totals AS (SELECT lang, sum(n) AS s FROM pairs GROUP BY lang),
+             terms AS (SELECT DISTINCT term FROM words), v AS (SELECT count(*) AS v FROM terms)
+        SELECT t.lang AS class, terms.term, round(ln((coalesce(n, 0) + 1) / (s + v)), 6) AS log_likelihood
+        FROM terms CROSS JOIN totals t CROSS JOIN v LEFT JOIN pairs p ON p.term = terms.term AND p.lang = t.lang""",
+)
+def nb_languages(t: Tables) -> DataFrame:
+    likelihoods = term_likelihoods(t.documents.select("lang", "text"), "text", "lang")
+    return likelihoods.withColumn("log_likelihood", F.round("log_likelihood", 6))
+
+
+_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+@query(
+    "nb_numeric",
+    """WITH totals AS (SELECT l_returnflag AS class, sum(l_quantity) AS a, sum(l_discount) AS b, sum(l_tax) AS c
+                       FROM lineitem GROUP BY 1)
+       SELECT class, unnest(['l_quantity', 'l_discount', 'l_tax']) AS feature,
+              round(ln((unnest([a, b, c]) + 1) / (a + b + c + 3)), 6) AS log_likelihood FROM totals""",
+)
+def nb_numeric(t: Tables) -> DataFrame:
+    likelihoods = feature_likelihoods(t.lineitem, _LINE_FEATURES, "l_returnflag")
+    return likelihoods.withColumn("log_likelihood", F.round("log_likelihood", 6))
+
+
 @query(
     "nb_priors_sql",
     """SELECT quality AS class, round(ln((count(*) + 1) / (sum(count(*)) OVER () + count(*) OVER ())), 6) AS log_prior

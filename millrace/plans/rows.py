@@ -113,11 +113,15 @@ def filter_above_mean(t: Tables) -> DataFrame:
 def regex_numeric(t: Tables) -> DataFrame:
     token = F.col("token")
     documents = spread_small_input(t.documents.select("text"))
-    return documents.select(F.explode(tokens(F.col("text"))).alias("token")).agg(
-        F.count("*").alias("n_tokens"),
-        F.count_if(is_number(token, SIGNED_DECIMAL)).alias("signed_decimal"),
-        F.count_if(is_number(token, ONE_DIGIT_FRACTION)).alias("one_digit_fraction"),
-        F.count_if(is_number(token, OPTIONAL_DIGITS)).alias("optional_digits"),
+    # each distinct token is tested once, with its number of occurrences
+    counted = documents.select(F.explode(tokens(F.col("text"))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    zero = F.lit(0).cast("bigint")
+    occurrences = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), zero)
+    return counted.agg(
+        F.coalesce(F.sum("n"), zero).alias("n_tokens"),
+        occurrences(is_number(token, SIGNED_DECIMAL)).alias("signed_decimal"),
+        occurrences(is_number(token, ONE_DIGIT_FRACTION)).alias("one_digit_fraction"),
+        occurrences(is_number(token, OPTIONAL_DIGITS)).alias("optional_digits"),
     )
 
 

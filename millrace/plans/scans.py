@@ -62,6 +62,28 @@ def scan_csv_sep(t: Tables) -> DataFrame:
     return read_delimited(t.spark, path, t.part.schema, sep=";")
 
 
+@query("scan_csv_untyped", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer")
+def scan_csv_untyped(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "csv-untyped")
+    write_delimited(t.customer.select("c_custkey", "c_name", "c_mktsegment"), path)
+    return read_delimited(t.spark, path)
+
+
+@query("scan_csv_text", "SELECT doc_id, text, lang FROM documents")
+def scan_csv_text(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "csv-text")
+    documents = t.documents.select("doc_id", "text", "lang")
+    write_delimited(documents, path)
+    return read_delimited(t.spark, path, documents.schema)
+
+
+@query("scan_json_inferred", "SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, text FROM conversations")
+def scan_json_inferred(t: Tables) -> DataFrame:
+    path = new_folder(t.spark, "json-inferred")
+    write_json_lines(t.conversations, path)
+    return read_json_lines(t.spark, path).select("conv_id", "turn", "role", "text")
+
+
 @query("scan_json", "SELECT conv_id, turn, role, text FROM conversations")
 def scan_json(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "json")

@@ -11,6 +11,7 @@ from millrace.streaming import (
     drain_windows,
     run_available,
     sliding_counts,
+    span_of,
     stream_parquet,
     tumbling_counts,
     utc_instant,
@@ -18,6 +19,9 @@ from millrace.streaming import (
 )
 from millrace.workspace import new_folder
 
+# a micro-batch takes about so much of a table
+BYTES_PER_TRIGGER = 64 << 30
+
 
 @query(
     "stream_wordcount",
@@ -26,13 +30,19 @@ from millrace.workspace import new_folder
 )
 def stream_wordcount(t: Tables) -> DataFrame:
     counts, checkpoint = new_folder(t.spark, "word-counts"), new_folder(t.spark, "checkpoint")
-    words = words_of(stream_parquet(t.spark, t.path("documents")).select("text"), "text")
+    documents = stream_parquet(t.spark, t.path("documents"), bytes_per_trigger=BYTES_PER_TRIGGER)
+    words = words_of(documents.select("text"), "text")
     run_available(words, count_per_batch("word", counts), checkpoint)
     return t.spark.read.parquet(counts).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _events(t: Tables) -> DataFrame:
-    return stream_parquet(t.spark, t.path("events")).select(utc_instant("ts").alias("ts"), "event_type")
+    events = stream_parquet(t.spark, t.path("events"), bytes_per_trigger=BYTES_PER_TRIGGER)
+    return events.select(utc_instant("ts").alias("ts"), "event_type")
+
+
+def _delay(t: Tables) -> str:
+    return span_of(t.events.select(utc_instant("ts").alias("ts")), "ts")
 
 
 def _by_start(windows: DataFrame) -> DataFrame:
@@ -45,7 +55,9 @@ def _by_start(windows: DataFrame) -> DataFrame:
        FROM events GROUP BY 1, 2""",
 )
 def stream_tumbling(t: Tables) -> DataFrame:
-    return _by_start(drain_windows(_events(t), "ts", lambda e: tumbling_counts(e, "ts", "event_type", "3 seconds")))
+    delay = _delay(t)
+    counts = lambda e: tumbling_counts(e, "ts", "event_type", "3 seconds", delay)
+    return _by_start(drain_windows(_events(t), "ts", counts))
 
 
 _SLIDING_SQL = """SELECT CAST(floor(epoch(ts) / 3) AS BIGINT) * 3 - 3 * k AS start, event_type, count(*) AS n
@@ -54,11 +66,13 @@ _SLIDING_SQL = """SELECT CAST(floor(epoch(ts) / 3) AS BIGINT) * 3 - 3 * k AS sta
 
 @query("stream_sliding", _SLIDING_SQL)
 def stream_sliding(t: Tables) -> DataFrame:
-    counts = lambda e: sliding_counts(e, "ts", "event_type", "15 seconds", "3 seconds")
+    delay = _delay(t)
+    counts = lambda e: sliding_counts(e, "ts", "event_type", "15 seconds", "3 seconds", delay)
     return _by_start(drain_windows(_events(t), "ts", counts))
 
 
 @query("stream_sliding_by_slide", _SLIDING_SQL)
 def stream_sliding_by_slide(t: Tables) -> DataFrame:
-    counts = lambda e: sliding_counts(e, "ts", "event_type", "15 seconds", "3 seconds", by_slide=True)
+    delay = _delay(t)
+    counts = lambda e: sliding_counts(e, "ts", "event_type", "15 seconds", "3 seconds", delay, by_slide=True)
     return _by_start(drain_windows(_events(t), "ts", counts))

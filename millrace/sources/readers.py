@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
+
+from millrace.sources.writers import ESCAPES, NULL_CELL
 
 Schema = StructType | str
 
@@ -22,18 +24,34 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_delimited(
-    spark: SparkSession, path: str, schema: Schema, *, header: bool = True, sep: str = ","
+    spark: SparkSession, path: str, schema: Schema | None = None, *, header: bool = True, sep: str = ",", escaped: bool = True
 ) -> DataFrame:
     """Delimited text. Cells that do not fit their declared type become null.
 
-    Records end at a line end, so that large files stay splittable.
+    Records end at a line end, so that large files stay splittable. The header must name the columns of the
+    schema in their order. Without a schema all columns are text, named by the header or ``_c0``, ``_c1`` and
+    so on, which takes a look at the first line only. ``escaped`` undoes what ``write_delimited`` does to nulls,
+    line ends and backslashes; files of other origin are read with ``escaped=False``.
     """
-    return spark.read.schema(schema).option("header", header).option("sep", sep).csv(path)
+    reader = spark.read.option("header", header).option("sep", sep).option("escape", '"').option("lineSep", "\n")
+    reader = reader.option("nullValue", NULL_CELL if escaped else "").option("emptyValue", "")
+    reader = reader.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    df = (reader.schema(schema).option("enforceSchema", False) if schema is not None else reader).csv(path)
+    if not escaped:
+        return df
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.withColumns({name: _unescaped(F.col(f"`{name}`")) for name in texts})
+
+
+def _unescaped(cell: Column) -> Column:
+    for plain, written in reversed(ESCAPES):
+        cell = F.replace(cell, F.lit(written), F.lit(plain))
+    return cell
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:
     """One JSON object per line; a declared schema saves the inference pass over the data."""
-    return spark.read.schema(schema).json(path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).json(path)
 
 
 def read_jdbc(

@@ -1,5 +1,5 @@
 from millrace.streaming.counts import count_per_batch, print_first, sliding_counts, tumbling_counts, words_of
-from millrace.streaming.runner import drain_windows, run_available, run_continuously
+from millrace.streaming.runner import drain_windows, run_available, run_continuously, span_of
 from millrace.streaming.sources import socket_lines, stream_parquet, stream_text, utc_instant
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "run_continuously",
     "sliding_counts",
     "socket_lines",
+    "span_of",
     "stream_parquet",
     "stream_text",
     "tumbling_counts",

@@ -28,16 +28,19 @@ def count_per_batch(key: str, path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def tumbling_counts(events: DataFrame, time: str, key: str, size: str, delay: str = "0 seconds") -> DataFrame:
-    """``key`` counts per window of ``size``; a window is final once the watermark has passed its end."""
+def tumbling_counts(events: DataFrame, time: str, key: str, size: str, delay: str) -> DataFrame:
+    """``key`` counts per window of ``size``; a window is final once the watermark has passed its end.
+
+    An event is late, and dropped, once a batch has seen one that is younger by more than ``delay``.
+    """
     windows = events.withWatermark(time, delay).groupBy(F.window(time, size), key)
     return windows.agg(F.count("*").alias("n")).select("window", key, "n")
 
 
 def sliding_counts(
-    events: DataFrame, time: str, key: str, size: str, slide: str, delay: str = "0 seconds", *, by_slide: bool = False
+    events: DataFrame, time: str, key: str, size: str, slide: str, delay: str, *, by_slide: bool = False
 ) -> DataFrame:
-    """``key`` counts per window of ``size`` that starts every ``slide``.
+    """``key`` counts per window of ``size`` that starts every ``slide``; for ``delay`` see ``tumbling_counts``.
 
     With ``by_slide`` events are first counted per ``slide``, and those counts are added up into the
     windows: a second stateful step, but only counts and not events are repeated for each window.

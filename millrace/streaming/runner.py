@@ -53,12 +53,20 @@ def run_available(df: DataFrame, each_batch: Callable[[DataFrame, int], None], c
     _start(df.sparkSession, writer.trigger(availableNow=True)).awaitTermination()
 
 
+def span_of(table: DataFrame, time: str) -> str:
+    """A delay as long as the whole time that a bounded table spans: no order of its rows makes one late."""
+    first, last = table.agg(F.min(F.unix_seconds(time)), F.max(F.unix_seconds(time))).first()
+    return f"{(last or 0) - (first or 0) + 1} seconds"
+
+
 def drain_windows(events: DataFrame, time: str, counts: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run windowed ``counts`` over all events there are now and return every window.
 
     The counts are written in append mode, which holds back the windows that the watermark has not
     passed. So once the events are through, the same query is resumed from its checkpoint with one
     marker event at the end of time: it closes all windows but its own, which is never written.
+    The counts need a delay that covers the disorder of the events (``span_of`` covers any); if an event was
+    late all the same, the call fails instead of returning a part.
     """
     spark = events.sparkSession
     markers, path, checkpoint = (new_folder(spark, label) for label in ("markers", "windows", "checkpoint"))
@@ -72,7 +80,12 @@ def drain_windows(events: DataFrame, time: str, counts: Callable[[DataFrame], Da
     def run() -> None:
         writer = windows.writeStream.format("parquet").option("path", path)
         writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
-        _start(spark, writer.trigger(availableNow=True)).awaitTermination()
+        query = _start(spark, writer.trigger(availableNow=True))
+        query.awaitTermination()
+        states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+        late = sum(state["numRowsDroppedByWatermark"] for state in states)
+        if late:
+            raise RuntimeError(f"{late} rows were later than the watermark allows: choose a longer delay")
 
     run()
     marker.write.mode("append").parquet(markers)

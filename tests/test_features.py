@@ -112,3 +112,21 @@ def test_term_counts_equal_brute_force(rows):
 def test_rows_of_one_document_are_counted_together(rows, values):
     df = rows([(1, "a b a"), (1, "a"), (2, "b")], "id int, text string")
     assert values(X.term_counts(df, "id", "text")) == [(1, "a", 3), (1, "b", 1), (2, "b", 1)]
+
+
+def test_documents_in_several_rows_count_once(rows):
+    df = rows([(1, "x y"), (1, "x"), (2, "x")], "id int, text string")
+    got = {(r.id, r.term): (r.tf, r.tf_idf) for r in X.tf_idf(df, "id", "text").collect()}
+    assert got[1, "x"] == (2, 0.0) and got[2, "x"] == (1, 0.0)
+    assert got[1, "y"][0] == 1 and got[1, "y"][1] == pytest.approx(math.log(3 / 2))
+
+
+def test_rows_without_a_value_keep_drop_or_refuse(rows, values):
+    df = rows([(1, "a"), (2, None), (3, "a")], "id int, c string")
+    index = X.value_index(df, "c")
+    assert values(X.index_strings(df, index, "c", ["id"], "i"), "id", "i") == [(1, 0), (2, None), (3, 0)]
+    assert values(X.index_strings(df, index, "c", ["id"], "i", unknown="drop"), "id", "i") == [(1, 0), (3, 0)]
+    with pytest.raises(Exception, match="without an index"):
+        X.index_strings(df, index, "c", ["id"], "i", unknown="error").collect()
+    indexed = X.index_strings(df, index, "c", ["id"], "i")
+    assert values(X.strings_of_index(indexed, index, "c", "i", ["id"], "back"), "id", "back") == [(1, "a"), (2, None), (3, "a")]

@@ -128,3 +128,14 @@ def test_two_level_keeps_the_given_type(rows):
     df = rows([("two",), ("four",)], "doors string").select(M.two_level(F.col("doors"), "two", 2, 4).alias("d"))
     assert df.dtypes == [("d", "int")] and [r.d for r in df.collect()] == [2, 4]
     assert not math.isnan(df.first().d)
+
+
+def test_only_plain_numbers_are_numbers(rows):
+    from millrace.functions import bin_percent, number_or
+
+    texts = ["12d", "1f", "NaN", "Infinity", "-Infinity", "0x1", "", "1.2.3", None, " 7 ", "-.5", "3.", "1e3"]
+    df = rows([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(number_or(df["t"], -1)).collect()]
+    assert got == [-1.0] * 9 + [7.0, -0.5, 3.0, 1000.0]
+    ratio = rows([(1.0, -1.0), (1.0, 1.0)], "a double, b double")
+    assert [r[0] for r in ratio.select(bin_percent(ratio["a"], ratio["b"])).collect()] == [None, 50.0]

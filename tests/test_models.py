@@ -154,3 +154,52 @@ def test_ratings_are_fitted_and_unseen_ids_are_dropped(rows):
     rmse = scored.agg(F.sqrt(F.avg((F.col("rating") - F.col("prediction")) ** 2))).first()[0]
     assert scored.count() == 120 and rmse < 0.5
     assert model.transform(rows([(999, 100)], "user int, item int")).count() == 0
+
+
+def test_more_centres_than_a_block_holds(spark, rows):
+    centres = spark.range(1001).selectExpr("id as k", "array(cast(id as double), 0.0D) as centre")
+    points = rows([(0, [3.2, 1.0]), (1, [999.6, 0.0]), (2, [2.5, 0.0])], "id int, v array<double>")
+    found = M.assign_to_nearest(points, "v", centres, "k").collect()
+    assert {r.id: r.cluster for r in found} == {0: 3, 1: 1000, 2: 2}
+    assert M.assign_to_nearest(points, "v", centres.limit(0), "k").select("cluster").first()[0] is None
+
+
+def test_ratings_take_ids_of_any_size(rows):
+    data = [(3_000_000_000 + u, f"item{i}", float(1 + (u * i) % 5)) for u in range(8) for i in range(6)]
+    train = rows(data, "u long, i string, r double")
+    scored = M.score_ratings(train, rows([*data[:5], (7, "item1", 1.0), (3_000_000_001, "new", 1.0)], "u long, i string, r double"), "u", "i", "r")
+    assert sorted((r.u, r.i) for r in scored.collect()) == sorted((u, i) for u, i, _ in data[:5])
+
+
+def test_likelihoods_of_three_classes(rows):
+    df = rows([(0, "a b"), (1, "b b"), (2, "c"), (None, "d")], "label int, text string")
+    got = {(r["class"], r.term): r.log_likelihood for r in M.term_likelihoods(df, "text", "label").collect()}
+    counts = {0: {"a": 1, "b": 1}, 1: {"b": 2}, 2: {"c": 1}}
+    for label, own in counts.items():
+        for term in "abc":
+            assert got[label, term] == pytest.approx(math.log((own.get(term, 0) + 1) / (sum(own.values()) + 3)))
+    assert len(got) == 9
+
+
+def test_numeric_likelihoods_equal_the_fitted_model(rows):
+    from pyspark.ml.classification import NaiveBayes
+
+    from millrace.operators.features import assemble
+
+    df = rows([(float(i % 3), float(i % 4), float(i % 5), 1.0) for i in range(30)], "label double, a double, b double, c double")
+    theta = NaiveBayes().fit(assemble(df, ["a", "b", "c"])).theta.toArray()
+    for r in M.feature_likelihoods(df, ["a", "b", "c"], "label").collect():
+        assert r.log_likelihood == pytest.approx(theta[int(r["class"])]["abc".index(r.feature)])
+
+
+def test_the_stated_layout_does_not_depend_on_the_one_before(spark, rows):
+    from pyspark.sql import functions as F
+
+    from millrace.operators.partitions import stated_layout
+
+    df = rows([(i, i % 7) for i in range(500)], "id int, v int")
+    seen = []
+    for before in (df.coalesce(1), df.repartition(9), df.orderBy(F.desc("id"))):
+        laid = stated_layout(before, 4).select("id", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("place"))
+        seen.append({tuple(r) for r in laid.collect()})
+    assert seen[0] == seen[1] == seen[2] and len({p for _, p, _ in seen[0]}) == 4

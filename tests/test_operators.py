@@ -11,8 +11,8 @@ from millrace.operators.partitions import partition_count, spread_small_input
 from millrace.operators.sampling import key_in_fraction, split_at_random, split_by_key
 from millrace.operators.sets import intersect_distinct, union_all
 
-INTS_A = [1, 2, 3, 4, 5, 5, 3, 1, 11, 12, 1]
-INTS_B = [11, 12, 1, 13, 14, 15, 16]
+INTS_A = [7, 0, -4, 7, 20, 7, 31, 0]
+INTS_B = [31, 8, 0, -9, 31]
 
 
 @pytest.fixture
@@ -50,7 +50,9 @@ def test_salted_join_on_two_columns_with_given_counts(rows, values):
 
 def test_hot_keys_get_one_piece_per_task(rows, values):
     counts = rows([("hot", 35), ("warm", 11), ("cold", 10)], "k string, n long")
-    assert values(hot_keys(counts, ["k"], "n", rows_per_task=10)) == [("hot", 4), ("warm", 2)]
+    hot = {r["_hot"]: r["_pieces"] for r in hot_keys(counts, ["k"], "n", rows_per_task=10).collect()}
+    named = {r.k: hot.get(r.h) for r in counts.select("k", F.xxhash64("k").alias("h")).collect()}
+    assert named == {"hot": 4, "warm": 2, "cold": None}
 
 
 def test_salting_spreads_a_hot_key(rows):
@@ -125,14 +127,14 @@ def test_with_ordinal_of_nothing(rows):
 
 def test_top_k(rows):
     df = rows([(v,) for v in INTS_A], "v int")
-    assert [r.v for r in top_k(df, 3, F.desc("v")).collect()] == [12, 11, 5]
+    assert [r.v for r in top_k(df, 3, F.desc("v")).collect()] == [31, 20, 7]
 
 
 def test_set_operations(rows, values):
     a, b = rows([(v,) for v in INTS_A], "v int"), rows([(v,) for v in INTS_B], "v int")
     assert [v for (v,) in values(union_all(a, b))] == sorted(INTS_A + INTS_B, key=lambda v: repr((v,)))
-    assert sorted(v for (v,) in values(intersect_distinct(a, b))) == [1, 11, 12]
-    assert sorted(v for (v,) in values(a.distinct())) == [1, 2, 3, 4, 5, 11, 12]
+    assert sorted(v for (v,) in values(intersect_distinct(a, b))) == [0, 31]
+    assert sorted(v for (v,) in values(a.distinct())) == [-4, 0, 7, 20, 31]
     words = rows([(w,) for w in ["hello", "war", "peace", "world"]], "w string")
     other = rows([(w,) for w in ["war", "peace", "universe"]], "w string")
     assert values(intersect_distinct(words, other)) == [("peace",), ("war",)]
@@ -187,10 +189,11 @@ def test_concat_ordered_in_pieces(rows):
     data = [("hot", i, f"{i},") for i in range(95)] + [("cold", 1, "b"), ("cold", 0, "a")]
     random.Random(2).shuffle(data)
     df = rows(data, "k string, turn long, text string").repartition(5)
-    pieces = A.concat_ordered(df, ["k"], ["turn"], "text", rows_per_piece=10).collect()
+    pieces = A.concat_ordered(df, ["k"], ["turn"], "text", bytes_per_piece=30).collect()
     hot = sorted((r.piece, r.text) for r in pieces if r.k == "hot")
-    assert [p for p, _ in hot] == list(range(10))
-    assert "".join(t for _, t in hot) == "".join(f"{i}," for i in range(95))
+    whole = "".join(f"{i}," for i in range(95))
+    assert [p for p, _ in hot] == list(range(-(-len(whole) // 30)))
+    assert "".join(t for _, t in hot) == whole and all(27 < len(t) < 33 for _, t in hot[:-1])
     assert [(r.piece, r.text) for r in pieces if r.k == "cold"] == [(0, "ab")]
 
 
@@ -246,3 +249,66 @@ def test_cascade_filter_join_group(employees, rows, values):
     report = joined.groupBy("dept").agg(F.avg("salary"), F.max("age"))
     assert values(report) == [(100, 3650.0, 51), (200, 5500.0, 44)]
     assert not math.isnan(report.first()[1])
+
+
+# --- nulls, decoded sizes and large keys ---
+
+
+def test_null_keys_stay_where_they_are_asked_for(rows, values):
+    fact = rows([(1, None), (2, "a"), (3, "b")], "id int, k string")
+    other = rows([(None, 10), ("a", 20)], "k string, v int")
+    for join in (skew_safe_join, salted_join):
+        assert values(join(fact, other, "k", ["id"], null_safe=True), "id", "v") == [(1, 10), (2, 20)]
+        assert values(join(fact, other, "k", ["id"]), "id", "v") == [(2, 20)]
+        assert len(values(join(fact, other, "k", ["id"], "left", null_safe=True), "id", "k", "v")) == 3
+
+
+def test_concat_keeps_the_group_without_a_key(rows, values):
+    df = rows([(None, 2, "b"), (None, 1, "a"), ("k", 1, "c"), ("k", 2, None)], "k string, o int, text string")
+    assert values(A.concat_ordered(df, ["k"], ["o"], "text"), "k", "piece", "text") == [("k", 0, "c"), (None, 0, "ab")]
+
+
+def test_pieces_do_not_depend_on_the_ranges(spark, rows, values):
+    data = [(f"k{i % 3}", i, f"{i};" * (i % 5)) for i in range(400)]
+    results = []
+    for parts in ("2", "7"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            results.append(values(A.concat_ordered(rows(data, "k string, o int, t string"), ["k"], ["o"], "t", 50)))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1] and len(results[0]) > 30
+
+
+def test_means_leave_nulls_out_and_are_exact_for_integers(rows):
+    row = A.sum_count_mean(rows([(10,), (None,), (20,)], "v int"), [], "v").first()
+    assert (row.total, row.n, row["mean"], row.whole_mean) == (30, 2, 15.0, 15)
+    large = A.sum_count_mean(rows([(9007199254740993,)], "v long"), [], "v").first()
+    assert large.whole_mean == 9007199254740993
+    empty = A.sum_count_mean(rows([(None,)], "v int"), [], "v").first()
+    assert (empty.n, empty["mean"], empty.whole_mean) == (0, None, None)
+
+
+def test_texts_that_compress_well_are_not_broadcast(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(3000).select("id", F.repeat(F.lit("x"), 20_000).alias("text")).write.parquet(path)
+    wide = spark.read.parquet(path)
+    assert not fits_broadcast(wide) and fits_broadcast(wide.select("id"))
+
+
+def test_lookups_never_turn_the_large_side_into_the_broadcast_one(spark, tmp_path):
+    from millrace.plans.catalogue import QUERIES, as_callable
+
+    spark.range(25).selectExpr("id n_nationkey", "concat('n', id) n_name", "id % 5 n_regionkey").repartition(5).write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(5).selectExpr("id r_regionkey", "concat('r', id) r_name").repartition(3).write.parquet(f"{tmp_path}/region.parquet")
+    spark.range(2000).selectExpr("id c_custkey", "id % 25 c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(9000).selectExpr("id o_orderkey", "id % 2000 o_custkey", "'F' o_orderstatus", "'1' o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    for key in ("lookup_join", "rate_report", "rate_report_2key"):
+        df = as_callable(QUERIES[key])(spark, str(tmp_path))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for line in plan.splitlines():
+            if "nationkey" in line or "regionkey" in line:
+                assert "SortMergeJoin" not in line and "BuildLeft" not in line, line
+        assert not [x for x in plan.splitlines() if "hashpartitioning(c_nationkey" in x and key == "lookup_join"]
+        assert df.count() == {"lookup_join": 2000, "rate_report": 5, "rate_report_2key": 5}[key]

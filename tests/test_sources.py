@@ -102,3 +102,30 @@ def test_workspace_uses_the_named_folder_and_refuses_to_guess(spark, rows, value
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_root(Session())
+
+
+def test_delimited_text_of_any_kind_comes_back(spark, rows, values, tmp_path):
+    texts = ["x\ny", "\r\n", "", None, "\\n", "\\", "\\N", 'a "q", b', " lead and trail ", "a\\\nb", "null", "z\0\\0"]
+    data = [(i, t, float(i)) for i, t in enumerate(texts)]
+    schema = "id int, t string, d double"
+    path = str(tmp_path / "csv")
+    write_delimited(rows(data, schema), path)
+    assert values(read_delimited(spark, path, schema)) == sorted(data, key=repr)
+    untyped = read_delimited(spark, path)
+    assert untyped.dtypes == [("id", "string"), ("t", "string"), ("d", "string")]
+    assert values(untyped, "t") == sorted(((t,) for t in texts), key=repr)
+
+
+def test_a_reordered_header_is_refused(spark, rows, tmp_path):
+    path = str(tmp_path / "csv")
+    write_delimited(rows([(1, 2)], "a int, b int"), path)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, path, "b int, a int").collect()
+
+
+def test_files_without_names_and_inferred_json(spark, rows, values, tmp_path):
+    write_delimited(rows([("C:\\new", 1)], "a string, b int"), str(tmp_path / "csv"), header=False, escaped=False)
+    df = read_delimited(spark, str(tmp_path / "csv"), header=False, escaped=False)
+    assert df.columns == ["_c0", "_c1"] and values(df) == [("C:\\new", "1")]
+    write_json_lines(rows([("40", 1.5)], "age string, x double"), str(tmp_path / "json"))
+    assert read_json_lines(spark, str(tmp_path / "json")).dtypes == [("age", "string"), ("x", "double")]

@@ -31,7 +31,7 @@ def starts(df):
 def test_tumbling_windows_equal_batch(events, values):
     stream, batch = events
     expected = batch.groupBy(F.window("ts", "3 seconds"), "kind").agg(F.count("*").alias("n"))
-    result = S.drain_windows(stream, "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds"))
+    result = S.drain_windows(stream, "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds", "1 minute"))
     assert values(starts(result)) == values(starts(expected))
     assert result.agg(F.sum("n")).first()[0] == 12
 
@@ -41,7 +41,7 @@ def test_sliding_windows_equal_batch(events, values, by_slide):
     stream, batch = events
     expected = batch.groupBy(F.window("ts", "15 seconds", "3 seconds"), "kind").agg(F.count("*").alias("n"))
     result = S.drain_windows(
-        stream, "ts", lambda e: S.sliding_counts(e, "ts", "kind", "15 seconds", "3 seconds", by_slide=by_slide)
+        stream, "ts", lambda e: S.sliding_counts(e, "ts", "kind", "15 seconds", "3 seconds", "1 minute", by_slide=by_slide)
     )
     assert values(starts(result)) == values(starts(expected))
     assert result.agg(F.sum("n")).first()[0] == 12 * 5
@@ -51,7 +51,7 @@ def test_windows_of_no_events(spark, rows, tmp_path):
     folder = str(tmp_path / "events")
     rows([], "ts timestamp_ntz, kind string").write.parquet(folder)
     stream = S.stream_parquet(spark, folder).select(S.utc_instant("ts").alias("ts"), "kind")
-    result = S.drain_windows(stream, "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds"))
+    result = S.drain_windows(stream, "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds", "1 minute"))
     assert result.count() == 0 and result.columns == ["window", "kind", "n"]
 
 
@@ -106,7 +106,7 @@ def test_continuous_query_starts_and_stops(spark, events, values):
 def test_the_state_store_choice_does_not_leak(spark, events):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
-    S.drain_windows(events[0], "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds"))
+    S.drain_windows(events[0], "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds", "1 minute"))
     assert spark.conf.get(key) == before
 
 
@@ -130,3 +130,20 @@ def test_print_first_shows_a_bounded_part_of_each_batch(spark, events, capsys):
     S.run_available(events[0].select("kind"), S.print_first(3), new_folder(spark, "checkpoint"))
     shown = capsys.readouterr().out
     assert "only showing top 3 rows" in shown
+
+
+@pytest.mark.parametrize("delay, complete", [(None, True), ("0 seconds", False)])
+def test_files_out_of_order_lose_no_event_or_fail(spark, rows, tmp_path, delay, complete):
+    folder = str(tmp_path / "events")
+    for second in (30, 3, 21, 0, 12, 40):
+        part = [(moment(second), "a"), (moment(second + 1), "b")]
+        rows(part, "ts timestamp_ntz, kind string").coalesce(1).write.mode("append").parquet(folder)
+    batch = spark.read.parquet(folder).select(S.utc_instant("ts").alias("ts"))
+    delay = delay or S.span_of(batch, "ts")
+    stream = S.stream_parquet(spark, folder, files_per_trigger=1).select(S.utc_instant("ts").alias("ts"), "kind")
+    run = lambda: S.drain_windows(stream, "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds", delay))
+    if complete:
+        assert run().agg(F.sum("n")).first()[0] == 12
+    else:
+        with pytest.raises(RuntimeError, match="later than the watermark"):
+            run()
