@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+# the folders handed out in this process, for remove_scratch
+_WRITTEN: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -30,7 +32,8 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared root that nothing else uses; the folder itself is not created."""
-    return f"{shared_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(f"{shared_root(spark)}/millrace/{label}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -38,3 +41,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete what the library has written under the shared root in this session; the number of folders.
+
+    DataFrames that still read those tables can no longer be computed, so this belongs at the end of a job.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed

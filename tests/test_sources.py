@@ -129,3 +129,13 @@ def test_files_without_names_and_inferred_json(spark, rows, values, tmp_path):
     assert df.columns == ["_c0", "_c1"] and values(df) == [("C:\\new", "1")]
     write_json_lines(rows([("40", 1.5)], "age string, x double"), str(tmp_path / "json"))
     assert read_json_lines(spark, str(tmp_path / "json")).dtypes == [("age", "string"), ("x", "double")]
+
+
+def test_scratch_tables_can_be_removed(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "_WRITTEN", [])
+    monkeypatch.setattr(workspace, "shared_root", lambda _: str(tmp_path))
+    kept = workspace.materialize(rows([(1,)], "v int"), "kept")
+    workspace.new_folder(spark, "never-written")
+    assert kept.count() == 1 and len(list((tmp_path / "millrace").iterdir())) == 1
+    assert workspace.remove_scratch(spark) == 1
+    assert not list((tmp_path / "millrace").iterdir()) and workspace.remove_scratch(spark) == 0
