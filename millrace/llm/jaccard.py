@@ -4,12 +4,13 @@ A document's set are its distinct word shingles. Two documents link when the ove
 least ``percent`` of their union. The join is exact: every link between different sets is found, and the
 result is the connected component of each document.
 
-* Documents with equal sets are one, under the smallest id.
+* Documents with equal sets are one, under the smallest id: within a task at once, over all tasks by digest.
 * Documents are partitioned into groups by their smallest shingle hash among the frequent ones if there
   are any, so that near copies come into few groups.
 * All sets have their shingles in one order, rare ones first. If two sets link, then their beginnings share
-  some shingles: with beginnings of ``n - ceil(t * n) + 1 + extra`` shingles, ``1 + extra`` of them (or all that the
-  overlap has). The token-group matrix has a cell for each shingle and group: whether the shingle is in the
+  some
+  shingles: with beginnings of ``n - ceil(t * n) + 1 + extra(n)`` shingles about ``extra(n)`` of them, see
+  ``least_met``. The token-group matrix has a cell for each shingle and group: whether the shingle is in the
   union of the group's beginnings.
 * The number of cells of a group that a query document meets bounds its overlap with any member. Only
   groups that reach the bound are opened: the query's whole set is sent there and compared with members.
@@ -45,7 +46,9 @@ from millrace.workspace import materialize
 
 SHINGLE_WORDS = 5
 PERCENT = 80
+# a beginning is longer than one common shingle needs: by two shingles and so many per cent of the set
 EXTRA = 2
+EXTRA_PERCENT = 7
 # a shingle in so many documents of a batch is reported, and frequent with so many in all
 BATCH_COUNT = 4
 TOTAL_COUNT = 32
@@ -82,7 +85,17 @@ def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 
 def beginning(n: np.ndarray | int, percent: int) -> np.ndarray | int:
-    return np.minimum(n, n - needed(n, percent) + 1 + EXTRA)
+    return np.minimum(n, n - needed(n, percent) + 1 + EXTRA + EXTRA_PERCENT * n // 100)
+
+
+def least_met(n: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """The least number of shingles that the beginnings of a set of ``n`` and of any set it links to share.
+
+    The common shingles outside of either beginning are the last in the order, so they are as many as the
+    longer remainder at most. With ``N`` the larger set that is ``needed(N) - 1 - extra(N)``, or one more where
+    rounding lets a smaller set have the longer remainder; the overlap is ``needed(N)`` at least.
+    """
+    return np.maximum(1, np.minimum(needed(n, percent) - 1, EXTRA + EXTRA_PERCENT * n // 100))
 
 
 def in_rare_order(tokens: np.ndarray, first: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,18 +122,11 @@ def group_of(ordered: np.ndarray, marked: np.ndarray, first: np.ndarray) -> np.n
     return (mix(picked) >> U64(32)).astype(np.uint32)
 
 
-def _sets_by_batch(batches: Iterator[pa.RecordBatch], text_col: str, k: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for batch in batches:
-        if not len(batch):
-            continue
-        tokens, bounds, total = [], [np.zeros(1, np.int64)], 0
-        texts = batch.column(text_col)
-        for lo, hi in slices(texts):
-            part, first = sets_of(texts.slice(lo, hi - lo), k)
-            tokens.append(part)
-            bounds.append(first[1:] + total)
-            total += len(part)
-        yield batch, np.concatenate(tokens), np.concatenate(bounds)
+def _sets_by_slice(batch: pa.RecordBatch, text_col: str, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The sets of a batch, a range of rows at a time."""
+    texts = batch.column(text_col)
+    for lo, hi in slices(texts):
+        yield lo, hi, *sets_of(texts.slice(lo, hi - lo), k)
 
 
 # ---------------------------------------------------------------- statistics over all documents
@@ -130,10 +136,12 @@ def signatures(docs: DataFrame, text_col: str, k: int) -> DataFrame:
     """Document key, size of the set and its digest."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, tokens, first in _sets_by_batch(batches, text_col, k):
-            a, b = _digests(tokens, first)
+        for batch in batches:
             doc, tie = repeats.key_of(batch)
-            yield pa.RecordBatch.from_pydict({"doc": doc, "tie": tie, "n": np.diff(first), "a": a.view(np.int64), "b": b.view(np.int64)})
+            for lo, hi, tokens, first in _sets_by_slice(batch, text_col, k):
+                a, b = _digests(tokens, first)
+                columns = {"doc": doc[lo:hi], "tie": tie[lo:hi], "n": np.diff(first), "a": a.view(np.int64), "b": b.view(np.int64)}
+                yield pa.RecordBatch.from_pydict(columns)
 
     return docs.mapInArrow(sign, "doc bigint, tie bigint, n bigint, a bigint, b bigint")
 
@@ -142,8 +150,11 @@ def frequent_shingles(docs: DataFrame, text_col: str, k: int, most: int) -> np.n
     """The shingles of many documents, ascending; the ``most`` frequent of them if there are more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, _ in _sets_by_batch(batches, text_col, k):
-            ordered = np.sort(tokens)
+        for batch in batches:
+            if not len(batch):
+                continue
+            ordered = np.concatenate([tokens for _, _, tokens, _ in _sets_by_slice(batch, text_col, k)])
+            ordered.sort()
             start = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[: len(ordered)]
             many = np.diff(np.append(start, len(ordered)))
             seen = many >= BATCH_COUNT
@@ -161,34 +172,42 @@ def frequent_shingles(docs: DataFrame, text_col: str, k: int, most: int) -> np.n
 def _cell_blocks(docs: DataFrame, text_col: str, k: int, percent: int, frequent: np.ndarray, buckets: int) -> DataFrame:
     """The shingles of each document's beginning, with its group, dealt by shingle."""
 
+    def settle(rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, int]]:
+        # of equal sets the first document is enough
+        a, b, doc, tie = (rows.column(c).to_numpy() for c in ("a", "b", "doc", "tie"))
+        order = np.lexsort((tie, doc, b, a))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+        picked = rows.take(pa.array(np.sort(order[new])))
+        cells = picked.column("cells")
+        row = pa.compute.list_parent_indices(cells)
+        token = cells.flatten().to_numpy()
+        many = {c: picked.column(c).take(row) for c in ("doc", "tie", "group", "n")}
+        high, low = (token >> U64(32)).astype(np.uint32), ((token >> U64(16)) & U64(0xFFFF)).astype(np.uint16)
+        yield pa.RecordBatch.from_pydict({**many, "high": high, "low": low}), repeats.bucket_of_hash(token, buckets), FACTS
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, tokens, first in _sets_by_batch(batches, text_col, k):
+        out = repeats.Outbox(settle)
+        for batch in batches:
             doc, tie = repeats.key_of(batch)
-            n = np.diff(first)
-            # of equal sets in a batch the first document is enough
-            a, b = _digests(tokens, first)
-            order = np.lexsort((tie, doc, b, a))
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-            picked = np.zeros(len(order), dtype=bool)
-            picked[order[new]] = True
-            ordered, marked = in_rare_order(tokens, first, frequent)
-            group = group_of(ordered, marked, first)
-            many = np.where(picked, beginning(n, percent), 0)
-            row = np.repeat(np.arange(len(n)), many)
-            at = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[:-1], many)
-            token = ordered[at]
-            cells = pa.RecordBatch.from_pydict(
-                {
-                    "doc": doc[row],
-                    "tie": tie[row],
-                    "group": group[row],
-                    "n": n[row].astype(np.uint32),
-                    "high": (token >> U64(32)).astype(np.uint32),
-                    "low": ((token >> U64(16)) & U64(0xFFFF)).astype(np.uint16),
+            for lo, hi, tokens, first in _sets_by_slice(batch, text_col, k):
+                n = np.diff(first)
+                a, b = _digests(tokens, first)
+                ordered, marked = in_rare_order(tokens, first, frequent)
+                many = beginning(n, percent)
+                offsets = np.concatenate([[0], np.cumsum(many)])
+                token = ordered[np.repeat(first[:-1] - offsets[:-1], many) + np.arange(offsets[-1])]
+                columns = {
+                    "doc": doc[lo:hi],
+                    "tie": tie[lo:hi],
+                    "group": group_of(ordered, marked, first),
+                    "n": n.astype(np.uint32),
+                    "a": a,
+                    "b": b,
+                    "cells": pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(token, pa.uint64())),
                 }
-            )
-            yield from repeats.block_batches(repeats.deal(cells, repeats.bucket_of_hash(token, buckets), FACTS))
+                yield from out.add(pa.RecordBatch.from_pydict(columns))
+        yield from out.flush()
 
     return docs.mapInArrow(send, BLOCK)
 
@@ -299,7 +318,7 @@ def _open_groups(texts: DataFrame, text_col: str, k: int, percent: int, frequent
             ordered, marked = in_rare_order(tokens, first, frequent)
             mine, n = group_of(ordered, marked, first), np.diff(first)
             at = np.searchsorted(used, rows)
-            enough = met >= np.minimum(needed(n[at], percent), 1 + EXTRA)
+            enough = met >= least_met(n[at], percent)
             # a pair of groups meets in the one with the smaller number; there the other side are members
             active = np.unique(at[enough])
             cross = np.flatnonzero(enough & ~own & (group < mine[at]))
@@ -363,7 +382,7 @@ class Clusters:
                     self.clusters_of[token] = roots
                 for c in roots:
                     met[c] += 1
-        bound = min(needed(n, self.percent), 1 + EXTRA)
+        bound = int(least_met(n, self.percent))
         for c, many in sorted(met.items(), key=lambda x: -x[1]):
             if many < bound:
                 break

@@ -39,6 +39,18 @@ def test_the_limit_itself_links(docs):
     assert result(docs([(1, " ".join(a)), (2, " ".join(b[:16]))]), k=1, percent=85)[2] == (16, 2)
 
 
+def test_beginnings_of_linked_sets_share_what_the_bound_says():
+    for percent in (50, 80, 85, 95):
+        for n in range(1, 200):
+            for m in range(n, min(200, 100 * n // percent + 2)):
+                # the least overlap that links, and the worst place for it: at the ends of the order
+                both = next((o for o in range(1, n + 1) if 100 * o >= percent * (n + m - o)), None)
+                if both is None:
+                    continue
+                rest = max(n - int(jaccard.beginning(n, percent)), m - int(jaccard.beginning(m, percent)))
+                assert both - rest >= jaccard.least_met(n, percent) and both - rest >= jaccard.least_met(m, percent)
+
+
 def test_chains_reach_the_smallest_id(docs):
     w = [f"w{i}" for i in range(200)]
     rows = [(50 - i, " ".join(w[2 * i : 2 * i + 60])) for i in range(12)]
