@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from millrace.llm.words import IS_MARK, slices, word_hashes
+from millrace.llm.words import IS_MARK, folded, slices, word_hashes
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -50,7 +50,7 @@ _SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 
 
 def words_of(text: str | None) -> list[int]:
-    return word_hashes(pa.array([text], pa.large_string()), lower=True, between=IS_MARK)[0].tolist()
+    return word_hashes(folded(pa.array([text], pa.large_string())), between=IS_MARK)[0].tolist()
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
@@ -242,7 +242,7 @@ def hits_of(texts: pa.Array, index: Index, threshold: float, overlap: float) ->
     """Text number, item number, score, question and answer shares, and first word of the passage of each hit."""
     if not index.ids:
         return []
-    words, first = word_hashes(texts, lower=True, between=IS_MARK)
+    words, first = word_hashes(folded(texts), between=IS_MARK)
     text, begin, end = passages_of(first, index.longest)
     size = end - begin
     at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())

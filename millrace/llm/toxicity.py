@@ -28,12 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.words import IS_MARK, U64, as_bytes, hash_ranges, mix, slices, word_bounds
+from millrace.llm.words import IS_MARK, U64, as_bytes, folded, hash_ranges, mix, slices, word_bounds
 
 CLASSIFIERS = 4
 # training texts for each classifier, at most
-TOXIC_TEXTS = 5_000
-UNLABELLED_TEXTS = 10_000
+TOXIC_TEXTS = 2_500
+UNLABELLED_TEXTS = 5_000
 FEATURES = 4_096
 # a feature is in so many toxic texts at least, and its share differs by so much in logarithm and in standard errors
 LEAST_TEXTS = 3
@@ -60,13 +60,13 @@ def held_out(ident: Column, folds: int = 5) -> Column:
 
 def features_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words of all texts and of their beginnings, and the text each is from."""
-    data, offsets = as_bytes(texts)
+    data, offsets = as_bytes(folded(texts))
     starts, ends, first = word_bounds(data, offsets, IS_MARK)
     text = np.repeat(np.arange(len(texts)), np.diff(first))
-    hashes, texts_of = [hash_ranges(data, starts, ends, lower=True)], [text]
+    hashes, texts_of = [hash_ranges(data, starts, ends)], [text]
     for n in BEGINNINGS:
         longer = ends - starts > n
-        part = hash_ranges(data, starts[longer], starts[longer] + n, lower=True)
+        part = hash_ranges(data, starts[longer], starts[longer] + n)
         hashes.append(mix(part + U64(n)))
         texts_of.append(text[longer])
     return np.concatenate(hashes), np.concatenate(texts_of)
@@ -175,14 +175,14 @@ def train(
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words: list[bytes] = []
             for lo, hi in slices(batch.column("text")):
-                part, text = distinct(*features_of(batch.column("text").slice(lo, hi - lo)))
+                rows = batch.slice(lo, hi - lo)
+                part, text = distinct(*features_of(rows.column("text")))
                 cuts = np.searchsorted(text, np.arange(hi - lo + 1))
-                words += [part[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("uses"), pa.array(words, pa.binary())], names=["id", "uses", "words"]
-            )
+                words = [part[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), rows.column("uses"), pa.array(words, pa.binary())], names=["id", "uses", "words"]
+                )
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("id", "ascending"), ("toxic", "ascending")])

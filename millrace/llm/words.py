@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U64 = np.uint64
 # rows are worked on in slices of about so many bytes, whatever the size of the Arrow batch
@@ -89,6 +90,11 @@ def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def folded(texts: pa.Array) -> pa.Array:
+    """Texts in lower case, so that a text and its upper-case form are the same (whose ``SS`` may stand for ``ß``)."""
+    return pc.replace_substring(pc.utf8_lower(texts.cast(pa.large_string())), "ß", "ss")
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts have about ``limit`` bytes; a longer text is a range of its own."""
     _, offsets = as_bytes(texts)

@@ -141,6 +141,12 @@ def test_planted_items_are_found_wherever_they_stand(spark, docs, index_bytes):
     assert all(r.score == pytest.approx(1) and r.question_share == r.answer_share == 1 for r in got.values())
 
 
+def test_upper_case_is_the_same_text(spark, docs):
+    text = "Éauxouai et ßer straße, ñoñ élan öl über zehn weiße mäuse. Ça n'est que la réponse."
+    bench = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    assert found(docs([(1, f"A B {text.upper()} C"), (2, text)]), bench).keys() == {(1, 1), (2, 1)}
+
+
 def test_question_without_the_answer_is_not_a_hit(spark, docs):
     question, answer = " ".join(f"q{i}" for i in range(20)) + "?", " ".join(f"a{i}" for i in range(6)) + "."
     bench = spark.createDataFrame([(1, f"{question} {answer}")], "item_id bigint, text string")
