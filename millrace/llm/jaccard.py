@@ -41,7 +41,7 @@ from millrace.llm import repeats
 from millrace.llm.components import connected_components
 from millrace.llm.ranges import shuffle_partitions
 from millrace.llm.repeats import BLOCK, DOC, FACTS, TIE
-from millrace.llm.words import U64, mix, shingle_hashes, slices, word_hashes
+from millrace.llm.words import U64, counted, mix, shingle_hashes, slices, word_hashes
 from millrace.workspace import materialize
 
 SHINGLE_WORDS = 5
@@ -243,7 +243,7 @@ def _met_groups(cells: DataFrame, percent: int, buckets: int) -> DataFrame:
             row_all = np.arange(len(order))
             for part in _parts_of(many, 4_000_000):
                 row = np.repeat(row_all[part], many[part])
-                cell = _counted(many[part]) + first_cell[token_of[row]]
+                cell = counted(many[part]) + first_cell[token_of[row]]
                 own = cell == cell_of[row]
                 fits = (100 * largest[cell] >= percent * n[row]) & (100 * n[row] >= percent * smallest[cell])
                 kept = np.flatnonzero(fits & (~own | (members[cell] > 1)))
@@ -270,10 +270,6 @@ def _parts_of(many: np.ndarray, limit: int) -> Iterator[slice]:
         begin = end
 
 
-def _counted(counts: np.ndarray) -> np.ndarray:
-    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-
-
 def _copy_blocks(members: DataFrame, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,7 +324,7 @@ def _open_groups(texts: DataFrame, text_col: str, k: int, percent: int, frequent
             if not len(of):
                 continue
             offsets = np.concatenate([[0], np.cumsum(n[of])])
-            joined = ordered[np.repeat(first[:-1][of], n[of]) + _counted(n[of])]
+            joined = ordered[np.repeat(first[:-1][of], n[of]) + counted(n[of])]
             sets = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(joined, pa.uint64()))
             rows_out = pa.RecordBatch.from_pydict(
                 {"group": to, "doc": doc[used][of], "tie": tie[used][of], "member": member, "set": sets}

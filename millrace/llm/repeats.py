@@ -311,7 +311,7 @@ class Facts:
     def __init__(self, blocks: list[bytes]) -> None:
         self.columns = joined(blocks) if blocks else {}
         if blocks:
-            keys = _paired(self.columns["doc"], self.columns["tie"])
+            keys = paired(self.columns["doc"], self.columns["tie"])
             order = np.argsort(keys, kind="stable")
             self.keys = keys[order]
             self.columns = {name: column[order] for name, column in self.columns.items()}
@@ -320,7 +320,7 @@ class Facts:
         """The facts of some documents, given once each and in order: the document's number, and the columns."""
         if not self.columns:
             return np.zeros(0, np.int64), {}
-        wanted = _paired(doc, tie)
+        wanted = paired(doc, tie)
         begin, end = np.searchsorted(self.keys, wanted, "left"), np.searchsorted(self.keys, wanted, "right")
         many = end - begin
         number = np.repeat(np.arange(len(doc)), many)
@@ -351,7 +351,7 @@ def distinct_documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, n
     return doc[rows], tie[rows], rows
 
 
-def _paired(doc: np.ndarray, tie: np.ndarray) -> np.ndarray:
+def paired(doc: np.ndarray, tie: np.ndarray) -> np.ndarray:
     """Keys as one sortable value each: big-endian bytes of the id and the tie, with the signs turned."""
     top = U64(1 << 63)
     both = np.empty((len(doc), 2), dtype=">u8")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from millrace.llm import repeats
 from millrace.llm.repeats import BLOCK, FACTS, PASSED, Windows
-from millrace.llm.words import SLICE_BYTES, U64, as_bytes, byte_values, mix, powers, prefix_sums
+from millrace.llm.words import SLICE_BYTES, U64, as_bytes, byte_values, counted, mix, powers, prefix_sums
 
 LENGTH = 50
 SEED_BYTES = 16
@@ -161,7 +161,7 @@ def earlier_strings(x: dict[str, np.ndarray], segments: pa.Array, length: int) -
     ``x`` has for each segment of text around an anchor its document (``doc``, ``tie``), the offset ``off`` of the
     anchor in it, and the anchor's ``seed``. All strings of a segment contain the anchor's first byte.
     """
-    rank = np.unique(repeats._paired(x["doc"], x["tie"]), return_inverse=True)[1].astype(np.int64)
+    rank = np.unique(repeats.paired(x["doc"], x["tie"]), return_inverse=True)[1].astype(np.int64)
     data, begin = as_binary(segments)
     off = x["off"].astype(np.int64)
     whole = np.diff(begin)
@@ -195,7 +195,7 @@ def earlier_strings(x: dict[str, np.ndarray], segments: pa.Array, length: int) -
     first = rank[head]
     # all strings of a segment are earlier ones if its class has an earlier document
     late = np.flatnonzero(rank > first[class_of])
-    found_segment, found_start = [np.repeat(late, (whole - length + 1)[late])], [_counted((whole - length + 1)[late])]
+    found_segment, found_start = [np.repeat(late, (whole - length + 1)[late])], [counted((whole - length + 1)[late])]
     # the other members: those that stand for their class
     member = np.flatnonzero(rank == first[class_of])
     slot = np.full(len(head), -1, np.int64)
@@ -222,10 +222,6 @@ def earlier_strings(x: dict[str, np.ndarray], segments: pa.Array, length: int) -
     return np.concatenate(found_segment), np.concatenate(found_start)
 
 
-def _counted(counts: np.ndarray) -> np.ndarray:
-    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-
-
 def as_binary(segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     array = segments.cast(pa.large_binary())
     begin = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
@@ -303,14 +299,14 @@ def _compare(text_col: str, windows: Windows):
             # equal segments within the task: the later documents' strings are removed, the first is sent on
             x, segments = _columns(rows), rows.column("segment")
             names = segments.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            rank = np.unique(repeats._paired(x["doc"], x["tie"]), return_inverse=True)[1]
+            rank = np.unique(repeats.paired(x["doc"], x["tie"]), return_inverse=True)[1]
             order = np.lexsort((rank, x["off"], names))
             new = np.ones(len(order), dtype=bool)
             new[1:] = (np.diff(names[order]) != 0) | (np.diff(x["off"][order].astype(np.int64)) != 0)
             least = np.repeat(rank[order][new], np.diff(np.append(np.flatnonzero(new), len(order))))
             later = np.sort(order[rank[order] > least])
             strings = pa.compute.binary_length(segments).to_numpy()[later] - windows.length + 1
-            yield repeats.send_runs(_runs(x, np.repeat(later, strings), _counted(strings)), buckets, PASSED)
+            yield repeats.send_runs(_runs(x, np.repeat(later, strings), counted(strings)), buckets, PASSED)
             sent = rows.take(pa.array(np.sort(order[rank[order] == least])))
             yield sent.drop_columns(["seed"]), repeats.bucket_of_hash(sent.column("seed").to_numpy(), buckets), FACTS
 

@@ -90,6 +90,11 @@ def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def counted(counts: np.ndarray) -> np.ndarray:
+    """The numbers from zero up to each count, one after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def folded(texts: pa.Array) -> pa.Array:
     """Texts in lower case, so that a text and its upper-case form are the same (whose ``SS`` may stand for ``ß``)."""
     return pc.replace_substring(pc.utf8_lower(texts.cast(pa.large_string())), "ß", "ss")
