@@ -108,6 +108,8 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
         yield first, min(last, len(texts))
         first = last
+    # an idle worker need not keep what a batch took
+    pa.default_memory_pool().release_unused()
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
