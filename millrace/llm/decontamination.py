@@ -14,7 +14,8 @@ all items. Postings are in blocks of item numbers with the largest score of each
 
 Passages overlap by half and are twice as long as the longest item, so that any item that a text repeats lies
 within one passage. The index is built for so many items at a time that it stays below a bound in bytes;
-a larger benchmark takes several passes over the documents.
+a larger benchmark takes several passes over the documents. Item count, mean length, document frequencies and the
+longest item are those of the whole benchmark in each.
 
 Defined results: null and empty texts have no passages, items without words are never found. Repeated
 item ids are indexed each, and reported once with their best hit. Rows that repeat a document id count as
@@ -100,8 +101,11 @@ class Index:
         return len(self.common)
 
 
-def build(items: list[tuple], statistics: tuple[int, float, dict[int, int]] | None = None) -> Index:
-    """An index of (id, text) pairs. ``statistics`` are item count, mean length and document frequencies over all items."""
+def build(items: list[tuple], statistics: tuple[int, float, dict[int, int]] | None = None, longest: int = 0) -> Index:
+    """An index of (id, text) pairs. ``statistics`` are item count, mean length and document frequencies over all items.
+
+    ``longest`` is the number of words of the longest item of all, if that may not be among ``items``.
+    """
     kept = [(i, t, w) for i, t in items if (w := words_of(t))]
     n, mean, df = statistics or corpus_statistics(t for _, t in items)
     postings: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
@@ -141,7 +145,7 @@ def build(items: list[tuple], statistics: tuple[int, float, dict[int, int]] | No
     return Index(
         [i for i, _, _ in kept],
         parts,
-        max((len(w) for _, _, w in kept), default=0),
+        longest or max((len(w) for _, _, w in kept), default=0),
         full,
         terms[new],
         np.append(new, len(terms)),
@@ -259,6 +263,43 @@ def hits_of(texts: pa.Array, index: Index, threshold: float, overlap: float) ->
     return out
 
 
+def benchmark_statistics(items: DataFrame, text_col: str) -> tuple[tuple[int, float, dict[int, int]], int]:
+    """``corpus_statistics`` and the length of the longest item, over the whole benchmark."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            for lo, hi in slices(texts):
+                words, first = word_hashes(folded(texts.slice(lo, hi - lo)), between=IS_MARK)
+                length = np.diff(first)
+                text = np.repeat(np.arange(len(length)), length)
+                order = np.lexsort((words, text))
+                words, text = words[order], text[order]
+                new = np.ones(len(words), dtype=bool)
+                new[1:] = (words[1:] != words[:-1]) | (text[1:] != text[:-1])
+                terms, many = np.unique(words[new], return_counts=True)
+                # the row without a term is of the items themselves
+                columns = {
+                    "term": pa.array([None, *terms.view(np.int64).tolist()], pa.int64()),
+                    "n": np.append([(length > 0).sum()], many).astype(np.int64),
+                    "total": np.append([length.sum()], np.zeros(len(terms))).astype(np.int64),
+                    "longest": np.append([length.max(initial=0)], np.zeros(len(terms))).astype(np.int64),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    given = items.select(F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = given.mapInArrow(count, "term bigint, n bigint, total bigint, longest bigint").groupBy("term")
+    found = rows.agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("longest").alias("longest")).toArrow()
+    n = total = longest = 0
+    df = {}
+    for term, many, words, most in zip(*(found.column(i).to_pylist() for i in range(4)), strict=True):
+        if term is None:
+            n, total, longest = many, words, most
+        else:
+            df[term % (1 << 64)] = many
+    return (n, total / max(n, 1), df), longest
+
+
 def item_shards(items: DataFrame, id_col: str, text_col: str, most_bytes: int) -> Iterator[list[tuple]]:
     """All items in lists of about ``most_bytes`` of text at most, in a repeatable deal."""
     given = items.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
@@ -284,7 +325,8 @@ def contaminated(
     """``doc_id``, ``item_id``, ``score``, ``question_share``, ``answer_share``, ``first_word``, ``n_passages`` of all verified hits.
 
     Shares and score are the best over the document's passages, ``first_word`` is the start of the first of them.
-    BM25 counts terms and lengths over the items of one index.
+    BM25 counts terms and lengths over all items, and passages are as long as the longest of all asks, so the number of
+    indexes changes nothing.
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kinds = [docs.schema[id_col].dataType, items.schema[item_id_col].dataType]
@@ -292,8 +334,10 @@ def contaminated(
     for name, kind in (("score", "double"), ("question_share", "double"), ("answer_share", "double"), ("first_word", "long")):
         found_schema = found_schema.add(name, kind)
     found = docs.sparkSession.createDataFrame([], found_schema)
+    statistics, longest = benchmark_statistics(items, item_text_col)
     for shard in item_shards(items, item_id_col, item_text_col, index_bytes):
-        found = found.unionByName(given.mapInArrow(_searcher(build(shard), threshold, overlap, found_schema), found_schema))
+        index = build(shard, statistics, longest)
+        found = found.unionByName(given.mapInArrow(_searcher(index, threshold, overlap, found_schema), found_schema))
     return found.groupBy("doc_id", "item_id").agg(
         F.max("score").alias("score"),
         F.max("question_share").alias("question_share"),

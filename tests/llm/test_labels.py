@@ -141,6 +141,29 @@ def test_planted_items_are_found_wherever_they_stand(spark, docs, index_bytes):
     assert all(r.score == pytest.approx(1) and r.question_share == r.answer_share == 1 for r in got.values())
 
 
+def test_partial_hits_are_the_same_for_one_index_and_for_many(spark, docs):
+    r = random.Random(11)
+    items = [(i, item(r, r.randint(8, 60))) for i in range(40)]
+    rows = []
+    for i in range(120):
+        w = items[i % 40][1].split()
+        # the score of what is left is near the threshold
+        kept = [x for x in w if r.random() < 0.75]
+        rows.append((i, item(r, 150) + " " + " ".join(kept) + " " + item(r, 150)))
+    bench = spark.createDataFrame([*items, (90, None), (91, " ")], "item_id bigint, text string")
+    one = found(docs(rows), bench, overlap=0.3)
+    many = found(docs(rows), bench, overlap=0.3, index_bytes=1500)
+    assert len(list(dc.item_shards(bench, "item_id", "text", 1500))) > 3
+    assert any(x.score < 0.9 for x in one.values())
+    assert one.keys() == many.keys()
+    for key, x in one.items():
+        y = many[key]
+        assert y.score == pytest.approx(x.score) and y[3:] == x[3:]
+    index = dc.build(items)
+    (n, mean, df), longest = dc.benchmark_statistics(bench, "text")
+    assert (n, mean, df) == dc.corpus_statistics(t for _, t in items) and longest == index.longest
+
+
 def test_upper_case_is_the_same_text(spark, docs):
     text = "Éauxouai et ßer straße, ñoñ élan öl über zehn weiße mäuse. Ça n'est que la réponse."
     bench = spark.createDataFrame([(1, text)], "item_id bigint, text string")
