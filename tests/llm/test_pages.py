@@ -51,6 +51,27 @@ def test_markup():
     assert text_of(page) == "Head­line One bold line &amp; é x Two i j a < b & c"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="no-sidebar"><p>The text</p></body>',
+        '<body class="home sidebar" hidden><p>The text</p></body>',
+        '<html class="menu-open no-ads"><body id="search"><div class="content with-sidebar">The text</div>',
+        '<article class="post comments-open"><p>The text</p></article>',
+        '<main id="search" role="search"><p>The text</p></main>',
+        '<div class="content-sidebar social-proof-free"><p>The text</p></div>',
+        '<div class="sidebar-left"><main><nav>N</nav><p>The text</p></main></div>',
+        '<div class="sidebar"><p>Side</p><article><h1>The</h1><p>text</p><div class="comments"><article>Re</article></div></article></div>',
+        '<article>The text</article><div id="comments"><article>Reply</article></div><div class="site-footer">F</div>',
+        '<div class="related"><article>Teaser</article></div><main><article>The text</article></main>',
+        '<div class="sidebar" hidden><article>Hidden</article></div><div>The text</div>',
+        '<div class="post-comments">First!</div><div class="Cookie-Notice x">C</div><div>The text</div><div class="ad2">Ad</div>',
+    ],
+)
+def test_names_of_layouts_do_not_drop_the_text(page):
+    assert text_of(page) == "The text"
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "a<b", "<script>", "<!--", "</p></div>", "<a title='x>y", "<p>x</p", "&#xZZ;&amp"])
 def test_broken_markup_does_not_fail(page):
     assert isinstance(text_of(page), str)
