@@ -103,6 +103,38 @@ def test_hosts_spread_over_ranges_pair_with_their_neighbours(spark):
     assert sorted((r.page_id, r.text) for r in out) == [(i, f"body {i}") for i in range(120)]
 
 
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_copies_under_neighbouring_urls_keep_their_text(spark, parts):
+    page = lambda body, note="": f"<div>Menu of the site</div><div>{body}</div><div>Imprint</div><p>{note}</p>"
+    long = "A long text that several addresses show, word by word, with nothing else that would set them apart. " * 2
+    rows, want = [], {}
+
+    def add(url, body, note="", kept=None):
+        rows.append((len(rows), url, page(body, note)))
+        want[len(want)] = " ".join((kept or f"{body} {note}").split())
+
+    for i in range(30):
+        add(f"http://a.com/b{i:02}", long)
+    add("http://a.com/a", "First")
+    add("http://a.com/c", "Last")
+    # copies but for a number, first and last of their host
+    for i in range(25):
+        add(f"http://b.com/{i:02}", long, f"{i}")
+    add("http://b.com/x", "Other")
+    for i in range(25):
+        add(f"http://b.com/y{i:02}", long.upper(), f"{i}")
+    # a host that has nothing else
+    for i in range(20):
+        add(f"http://c.com/{i}", long, kept=f"Menu of the site {long} Imprint")
+    given = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        out = html_text.extract(spark.createDataFrame(rows, PAGES).repartition(5), "page_id", "url", "html").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", given)
+    assert {r.page_id: r.text for r in out} == want and len(out) == len(rows)
+
+
 def test_no_pages(spark):
     empty = spark.createDataFrame([], PAGES)
     assert html_text.extract(empty, "page_id", "url", "html").count() == 0
