@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from brute import corpus, cut_bytes, cut_words
 
-from millrace.llm import substring_dedup, suffix_dedup
+from millrace.llm import repeats, substring_dedup, suffix_dedup
 from millrace.llm.repeats import Windows
 from millrace.llm.words import word_hashes
 
@@ -116,6 +116,30 @@ def test_equal_windows_have_equal_anchors():
     assert covered == sum(max(0, n - 9) for n in np.diff(first))
 
 
+def test_windows_around_a_frequent_anchor_are_spread():
+    r = random.Random(3)
+    line = " ".join(f"line{i}" for i in range(8))
+    fill = lambda: " ".join(f"w{r.randrange(10**9)}" for _ in range(30))
+    texts = pa.array([f"{fill()} {line} {fill()}" for _ in range(500)] + [f"{fill()} {line} {line} {line} x"] * 2, pa.large_string())
+    windows = Windows(20, 6, word_hashes)
+    found = windows.anchors(*(units := windows.units(texts)))
+    hashes, many = np.unique(found.hash, return_counts=True)
+    at = np.flatnonzero(found.hash == hashes[np.argmax(many)])
+    assert len(at) > 200
+    doc = np.arange(len(texts))
+    place = (found.at - units[1][found.text])[at].astype(np.uint32)
+    facts = repeats.Facts([repeats.to_block(repeats._candidates(found.text[at], 0 * at, place))])
+    batch = pa.RecordBatch.from_pydict({repeats.DOC: doc, repeats.TIE: 0 * doc, "text": texts})
+    rows = substring_dedup._windows(batch, facts, "text", windows)
+    buckets = substring_dedup._buckets(rows, 64)
+    assert np.bincount(buckets, minlength=64).max() < len(rows) / 16
+    # equal windows meet
+    by_window: dict = {}
+    for h1, h2, bucket in zip(rows.column("h1").to_pylist(), rows.column("h2").to_pylist(), buckets.tolist(), strict=True):
+        by_window.setdefault((h1, h2), set()).add(bucket)
+    assert len(by_window) < len(rows) and all(len(b) == 1 for b in by_window.values())
+
+
 def test_hash_compared_sort_is_the_suffix_order():
     r = random.Random(3)
     data = np.frombuffer("".join(r.choice("ab") for _ in range(400)).encode(), np.uint8)
