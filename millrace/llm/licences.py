@@ -30,7 +30,7 @@ EQUIVALENT = [
     ("https", "http"),
 ]
 _NO_WORD = r"[^\p{L}\p{N}\n]+"
-# a copyright line names a year, the sign or nothing but the holder; prose on copyright goes on
+# a copyright line names a year or the sign, or says nothing else; prose on copyright goes on, and so does a bare holder
 _COPYRIGHT_LINE = r"^(copyright( c)?( [0-9]{4}.*)?$|copyright c .*|c [0-9]{4}.*|(copyright .*)?all rights reserved$)"
 
 
