@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import decontamination, fingerprints, html_text, jaccard, licences, mixing, substring_dedup, suffix_dedup, toxicity, warc
+from millrace.llm import bpe, decontamination, fingerprints, html_text, jaccard, licences, mixing, substring_dedup, suffix_dedup, toxicity, warc
 from millrace.sources import table
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer's file is; every executor has it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_pairs(table(spark, folder, "documents"), "doc_id", "text")
 
@@ -69,6 +76,17 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer_file("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), "doc_id", "text", path), path)
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
+    "op13_bpe": op13_bpe,
 }
 
 SQL: dict[str, str] = {

@@ -12,6 +12,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from millrace.llm import queries
 from millrace.llm.queries import QUERIES, SQL
 
 FOLDER = Path(entry.SMOKE_FOLDER)
@@ -36,7 +37,7 @@ def comparable(rows, columns):
 def test_registered():
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
     assert SQL.keys() <= QUERIES.keys() and SQL.keys() <= entry.oracle_sql().keys()
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == {*range(1, 11), 13}
 
 
 @tables
@@ -107,6 +108,20 @@ def test_pages(spark, duck):
         assert (out[page_id].url, out[page_id].text, out[page_id].n_chars) == (url, want, len(want))
 
 
+@tables
+def test_bpe(spark, documents):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.tokenizer_file("byte_bpe_50k.json"))
+    out = {r.doc_id: r for r in QUERIES["op13_bpe"](spark, str(FOLDER)).collect()}
+    assert len(out) == len(documents)
+    for doc_id, text in documents:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        decoded = library.decode(ids, skip_special_tokens=False).encode()
+        assert (out[doc_id].n_tokens, out[doc_id].ids_sha256, out[doc_id].decoded_sha256) == (len(ids), brute.sha(packed), brute.sha(decoded))
+
+
 # ---------------------------------------------------------------- the pipeline
 
 
