@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, decontamination, fingerprints, html_text, jaccard, licences, mixing, substring_dedup, suffix_dedup, toxicity, warc
+from millrace.llm import bpe, decontamination, filter_audit, fingerprints, html_text, jaccard, licences, mixing, substring_dedup, suffix_dedup, toxicity, warc
 from millrace.sources import table
 
 
@@ -76,6 +76,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"), "doc_id", "text", "lang")
+
+
 def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_file("byte_bpe_50k.json")
     coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), "doc_id", "text", path), path)
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
+    "op12_filter_audit": op12_filter_audit,
     "op13_bpe": op13_bpe,
 }
 
@@ -107,4 +112,5 @@ SQL: dict[str, str] = {
     "op6_licences": licences.scan_sql(),
     "op7_mixing": mixing.mix_sql(),
     "op10_warc": warc.archived_sql(),
+    "op12_filter_audit": filter_audit.audit_sql(),
 }
