@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, decontamination, filter_audit, fingerprints, html_text, jaccard, licences, mixing, substring_dedup, suffix_dedup, toxicity, warc
+from millrace.llm import (
+    bpe,
+    decontamination,
+    filter_audit,
+    fingerprints,
+    html_text,
+    jaccard,
+    licences,
+    mixing,
+    substring_dedup,
+    suffix_dedup,
+    token_alignment,
+    toxicity,
+    warc,
+)
 from millrace.sources import table
 
 
@@ -76,6 +90,11 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return token_alignment.align(table(spark, folder, "documents"), "doc_id", "text", *files)
+
+
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"), "doc_id", "text", "lang")
 
@@ -102,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
+    "op11_token_alignment": op11_token_alignment,
     "op12_filter_audit": op12_filter_audit,
     "op13_bpe": op13_bpe,
 }

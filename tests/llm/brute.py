@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -74,6 +75,54 @@ def components(rows, k, percent):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+def aligned(rows, a_path, b_path):
+    """{doc_id: (n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)}; ids are distinct."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a_model = Tokenizer.from_file(a_path)
+    a_model.encode_special_tokens = True
+    b_model = sentencepiece.SentencePieceProcessor(model_file=b_path)
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte_of = {chr(b): b for b in visible}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in visible)}
+    groups, pairs = {}, Counter()
+    for doc_id, text in rows:
+        groups[doc_id] = []
+        if not text:
+            continue
+        a = a_model.encode(" " + text, add_special_tokens=False).ids
+        b = b_model.encode(text)
+        a_bytes = [bytes(byte_of[c] for c in a_model.id_to_token(i)) for i in a]
+        b_bytes = [bytes([int(p[3:-1], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("\u2581", " ").encode() for p in map(b_model.id_to_piece, b)]
+        if not b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
+            continue
+        i = j = a_at = b_at = 0
+        group = ([], [])
+        while i < len(a) or j < len(b):
+            if a_at <= b_at and i < len(a):
+                a_at, i = a_at + len(a_bytes[i]), i + 1
+                group[0].append(a[i - 1])
+            else:
+                b_at, j = b_at + len(b_bytes[j]), j + 1
+                group[1].append(b[j - 1])
+            if a_at == b_at:
+                groups[doc_id].append(group)
+                group = ([], [])
+        pairs.update({(x, y) for g in groups[doc_id] for x in g[0] for y in g[1]})
+    highest = {}
+    for (x, _), n in pairs.items():
+        highest[x] = max(n, highest.get(x, 0))
+    out = {}
+    for doc_id, found in groups.items():
+        links = [(x, y) for g in found for x in g[0] for y in g[1]]
+        written = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in found)
+        n_a, n_b = (sum(len(g[k]) for g in found) for k in (0, 1))
+        best = sum(pairs[p] == highest[p[0]] for p in links)
+        out[doc_id] = (n_a, n_b, len(found), len(links), best, sum(pairs[p] for p in links), sha(written.encode()) if found else "")
+    return out
+
+
 def held_out(doc_id):
     return zlib.crc32(str(doc_id if doc_id is not None else "").encode()) % 5 == 0
 

@@ -37,7 +37,7 @@ def comparable(rows, columns):
 def test_registered():
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
     assert SQL.keys() <= QUERIES.keys() and SQL.keys() <= entry.oracle_sql().keys()
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == {*range(1, 11), 12, 13}
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 14))
 
 
 @tables
@@ -108,6 +108,14 @@ def test_pages(spark, duck):
         assert (out[page_id].url, out[page_id].text, out[page_id].n_chars) == (url, want, len(want))
 
 
+@tables
+def test_alignment(spark, documents):
+    files = queries.tokenizer_file("byte_bpe_50k.json"), queries.tokenizer_file("piece_bpe_32k.model")
+    want = brute.aligned(documents, *files)
+    out = QUERIES["op11_token_alignment"](spark, str(FOLDER)).collect()
+    assert {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in out} == want
+
+
 @tables
 def test_bpe(spark, documents):
     from tokenizers import Tokenizer
