@@ -22,6 +22,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from tokenizers import pre_tokenizers
 
 from millrace.llm.ranges import shuffle_partitions
@@ -30,9 +31,10 @@ from millrace.llm.words import counted, slices
 # longest bytes merged as one, tokens on each side of a join to begin with, and the parts a worker remembers
 LEAF_BYTES = 64
 WINDOW = 4
-REMEMBERED = 1 << 18
-# texts beyond so many code points are encoded in pieces
+REMEMBERED = 1 << 17
+# texts beyond so many code points are encoded in pieces; bytes of short texts and tokens worked on at a time
 PIECE_CHARS = 1 << 16
+WORK_BYTES = 500_000
 
 LETTER, NUMBER, OTHER, SPACE, UNASSIGNED = range(5)
 # fixed values: white space, and what follows an apostrophe that begins a part
@@ -147,22 +149,33 @@ class Vocabulary:
         return np.where(self.keys[at] == want, self.ranks[at], len(self.keys))
 
     def merged(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The tokens of each piece; all pieces are merged at the same time, each by its lowest rank."""
+        """The tokens of each piece."""
+        counts, ids = self._merge(pieces)
+        return np.split(ids, np.cumsum(counts)[:-1])
+
+    def _merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of tokens of each piece, and all tokens; all pieces merge at a time, each by its lowest rank."""
         symbols = self.first[np.frombuffer(b"".join(pieces), np.uint8)]
         owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
-        done: list[tuple[np.ndarray, np.ndarray]] = []
+        done = [(owner[:0], symbols[:0])]
         none = len(self.keys)
+
+        def ranks(at: np.ndarray) -> np.ndarray:
+            """The rank of each symbol in ``at`` with the one after it."""
+            after = np.minimum(at + 1, len(symbols) - 1)
+            inner = (after > at) & (owner[after] == owner[at])
+            out = np.full(len(at), none)
+            out[inner] = self._rank(symbols[at[inner]], symbols[after[inner]])
+            return out
+
+        rank = ranks(np.arange(len(symbols)))
         while len(symbols):
-            rank = np.full(len(symbols), none)
-            inner = np.flatnonzero(owner[1:] == owner[:-1])
-            rank[inner] = self._rank(symbols[inner], symbols[inner + 1])
             heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             lowest = np.repeat(np.minimum.reduceat(rank, heads), np.diff(np.r_[heads, len(symbols)]))
             ended = lowest == none
             if ended.any():
                 done.append((owner[ended], symbols[ended]))
-                open_ = ~ended
-                symbols, owner, rank, lowest = symbols[open_], owner[open_], rank[open_], lowest[open_]
+                symbols, owner, rank, lowest = (x[~ended] for x in (symbols, owner, rank, lowest))
             hits = np.flatnonzero(rank == lowest)
             if not len(hits):
                 break
@@ -172,12 +185,13 @@ class Vocabulary:
             symbols[hits] = self.product[rank[hits]]
             kept = np.ones(len(symbols), bool)
             kept[hits + 1] = False
-            symbols, owner = symbols[kept], owner[kept]
-        if not done:
-            return [np.zeros(0, np.int64) for _ in pieces]
+            symbols, owner, rank = symbols[kept], owner[kept], rank[kept]
+            # only the new symbols have new neighbours
+            new = hits - np.arange(len(hits))
+            changed = np.r_[new, new[new > 0] - 1]
+            rank[changed] = ranks(changed)
         owners, ids = (np.concatenate(x) for x in zip(*done))
-        ids = ids[np.argsort(owners, kind="stable")]
-        return np.split(ids, np.cumsum(np.bincount(owners, minlength=len(pieces)))[:-1])
+        return np.bincount(owners, minlength=len(pieces)), ids[np.argsort(owners, kind="stable")]
 
     def joined(self, pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
         """The encoding of each two neighbours, whose own encodings are given."""
@@ -224,16 +238,20 @@ class Vocabulary:
         new = list({p for p in parts if p not in self._known})
         short = [p for p in new if len(p) <= LEAF_BYTES]
         long = [p for p in new if len(p) > LEAF_BYTES]
-        coded = self.merged(short) + [self.tree(p) for p in long] if new else []
-        index = self._known | {p: len(self._lengths) + i for i, p in enumerate(short + long)} if long else self._known
-        if short:
-            self._known |= {p: len(self._lengths) + i for i, p in enumerate(short)}
-        lengths = np.concatenate([self._lengths, np.array([len(c) for c in coded], np.int64)])
-        ids = np.concatenate([self._ids, *coded])
+        counts, short_ids = self._merge(short)
+        coded = [self.tree(p) for p in long]
+        known = len(self._lengths)
+        self._known |= {p: known + i for i, p in enumerate(short)}
+        passing = {p: known + len(short) + i for i, p in enumerate(long)}
+        lengths = np.concatenate([self._lengths, counts, np.array([len(c) for c in coded], np.int64)])
+        ids = np.concatenate([self._ids, short_ids, *coded])
         # what is remembered are the short parts only
-        kept = len(self._lengths) + len(short)
+        kept = known + len(short)
         self._lengths, self._ids = lengths[:kept], ids[: int(lengths[:kept].sum())]
-        at = np.fromiter((index[p] for p in parts), np.int64, len(parts))
+        if long:
+            at = np.array([passing[p] if len(p) > LEAF_BYTES else self._known[p] for p in parts], np.int64)
+        else:
+            at = np.fromiter(map(self._known.__getitem__, parts), np.int64, len(parts))
         counts, first = lengths[at], (np.cumsum(lengths) - lengths)[at]
         return counts, ids[np.repeat(first, counts) + counted(counts)]
 
@@ -366,7 +384,7 @@ def encode(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path, specials)
         for batch in batches:
-            for lo, hi in slices(batch.column("text")):
+            for lo, hi in slices(batch.column("text"), WORK_BYTES):
                 part = batch.slice(lo, hi - lo)
                 counts, _, sizes, ids = words.encoded(part.column("text").to_pylist())
                 tokens = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(counts)]]
@@ -387,7 +405,7 @@ def encode(
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path, specials)
         for batch in batches:
-            for lo, hi in slices(batch.column("text")):
+            for lo, hi in slices(batch.column("text"), WORK_BYTES):
                 part = batch.slice(lo, hi - lo)
                 texts = part.column("text").to_pylist()
                 counts, places, sizes, ids = words.encoded(texts)
@@ -443,11 +461,15 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", name: str = "dec
     Numbers that are no token are left out. Bytes that are not UTF-8 become U+FFFD, as in the library.
     """
 
-    @F.pandas_udf("string")
-    def text_of(cells):
-        words, out = vocabulary(path), []
-        for cell in cells:
-            out.append(None if cell is None else words.text_of(np.frombuffer(cell, "<u4")).decode("utf-8", "replace"))
-        return type(cells)(out, index=cells.index, dtype=object)
-
-    return encoded.withColumn(name, text_of(F.col(ids_col)))
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
+        for batch in batches:
+            # cells of any sizes: as many rows as hold about so many bytes
+            rows = max(1, len(batch) * WORK_BYTES // (batch.column(ids_col).nbytes + 1))
+            for lo in range(0, len(batch), rows):
+                part = batch.slice(lo, rows)
+                cells = (c.as_py() for c in part.column(ids_col))
+                text = [None if c is None else words.text_of(np.frombuffer(c, "<u4")).decode("utf-8", "replace") for c in cells]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], names=[*part.schema.names, name])
+
+    return encoded.mapInArrow(texts, StructType([*encoded.schema.fields, StructField(name, StringType())]))
