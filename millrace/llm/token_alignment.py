@@ -14,9 +14,9 @@ documents hold; only these lists are shuffled to be counted, and the counts come
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -96,22 +96,15 @@ class Tokenizers:
     """Tokenizer A, a byte-level BPE file, and B, a sentencepiece model; and the bytes of their tokens."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
-        # Spark has one worker for each core
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self._a = Tokenizer.from_file(a_path)
-        self._a.no_truncation()
-        self._a.no_padding()
-        self._a.encode_special_tokens = True
+        self._a = vocabulary(a_path, False)
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self.a_bytes = vocabulary(a_path, False).bytes_of
-        # of bytes there are 256 and of pieces as many as the model has
-        self.b_bytes = {i: self._b_bytes(i) for i in range(self._b.get_piece_size())}
-        self.b_size = len(self.b_bytes)
-        self.a_lengths, self.b_lengths = (np.array([len(of.get(i, b"")) for i in range(max(of) + 1)], np.int64) for of in (self.a_bytes, self.b_bytes))
-        # an id and what stands after it, see ``written``
+        self.b_size = self._b.get_piece_size()
+        pieces = [self._b_bytes(i) for i in range(self.b_size)]
+        self.a_lengths, self.b_lengths = self._a.lengths, np.array([len(p) for p in pieces], np.int64)
+        self._b_offsets, self._b_data = np.cumsum(self.b_lengths) - self.b_lengths, np.frombuffer(b"".join(pieces), np.uint8)
+        # an id and what stands after it, see ``Aligned``
         numbers = [str(i) for i in range(max(len(self.a_lengths), self.b_size))]
         self.written = np.array([[x + after for x in numbers] for after in (",", "|", ";", "")], dtype=object)
 
@@ -119,17 +112,31 @@ class Tokenizers:
         piece = self._b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self._b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encoded(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """The tokens of each text by A and by B; none where they do not have the bytes of a blank and the text."""
+    def encoded(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B the number of tokens of each text, and all tokens in order.
+
+        A text has no tokens if those of either do not have the bytes of a blank and the text.
+        """
         given = [f" {t}" if t else "" for t in texts]
-        a = [e.ids for e in self._a.encode_batch(given, add_special_tokens=False)]
-        b = self._b.encode([t or "" for t in texts], num_threads=1)
-        for i, text in enumerate(given):
-            data = text.encode()
-            whole = all(b"".join(map(of.__getitem__, ids)) == data for of, ids in ((self.a_bytes, a[i]), (self.b_bytes, b[i])))
-            if not (text and whole):
-                a[i], b[i] = [], []
-        return a, b
+        parts, _, sizes, a_ids = self._a.encoded(given)
+        a = np.diff(np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(parts)]]), a_ids
+        pieces = self._b.encode([t or "" for t in texts], num_threads=1)
+        b_counts = np.array([len(x) for x in pieces], np.int64)
+        b = b_counts, np.fromiter(chain.from_iterable(pieces), np.int64, int(b_counts.sum()))
+        encoded = [g.encode() for g in given]
+        whole = self._whole(encoded, *a, self.a_lengths, self._a.offsets, self._a.data)
+        whole &= self._whole(encoded, *b, self.b_lengths, self._b_offsets, self._b_data)
+        return [(np.where(whole, n, 0), ids[np.repeat(whole, n)]) for n, ids in (a, b)]
+
+    @staticmethod
+    def _whole(texts: list[bytes], counts: np.ndarray, ids: np.ndarray, lengths: np.ndarray, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Whether the tokens of each text have its bytes."""
+        n = lengths[ids]
+        ends = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(counts)]]
+        found = data[np.repeat(offsets[ids], n) + counted(n)].tobytes()
+        if found == b"".join(texts) and (np.diff(ends) == [len(t) for t in texts]).all():
+            return np.ones(len(texts), bool)
+        return np.array([found[lo:hi] == t for lo, hi, t in zip(ends.tolist(), ends[1:].tolist(), texts)], bool)
 
 
 @lru_cache(maxsize=2)
@@ -141,11 +148,11 @@ class Aligned:
     """Some texts: for each text its counts, the digest of its groups, and its linked pairs of ids."""
 
     def __init__(self, texts: list[str | None], both: Tokenizers) -> None:
-        a, b = both.encoded(texts)
+        (self.n_a, a_ids), (self.n_b, b_ids) = both.encoded(texts)
         n = len(texts)
-        (self.n_a, a_ids, a_text, a_end), (self.n_b, b_ids, b_text, b_end) = (
-            _laid_out(ids, lengths) for ids, lengths in ((a, both.a_lengths), (b, both.b_lengths))
-        )
+        a_text = np.repeat(np.arange(n), self.n_a)
+        # as if all texts followed one another
+        a_end, b_end = np.cumsum(both.a_lengths[a_ids]), np.cumsum(both.b_lengths[b_ids])
         width = int(a_end[-1]) if len(a_end) else 0
         # overlap links
         of_a = Sparse.of_runs(a_end - both.a_lengths[a_ids], a_end, width)
@@ -154,7 +161,7 @@ class Aligned:
         for rows, _, _ in of_a.times(of_b.transposed()):
             self.n_overlaps += np.bincount(a_text[rows], minlength=n)
         # groups end where both end; all texts stand one after the other, so each text's end is one
-        ends = np.intersect1d(a_end, b_end)
+        ends = np.intersect1d(a_end, b_end, assume_unique=True)
         a_group, b_group = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
         group_text = a_text[np.searchsorted(a_end, ends)]
         self.n_groups = np.bincount(group_text, minlength=n)
@@ -183,13 +190,6 @@ class Aligned:
         return [hashlib.sha256("".join(cells[lo:hi]).encode()).hexdigest() if hi > lo else "" for lo, hi in zip([0, *ends], ends)]
 
 
-def _laid_out(ids: list[list[int]], lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Tokens of each text, all tokens, the text of each, and where each ends if all texts follow one another."""
-    counts = np.array([len(x) for x in ids], np.int64)
-    flat = np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum()))
-    return counts, flat, np.repeat(np.arange(len(ids)), counts), np.cumsum(lengths[flat])
-
-
 # ---------------------------------------------------------------- over all documents
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps")
