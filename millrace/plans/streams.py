@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.plans.registry import Tables, query
 from millrace.plans.rows import FIELDS_SQL
+from millrace.sources import write_text
 from millrace.streaming import (
+    append_available,
+    as_table,
     count_per_batch,
     drain_windows,
     run_available,
     sliding_counts,
     span_of,
+    stream_growing_lines,
     stream_parquet,
     tumbling_counts,
     utc_instant,
@@ -76,3 +80,46 @@ def stream_sliding_by_slide(t: Tables) -> DataFrame:
     delay = _delay(t)
     counts = lambda e: sliding_counts(e, "ts", "event_type", "15 seconds", "3 seconds", delay, by_slide=True)
     return _by_start(drain_windows(_events(t), "ts", counts))
+
+
+# bytes of each file that the first runs read of it, before the last one reads the rest
+LINE_STOPS = (100_000, 350_000)
+
+
+@query(
+    "stream_growing_lines",
+    r"""SELECT doc_id, CAST(1 AS BIGINT) AS times,
+               CAST(length(replace(replace(coalesce(text, ''), chr(10), ' '), chr(13), ' ')) AS BIGINT) AS n_chars
+        FROM documents""",
+)
+def stream_growing_lines_resumed(t: Tables) -> DataFrame:
+    """The documents as lines, streamed with two stops in the middle of the files: how often each line has come."""
+    folder, out, checkpoint = (new_folder(t.spark, label) for label in ("line-files", "lines", "checkpoint"))
+    text = F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ")
+    write_text(t.documents.select(F.concat_ws("\t", F.col("doc_id").cast("string"), text).alias("value")), folder)
+    for stop in (*LINE_STOPS, None):
+        append_available(stream_growing_lines(t.spark, folder, upto_bytes=stop), out, checkpoint)
+    lines = t.spark.read.parquet(out)
+    parts = F.split("value", "\t", 2)
+    by_line = lines.groupBy("file", "position", "value").agg(F.count("*").alias("times"))
+    return by_line.select(F.get(parts, F.lit(0)).cast("bigint").alias("doc_id"), "times", F.length(F.get(parts, F.lit(1))).cast("bigint").alias("n_chars"))
+
+
+BATCHES = 5
+
+
+@query(
+    "stream_batches",
+    f"""SELECT doc_id % {BATCHES} AS batch_id, count(*) AS rows_read, CAST(0 AS BIGINT) AS rows_late
+        FROM documents WHERE doc_id >= 0 GROUP BY 1""",
+)
+def stream_batches(t: Tables) -> DataFrame:
+    """The documents arrive in five lots, and the stream is resumed for each: the rows of every micro-batch."""
+    folder, out, checkpoint = (new_folder(t.spark, label) for label in ("lots", "words", "checkpoint"))
+    ids = t.documents.where("doc_id >= 0").select("doc_id")
+    ids.where(F.lit(False)).write.parquet(folder)
+    found = []
+    for lot in range(BATCHES):
+        ids.where(F.col("doc_id") % BATCHES == lot).write.mode("append").parquet(folder)
+        found += append_available(stream_parquet(t.spark, folder), out, checkpoint)
+    return as_table(t.spark, found).select("batch_id", "rows_read", "rows_late")

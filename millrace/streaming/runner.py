@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from millrace.streaming.ledger import Batch, listening
 from millrace.workspace import new_folder
 
 # State beyond the memory of an executor spills to its disk; changes are saved in the checkpoint folder.
@@ -47,10 +48,26 @@ def run_continuously(
     return _start(df.sparkSession, writer.outputMode(output_mode).trigger(processingTime=every))
 
 
-def run_available(df: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Hand all data that is there now to ``each_batch``, one micro-batch after the other."""
+def run_available(df: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str) -> list[Batch]:
+    """Hand all data that is there now to ``each_batch``, one micro-batch after the other; what each has read."""
     writer = df.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
-    _start(df.sparkSession, writer.trigger(availableNow=True)).awaitTermination()
+    with listening(df.sparkSession) as ledger:
+        query = _start(df.sparkSession, writer.trigger(availableNow=True))
+        query.awaitTermination()
+        return ledger.batches(query)
+
+
+def append_available(df: DataFrame, path: str, checkpoint: str) -> list[Batch]:
+    """Append the results of all data that is there now to the Parquet folder ``path``; what each micro-batch has read.
+
+    Called again with the same ``checkpoint`` it goes on where it ended. A micro-batch that is repeated is not
+    written twice.
+    """
+    writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    with listening(df.sparkSession) as ledger:
+        query = _start(df.sparkSession, writer.trigger(availableNow=True))
+        query.awaitTermination()
+        return ledger.batches(query)
 
 
 def span_of(table: DataFrame, time: str) -> str:
@@ -82,12 +99,12 @@ def drain_windows(events: DataFrame, time: str, counts: Callable[[DataFrame], Da
         writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
         query = _start(spark, writer.trigger(availableNow=True))
         query.awaitTermination()
-        states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
-        late = sum(state["numRowsDroppedByWatermark"] for state in states)
+        late = sum(batch.rows_late for batch in ledger.batches(query))
         if late:
             raise RuntimeError(f"{late} rows were later than the watermark allows: choose a longer delay")
 
-    run()
-    marker.write.mode("append").parquet(markers)
-    run()
+    with listening(spark) as ledger:
+        run()
+        marker.write.mode("append").parquet(markers)
+        run()
     return spark.read.schema(windows.schema).parquet(path)
