@@ -13,6 +13,7 @@ from millrace.streaming import (
     count_per_batch,
     drain_windows,
     run_available,
+    running_counts,
     sliding_counts,
     span_of,
     stream_growing_lines,
@@ -123,3 +124,9 @@ def stream_batches(t: Tables) -> DataFrame:
         ids.where(F.col("doc_id") % BATCHES == lot).write.mode("append").parquet(folder)
         found += append_available(stream_parquet(t.spark, folder), out, checkpoint)
     return as_table(t.spark, found).select("batch_id", "rows_read", "rows_late")
+
+
+@query("stream_sliding_running", _SLIDING_SQL)
+def stream_sliding_running(t: Tables) -> DataFrame:
+    delay = _delay(t)
+    return drain_windows(_events(t), "ts", lambda e: running_counts(e, "ts", "event_type", 15, 3, delay))

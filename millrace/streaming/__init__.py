@@ -2,6 +2,7 @@ from millrace.streaming.counts import count_per_batch, print_first, sliding_coun
 from millrace.streaming.ledger import Batch, BatchLedger, as_table, listening
 from millrace.streaming.lines import stream_growing_lines
 from millrace.streaming.runner import append_available, drain_windows, run_available, run_continuously, span_of
+from millrace.streaming.slides import running_counts
 from millrace.streaming.sources import socket_lines, stream_parquet, stream_text, utc_instant
 
 __all__ = [
@@ -15,6 +16,7 @@ __all__ = [
     "print_first",
     "run_available",
     "run_continuously",
+    "running_counts",
     "sliding_counts",
     "socket_lines",
     "span_of",
