@@ -20,13 +20,14 @@ from millrace.functions import tokens
 from millrace.operators.aggregates import accuracy
 from millrace.operators.features import assemble
 from millrace.operators.joins import skew_safe_join
+from millrace.operators.nearest import assign_by_cells
 from millrace.operators.ordering import with_ordinal
 from millrace.sources import inline_table
 from millrace.workspace import materialize
 
 SEED = 42
 
-# Centres are compared in blocks of about so many, each one value of the plan.
+# So many centres are one value of the plan; more are searched by cells.
 CENTRES_PER_BLOCK = 1_000
 
 
@@ -128,6 +129,8 @@ def feature_likelihoods(df: DataFrame, features: Sequence[str], label: str) -> D
 
 def _likelihoods(per_pair: DataFrame, labelled: DataFrame, name: str) -> DataFrame:
     """Smoothed shares from the sums ``n`` of each pair of ``name`` and class."""
+    # read three times, so the texts are taken apart once
+    per_pair = materialize(per_pair, "pairs")
     # one number for each class, and the size of the vocabulary
     classes = labelled.where("class is not null").distinct().agg(F.array_sort(F.collect_list("class")).alias("c")).scalar()
     per_class = per_pair.groupBy("class").agg(F.sum("n").alias("n"))
@@ -163,30 +166,26 @@ def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
 def assign_to_nearest(df: DataFrame, vector: str, centres: DataFrame, key: str) -> DataFrame:
     """Add ``cluster``, the ``key`` of the nearest centre, and the ``distance`` to it.
 
-    Equal distances go to the smaller key. There may be any number of centres: they are taken in blocks of
-    about ``CENTRES_PER_BLOCK``, each a value that the plan computes, and a point keeps the nearest of the
-    blocks. Points are read once and never joined with centres.
+    Equal distances go to the smaller key. There may be any number of centres: up to ``CENTRES_PER_BLOCK`` are a
+    value that the plan computes, more are searched by cells, see ``assign_by_cells``. Points are read once, and
+    never joined with centres; centres are computed once.
     """
-    blocks = -(-centres.count() // CENTRES_PER_BLOCK)
+    centres = materialize(centres.select(key, "centre"), "centres")
+    n = centres.limit(CENTRES_PER_BLOCK + 1).count()
+    if not 0 < n <= CENTRES_PER_BLOCK:
+        return assign_by_cells(df, vector, centres, key)
     point = F.col("_point")
-    listed: dict[str, Column] = {}
-    nearest = []
-    for block in range(blocks):
-        mine = centres.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == block)
-        # a block holds so many centres, not the whole table
-        centre_list = F.collect_list(F.struct(F.col("centre").alias("c"), F.col(key).alias("k")))
-        listed[f"_centres{block}"] = mine.agg(centre_list.alias("l")).scalar()
-
-        def candidate(centre: Column) -> Column:
-            gaps = F.zip_with(point, centre.getField("c"), lambda a, b: (a - b) * (a - b))
-            distance = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
-            return F.struct(distance.alias("d"), centre.getField("k").alias("k"))
-
-        nearest.append(F.array_min(F.transform(f"_centres{block}", candidate)))
-    best = F.least(*nearest) if len(nearest) > 1 else nearest[0] if nearest else F.lit(None).cast("struct<d:double,k:string>")
-    found = df.withColumns({"_point": F.col(vector).cast("array<double>"), **listed}).withColumn("_nearest", best)
+    listed = centres.agg(F.collect_list(F.struct(F.col("centre").alias("c"), F.col(key).alias("k"))).alias("l")).scalar()
+
+    def candidate(centre: Column) -> Column:
+        gaps = F.zip_with(point, centre.getField("c"), lambda a, b: (a - b) * (a - b))
+        distance = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+        return F.struct(distance.alias("d"), centre.getField("k").alias("k"))
+
+    nearest = F.array_min(F.transform("_centres", candidate))
+    found = df.withColumns({"_point": F.col(vector).cast("array<double>"), "_centres": listed}).withColumn("_nearest", nearest)
     found = found.withColumns({"cluster": F.col("_nearest.k"), "distance": F.sqrt("_nearest.d")})
-    return found.drop("_nearest", "_point", *listed)
+    return found.drop("_nearest", "_point", "_centres")
 
 
 def fit_ratings(

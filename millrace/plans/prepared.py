@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import tokens
 from millrace.operators.features import (
@@ -24,6 +24,7 @@ from millrace.operators.models import (
     mean_vectors,
     term_likelihoods,
 )
+from millrace.operators.nearest import assign_by_cells
 from millrace.plans.registry import Tables, query
 from millrace.plans.rows import DOCUMENT_TOKENS_SQL
 
@@ -215,3 +216,23 @@ def kmeans_assign(t: Tables) -> DataFrame:
     centres = mean_vectors(t.embeddings, "label", "embedding")
     nearest = assign_to_nearest(t.embeddings.select("vec_id", "embedding"), "embedding", centres, "label")
     return nearest.select("vec_id", "cluster", F.round("distance", 6).alias("distance"))
+
+
+@query(
+    "nearest_supplier",
+    """WITH pairs AS (SELECT c_custkey, s_suppkey,
+                             (c_acctbal - s_acctbal) * (c_acctbal - s_acctbal)
+                             + (100.0::DOUBLE * c_nationkey - 100.0::DOUBLE * s_nationkey) * (100.0::DOUBLE * c_nationkey - 100.0::DOUBLE * s_nationkey) AS d
+                      FROM customer, supplier WHERE c_acctbal IS NOT NULL AND s_acctbal IS NOT NULL),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY d, s_suppkey) AS place FROM pairs)
+       SELECT c_custkey, s_suppkey AS cluster, round(sqrt(d), 6) AS distance FROM ranked WHERE place = 1""",
+)
+def nearest_supplier(t: Tables) -> DataFrame:
+    """For every customer the supplier that is nearest by balance and nation, out of any number of suppliers."""
+
+    def place(prefix: str) -> Column:
+        return F.array(F.col(f"{prefix}_acctbal"), F.col(f"{prefix}_nationkey").cast("double") * 100.0)
+
+    suppliers = t.supplier.select("s_suppkey", place("s").alias("centre"))
+    found = assign_by_cells(t.customer.select("c_custkey", place("c").alias("at")), "at", suppliers, "s_suppkey")
+    return found.select("c_custkey", "cluster", F.round("distance", 6).alias("distance"))
