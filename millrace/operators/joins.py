@@ -9,7 +9,9 @@ from operator import add, and_
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
+from millrace.operators.frequent import frequent_keys, key_hash
 from millrace.operators.partitions import planned_bytes
+from millrace.workspace import materialize
 
 # A side within all limits is broadcast: by Spark's estimate, and by counting its rows and decoded bytes.
 SMALL_SIDE_BYTES = 10 * 1024 * 1024
@@ -30,11 +32,6 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: s
     return fact.join(lookup, fact[fact_key] == lookup[lookup_key], how).drop(lookup[lookup_key])
 
 
-def key_hash(key: Sequence[str]) -> Column:
-    """What stands for a key of any size in the list of hot keys; null is a key."""
-    return F.xxhash64(*key)
-
-
 def hot_keys(counts: DataFrame, key: Sequence[str], count: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """The keys too large for one task, as ``_hot`` (their hash), with the number of pieces ``_pieces`` for each."""
     heavy = counts.where(F.col(count) > rows_per_task)
@@ -68,12 +65,13 @@ def salted_join(
     A hot key gets one piece per ``rows_per_task`` rows. Each of its fact rows falls in the piece
     that the hash of ``salt_by`` picks, so ``salt_by`` should name a unique id; the matching rows of
     ``other`` are repeated for each piece. All other keys have one piece and are joined as usual.
-    ``key_counts`` may bring counts that already exist, as the key columns and ``n``. With ``null_safe``
-    a null key matches a null key.
+    ``key_counts`` may bring counts that already exist, as the key columns and ``n``; without them hot keys are found
+    by a sketch, see ``frequent_keys``, and keys that are not hot are not counted. With ``null_safe`` a null key
+    matches a null key.
     """
     key = [key] if isinstance(key, str) else list(key)
     if key_counts is None:
-        key_counts = fact.groupBy(*key).agg(F.count("*").alias("n"))
+        key_counts = materialize(frequent_keys(fact, key, rows_per_task), "hot-keys")
     # sixteen bytes for each key above rows_per_task; no hint, Spark broadcasts it while it is small
     hot = hot_keys(key_counts, key, "n", rows_per_task)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions import bucket_nearest
+from millrace.functions import bucket_nearest, split_fields
 from millrace.operators.aggregates import (
     accuracy,
     concat_ordered,
@@ -20,11 +20,13 @@ from millrace.operators.aggregates import (
     shortest_and_longest,
     sum_count_mean,
 )
+from millrace.operators.frequent import frequent_keys
 from millrace.operators.joins import lookup_join, skew_safe_join
+from millrace.operators.partitions import spread_small_input
 from millrace.operators.sampling import key_in_fraction, split_at_random
 from millrace.operators.sets import intersect_distinct, union_all
 from millrace.plans.registry import Tables, query
-from millrace.plans.rows import round_sql
+from millrace.plans.rows import FIELDS_SQL, round_sql
 from millrace.workspace import materialize
 
 NUMBERS = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
@@ -320,3 +322,20 @@ def r2_score(t: Tables) -> DataFrame:
 def split_labels(t: Tables) -> DataFrame:
     part = F.when(key_in_fraction(F.col("o_orderkey"), 0.7), F.lit("train")).otherwise(F.lit("test"))
     return t.orders.select("o_orderkey", part.alias("part"))
+
+
+# a word is frequent if it is more than one of so many
+WORDS_PER_FREQUENT = 500
+
+
+@query(
+    "frequent_words",
+    f"""WITH words AS (SELECT unnest({FIELDS_SQL.format(col='text', sep=' ')}) AS word FROM documents)
+        SELECT word, count(*) AS n FROM words GROUP BY word
+        HAVING count(*) > (SELECT count(*) FROM words) // {WORDS_PER_FREQUENT}""",
+)
+def frequent_words(t: Tables) -> DataFrame:
+    """All words above a share of all words; rare words, most of the vocabulary, are never counted."""
+    words = spread_small_input(t.documents.select("text")).select(F.explode(split_fields(F.col("text"), " ")).alias("word"))
+    rows = words.count()
+    return frequent_keys(words, "word", rows // WORDS_PER_FREQUENT, rows)
