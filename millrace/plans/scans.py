@@ -17,6 +17,7 @@ from millrace.sources import (
     write_parquet,
     write_text,
 )
+from millrace.sources.quoted import read_quoted
 from millrace.workspace import new_folder
 
 # The market segments and the short codes given to them here.
@@ -148,3 +149,22 @@ def sql_group_order(t: Tables) -> DataFrame:
         "FROM {customers} GROUP BY c_mktsegment ORDER BY 1",
         customers=t.customer,
     )
+
+
+@query(
+    "scan_csv_quoted",
+    """SELECT doc_id, text, lang, n_chars, length(text) - length(replace(text, chr(10), '')) AS n_breaks
+       FROM documents WHERE doc_id IS NOT NULL""",
+)
+def scan_csv_quoted(t: Tables) -> DataFrame:
+    """The documents as a delimited file with line breaks in quoted cells, read back in byte ranges."""
+    path = new_folder(t.spark, "quoted")
+    cells = ("text", "lang")
+    missing = [F.col(c).isNull().alias(f"no_{c}") for c in cells]
+    given = t.documents.where("doc_id is not null").select("doc_id", *cells, "n_chars", *missing)
+    # with all cells in quotes a null looks like an empty text
+    options = {"quoteAll": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    given.write.options(**options).option("header", True).csv(path)
+    read = read_quoted(t.spark, path, given.schema, range_bytes=4 << 20)
+    found = read.select("doc_id", *[F.when(~F.col(f"no_{c}"), F.col(c)).alias(c) for c in cells], "n_chars")
+    return found.withColumn("n_breaks", F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))))
