@@ -18,6 +18,7 @@ from millrace.sources import (
     write_text,
 )
 from millrace.sources.quoted import read_quoted
+from millrace.sources.varying import read_varying_json
 from millrace.workspace import new_folder
 
 # The market segments and the short codes given to them here.
@@ -168,3 +169,27 @@ def scan_csv_quoted(t: Tables) -> DataFrame:
     read = read_quoted(t.spark, path, given.schema, range_bytes=4 << 20)
     found = read.select("doc_id", *[F.when(~F.col(f"no_{c}"), F.col(c)).alias(c) for c in cells], "n_chars")
     return found.withColumn("n_breaks", F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))))
+
+
+# the value of a line is a number, a text, a truth value, nothing or a list, by turns
+_VARYING_SQL = """'{"doc_id":' || doc_id || ',"v":' || CASE doc_id % 5
+                     WHEN 0 THEN CAST(n_chars AS VARCHAR) WHEN 1 THEN '"' || lang || '"' WHEN 2 THEN 'true' WHEN 3 THEN 'null'
+                     ELSE '[' || n_chars || ']' END || '}'"""
+
+
+@query(
+    "scan_json_varying",
+    f"""WITH lines AS (SELECT {_VARYING_SQL} AS line FROM documents WHERE doc_id >= 0 AND lang IS NOT NULL AND n_chars IS NOT NULL),
+             typed AS (SELECT line, json_type(line, '$.v') IN ('BIGINT', 'UBIGINT') AS fits FROM lines)
+        SELECT CAST(json_extract(line, '$.doc_id') AS BIGINT) AS doc_id,
+               CASE WHEN fits THEN CAST(json_extract(line, '$.v') AS BIGINT) END AS v,
+               CASE WHEN NOT fits AND json_type(line, '$.v') <> 'NULL' THEN CAST(json_extract(line, '$.v') AS VARCHAR) END AS v_else
+        FROM typed""",
+)
+def scan_json_varying(t: Tables) -> DataFrame:
+    """JSON lines whose field ``v`` has another type in every row: the numbers typed, the others kept as they are."""
+    path = new_folder(t.spark, "varying")
+    rows = t.documents.where("doc_id >= 0 and lang is not null and n_chars is not null")
+    write_text(rows.select(F.expr(_VARYING_SQL.replace("VARCHAR", "STRING")).alias("value")), path)
+    found = read_varying_json(t.spark, path, "doc_id bigint, v bigint")
+    return found.select("doc_id", "v", F.try_element_at("rest", F.lit("v")).alias("v_else"))
