@@ -1,7 +1,8 @@
-"""Fitted models. Results depend on solvers, so these queries have no SQL form."""
+"""Fitted models. Results depend on solvers; what must hold of any fitted model has SQL."""
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -18,6 +19,7 @@ from millrace.operators.models import (
 )
 from millrace.operators.partitions import stated_layout
 from millrace.operators.sampling import split_by_key
+from millrace.operators.trees import classified, node_table, size_of, walked
 from millrace.plans.registry import Tables, query
 from millrace.workspace import materialize
 
@@ -43,16 +45,59 @@ def random_forest(t: Tables) -> DataFrame:
     return confusion_matrix(model.transform(test), "label", "predicted")
 
 
-@query("decision_tree")
-def decision_tree(t: Tables) -> DataFrame:
+def _lines(t: Tables) -> DataFrame:
+    """The lines with their numbers as features, laid out by their rows alone."""
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     lines = stated_layout(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", *features))
-    rows = assemble(lines, features).select("l_orderkey", "l_returnflag", "features")
-    train, test = split_by_key(rows, "l_orderkey", 0.7)
+    return assemble(lines, features).select("l_orderkey", "l_returnflag", "features")
+
+
+@query("decision_tree")
+def decision_tree(t: Tables) -> DataFrame:
+    train, test = split_by_key(_lines(t), "l_orderkey", 0.7)
     model = fit_classifier(train, DecisionTreeClassifier(labelCol="label_index", seed=SEED), "l_returnflag")
     return confusion_matrix(model.transform(test), "l_returnflag", "predicted")
 
 
+@query(
+    "decision_tree_table",
+    """SELECT l_returnflag, count(*) AS n, count(*) AS n_same, CAST(0 AS BIGINT) AS nodes_wrong FROM lineitem
+       WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag""",
+)
+def decision_tree_table(t: Tables) -> DataFrame:
+    """A tree trained on all lines and scored from its table of nodes.
+
+    For how many lines that gives what the model gives, and how many nodes do not have the rows that training saw there.
+    """
+    # a number for each row, since lines may be equal in all they have
+    rows = materialize(_lines(t).where("l_returnflag is not null").withColumn("row", F.monotonically_increasing_id()), "lines")
+    model = fit_classifier(rows, DecisionTreeClassifier(labelCol="label_index", seed=SEED), "l_returnflag")
+    tree = model.stages[1]
+    nodes, size, key = materialize(node_table(tree, t.spark), "nodes"), size_of(tree), ["row"]
+    seen = walked(rows, "features", nodes, *size, keep=[], every_node=True).groupBy("tree", "node").agg(F.count("*").alias("seen"))
+    wrong = nodes.join(seen, ["tree", "node"], "left").agg(F.count_if(F.coalesce("seen", F.lit(0)) != F.col("n")).alias("w")).scalar()
+    return _same_by(rows, "l_returnflag", model, classified(rows, "features", nodes, *size, key=key), key).withColumn("nodes_wrong", wrong)
+
+
+@query("random_forest_table", "SELECT label, count(*) AS n, count(*) AS n_same FROM embeddings WHERE label IS NOT NULL GROUP BY label")
+def random_forest_table(t: Tables) -> DataFrame:
+    """A forest trained on all embeddings and scored from its table of nodes: where it gives what the model gives."""
+    raw = stated_layout(t.embeddings.select("vec_id", "label", "embedding").where("label is not null"))
+    vectors = raw.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    rows = materialize(vectors, "vectors")
+    model = fit_classifier(rows, RandomForestClassifier(labelCol="label_index", seed=SEED), "label")
+    forest = model.stages[1]
+    nodes = materialize(node_table(forest, t.spark), "nodes")
+    return _same_by(rows, "label", model, classified(rows, "features", nodes, *size_of(forest), key=["vec_id"]), ["vec_id"])
+
+
+def _same_by(rows: DataFrame, label: str, model: PipelineModel, found: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of each label, and those with one prediction by the model and in ``found``."""
+    told = model.transform(rows).select(label, *key, F.col("prediction").alias("_told"))
+    both = told.join(found, key, "left")
+    return both.groupBy(label).agg(F.count("*").alias("n"), F.count_if(F.col("_told").eqNullSafe(F.col("prediction"))).alias("n_same"))
+
+
 @query("nb_text")
 def nb_text(t: Tables) -> DataFrame:
     labelled = t.labels.join(t.documents.select("doc_id", "text"), "doc_id")
