@@ -26,6 +26,7 @@ from millrace.sources import inline_table
 from millrace.workspace import materialize
 
 SEED = 42
+RATING_REG = 0.01
 
 # So many centres are one value of the plan; more are searched by cells.
 CENTRES_PER_BLOCK = 1_000
@@ -198,7 +199,7 @@ def fit_ratings(
     """
     blocks = blocks or max(10, df.sparkSession.sparkContext.defaultParallelism)
     als = ALS(
-        userCol=user, itemCol=item, ratingCol=rating, maxIter=5, regParam=0.01, coldStartStrategy="drop", seed=seed
+        userCol=user, itemCol=item, ratingCol=rating, maxIter=5, regParam=RATING_REG, coldStartStrategy="drop", seed=seed
     )
     return als.setNumBlocks(blocks).fit(df)
 

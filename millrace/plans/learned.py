@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,12 +12,15 @@ from millrace.operators.aggregates import confusion_matrix
 from millrace.operators.features import assemble, center_and_scale, principal_components
 from millrace.operators.joins import skew_safe_join
 from millrace.operators.models import (
+    RATING_REG,
     SEED,
     fit_classifier,
     fit_clusters,
+    fit_ratings,
     fit_text_classifier,
     score_ratings,
 )
+from millrace.operators.optimality import centre_residuals, rating_residuals
 from millrace.operators.partitions import stated_layout
 from millrace.operators.sampling import split_by_key
 from millrace.operators.trees import classified, node_table, size_of, walked
@@ -107,23 +111,58 @@ def nb_text(t: Tables) -> DataFrame:
     return confusion_matrix(fit_text_classifier(train, "text", "label").transform(test))
 
 
-@query("kmeans")
-def kmeans(t: Tables) -> DataFrame:
+def _customer_points(t: Tables) -> DataFrame:
     cols = ["c_acctbal", "c_nationkey", "segment"]
     segment = F.ascii("c_mktsegment").alias("segment")
     customers = t.customer.select("c_custkey", "c_acctbal", "c_nationkey", segment)
-    points = assemble(center_and_scale(customers, cols), cols).select("c_custkey", "features")
+    return assemble(center_and_scale(customers, cols), cols).select("c_custkey", "features")
+
+
+@query("kmeans")
+def kmeans(t: Tables) -> DataFrame:
+    points = _customer_points(t)
     clusters = fit_clusters(points, k=4, seed=1).transform(points)
     return clusters.groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
 
 
-def _rated(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Customers rate parts by the mean quantity they order; nine tenths of the pairs are for training."""
+# how far the conditions on a fitted model may be missed, relative to their terms
+RATING_BOUND = 1e-3
+CENTRE_BOUND = 1e-6
+
+
+@query("kmeans_fixed_point", "SELECT CAST(unnest(range(4)) AS INTEGER) AS cluster, TRUE AS is_mean")
+def kmeans_fixed_point(t: Tables) -> DataFrame:
+    """Every centre is the mean of the customers nearest to it, once the training has come to rest."""
+    points = materialize(_customer_points(t), "points")
+    model = KMeans(k=4, seed=1, maxIter=1000, tol=1e-12).fit(points)
+    return centre_residuals(model, points).select("cluster", (F.col("residual") < CENTRE_BOUND).alias("is_mean"))
+
+
+@query(
+    "als_normal_equations",
+    """SELECT o_custkey, count(DISTINCT l_partkey) AS n, TRUE AS holds
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+       WHERE l_partkey IS NOT NULL AND l_quantity IS NOT NULL AND o_custkey IS NOT NULL GROUP BY o_custkey""",
+)
+def als_normal_equations(t: Tables) -> DataFrame:
+    """The factors of every customer solve their normal equations."""
+    ratings = materialize(_ratings(t).select(F.col("o_custkey").cast("int"), F.col("l_partkey").cast("int"), "rating"), "ratings")
+    model = fit_ratings(ratings, "o_custkey", "l_partkey", "rating")
+    found = rating_residuals(model, ratings, "o_custkey", "l_partkey", "rating", RATING_REG)
+    return found.select(F.col("o_custkey").cast("bigint").alias("o_custkey"), "n", (F.col("residual") < RATING_BOUND).alias("holds"))
+
+
+def _ratings(t: Tables) -> DataFrame:
+    """Customers rate parts by the mean quantity they order."""
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity").na.drop()
     orders = t.orders.select("o_orderkey", "o_custkey").na.drop()
     bought = skew_safe_join(lines, orders, "o_orderkey", salt_by=["l_partkey"])
-    rated = bought.groupBy("o_custkey", "l_partkey").agg(F.avg("l_quantity").alias("rating"))
-    ratings = materialize(rated.withColumn("pair", F.concat_ws("-", "o_custkey", "l_partkey")), "ratings")
+    return bought.groupBy("o_custkey", "l_partkey").agg(F.avg("l_quantity").alias("rating"))
+
+
+def _rated(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The ratings, of which nine tenths are for training."""
+    ratings = materialize(_ratings(t).withColumn("pair", F.concat_ws("-", "o_custkey", "l_partkey")), "ratings")
     train, test = split_by_key(ratings, "pair", 0.9)
     return train.drop("pair"), test.drop("pair")
 

@@ -1,0 +1,37 @@
+"""Conditions that fitted models must meet."""
+
+import random
+
+import numpy as np
+import pytest
+from millrace.operators import models as M, optimality
+from millrace.operators.features import assemble
+from pyspark.ml.clustering import KMeans
+
+
+def test_users_solve_their_normal_equations(rows):
+    r = random.Random(1)
+    data = [(u, 100 + i, float(r.randrange(1, 6))) for u in range(15) for i in range(12) if r.random() < 0.7]
+    ratings = rows(data, "user int, item int, rating double")
+    model = M.fit_ratings(ratings, "user", "item", "rating")
+    out = {x.user: x for x in optimality.rating_residuals(model, ratings, "user", "item", "rating", M.RATING_REG).collect()}
+    p, q = ({x.id: np.array(x.features) for x in f.collect()} for f in (model.userFactors, model.itemFactors))
+    for user, row in out.items():
+        mine = [(i, x) for u, i, x in data if u == user]
+        left = sum(q[i] * (q[i] @ p[user] - x) for i, x in mine) + M.RATING_REG * len(mine) * p[user]
+        scale = sum(np.linalg.norm(q[i]) * x for i, x in mine) + M.RATING_REG * len(mine) * np.linalg.norm(p[user])
+        assert row.n == len(mine) and row.residual == pytest.approx(np.linalg.norm(left) / scale, abs=1e-9) and row.residual < 1e-3
+    # another penalty, or other ratings, and they do not
+    assert max(x.residual for x in optimality.rating_residuals(model, ratings, "user", "item", "rating", 1.0).collect()) > 1e-2
+    changed = rows([(u, i, 6 - x) for u, i, x in data], "user int, item int, rating double")
+    assert max(x.residual for x in optimality.rating_residuals(model, changed, "user", "item", "rating", M.RATING_REG).collect()) > 1e-2
+
+
+def test_centres_at_rest_are_means(rows):
+    r = random.Random(2)
+    data = [(r.gauss(c, 2), r.gauss(-c, 2)) for c in (0, 3, 6, 9) for _ in range(60)]
+    points = assemble(rows(data, "x double, y double"), ["x", "y"])
+    rest = optimality.centre_residuals(KMeans(k=4, seed=1, maxIter=500, tol=1e-12).fit(points), points).collect()
+    assert sum(x.n for x in rest) == 240 and max(x.residual for x in rest) < 1e-9
+    early = optimality.centre_residuals(KMeans(k=4, seed=1, maxIter=1).fit(points), points).collect()
+    assert max(x.residual for x in early) > 1e-3
