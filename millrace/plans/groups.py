@@ -22,7 +22,6 @@ from millrace.operators.aggregates import (
 )
 from millrace.operators.frequent import frequent_keys
 from millrace.operators.joins import lookup_join, skew_safe_join
-from millrace.operators.partitions import spread_small_input
 from millrace.operators.sampling import key_in_fraction, split_at_random
 from millrace.operators.sets import intersect_distinct, union_all
 from millrace.plans.registry import Tables, query
@@ -336,6 +335,7 @@ WORDS_PER_FREQUENT = 500
 )
 def frequent_words(t: Tables) -> DataFrame:
     """All words above a share of all words; rare words, most of the vocabulary, are never counted."""
-    words = spread_small_input(t.documents.select("text")).select(F.explode(split_fields(F.col("text"), " ")).alias("word"))
+    # read three times, so the texts stay where they are
+    words = t.documents.select(F.explode(split_fields(F.col("text"), " ")).alias("word"))
     rows = words.count()
     return frequent_keys(words, "word", rows // WORDS_PER_FREQUENT, rows)
