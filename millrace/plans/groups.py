@@ -20,6 +20,7 @@ from millrace.operators.aggregates import (
     shortest_and_longest,
     sum_count_mean,
 )
+from millrace.operators.exact import exact_correlations, exact_covariances, exact_mean_and_deviation, exact_sums
 from millrace.operators.frequent import frequent_keys
 from millrace.operators.joins import lookup_join, skew_safe_join
 from millrace.operators.sampling import key_in_fraction, split_at_random
@@ -278,6 +279,57 @@ def covariance(t: Tables) -> DataFrame:
     return covariance_report(t.lineitem, NUMBERS).withColumn("covariance", F.round("covariance", 4) + 0.0)
 
 
+# whole numbers of 2^-52: a sum of doubles above 1 without rounding, turned into one double by its text
+_EXACT_SUM_SQL = """CAST(CAST(sum(CAST({x} * 4503599627370496::DOUBLE AS HUGEINT)) AS VARCHAR) AS DOUBLE)
+                    / 4503599627370496::DOUBLE"""
+
+
+@query(
+    "exact_sum_by_key",
+    f"""SELECT l_returnflag, count(l_extendedprice) AS n, {_EXACT_SUM_SQL.format(x='l_extendedprice')} AS total
+        FROM lineitem GROUP BY l_returnflag""",
+)
+def exact_sum_by_key(t: Tables) -> DataFrame:
+    return exact_sums(t.lineitem, ["l_returnflag"], "l_extendedprice").select("l_returnflag", "n", "total")
+
+
+@query(
+    "mean_std_exact",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS name, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS deviation FROM lineitem"
+        for c in NUMBERS
+    ),
+)
+def mean_std_exact(t: Tables) -> DataFrame:
+    stats = exact_mean_and_deviation(t.lineitem, NUMBERS)
+    return stats.select("name", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
+
+
+@query(
+    "corr_report_exact",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS name, round(corr(l_extendedprice, {c}), 6) AS correlation FROM lineitem"
+        for c in NUMBERS[1:]
+    ),
+)
+def corr_report_exact(t: Tables) -> DataFrame:
+    report = exact_correlations(t.lineitem, "l_extendedprice", NUMBERS[1:])
+    return report.withColumn("correlation", F.round("correlation", 6))
+
+
+@query(
+    "covariance_exact",
+    " UNION ALL ".join(
+        f"""SELECT '{a}' AS "left", '{b}' AS "right", round(covar_samp({a}, {b}), 4) + 0.0 AS covariance
+            FROM lineitem"""
+        for i, a in enumerate(NUMBERS)
+        for b in NUMBERS[i:]
+    ),
+)
+def covariance_exact(t: Tables) -> DataFrame:
+    return exact_covariances(t.lineitem, NUMBERS).withColumn("covariance", F.round("covariance", 4) + 0.0)
+
+
 # --- checks of predictions -----------------------------------------------------------------------
 
 

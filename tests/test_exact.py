@@ -1,0 +1,87 @@
+"""Exact sums, and statistics from them."""
+
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from millrace.operators import exact
+from pyspark.sql import functions as F
+
+
+def wild(n, seed=1):
+    r = random.Random(seed)
+    return [r.choice([-1, 1]) * r.random() * 2.0 ** r.randrange(-300, 300) for _ in range(n)]
+
+
+def bits(df):
+    return sorted((tuple(x.hex() if isinstance(x, float) else x for x in row) for row in df.collect()), key=repr)
+
+
+def test_sums_of_any_size_are_exact(rows):
+    edge = [5e-324, -5e-324, 2.2e-308, 1.7e308, -1.7e308, 2.0**20, 2.0**40 - 1, 2.0**-1022, 1e16, 1.0, -1e16, 0.0, -0.0]
+    for seed in range(3):
+        data = [(i % 4, x) for i, x in enumerate([*edge, *wild(400, seed)])]
+        out = {r.k: r for r in exact.exact_sums(rows(data, "k int, x double"), ["k"], "x").collect()}
+        for k, row in out.items():
+            whole = sum(Fraction(x) for j, x in data if j == k)
+            n = sum(j == k for j, _ in data)
+            assert (row.n, row.total, row.mean) == (n, float(whole), float(whole / n))
+
+
+def test_cancelled_values_leave_the_small_one(rows):
+    out = exact.exact_sums(rows([(1e300,), (1e-300,), (-1e300,)], "x double"), [], "x").first()
+    assert out.total == 1e-300
+
+
+def test_the_layout_does_not_change_a_bit(spark, rows):
+    data = [(float(x), y, random.Random(i).gauss(0, 1e6)) for i, (x, y) in enumerate(zip(wild(300, 5), wild(300, 6), strict=True))]
+    df = rows(data, "a double, b double, c double")
+    reports = [
+        lambda d: exact.exact_sums(d, [], "a"),
+        lambda d: exact.exact_mean_and_deviation(d, ["a", "b", "c"]),
+        lambda d: exact.exact_correlations(d, "a", ["b", "c"]),
+        lambda d: exact.exact_covariances(d, ["a", "b", "c"]),
+    ]
+    for report in reports:
+        assert bits(report(df.repartition(1))) == bits(report(df.repartition(7))) == bits(report(df.repartition(64)))
+
+
+def test_statistics_equal_fractions(rows):
+    r = random.Random(3)
+    # large means and small deviations, where one pass over doubles loses all digits
+    data = [(1e9 + r.random(), -1e7 + r.random()) for _ in range(200)]
+    df, n = rows(data, "x double, y double"), len(data)
+    x, y = ([Fraction(v) for v in c] for c in zip(*data, strict=True))
+
+    def scatter(a, b):
+        return sum(p * q for p, q in zip(a, b, strict=True)) - sum(a) * sum(b) / n
+
+    moments = {m.name: m for m in exact.exact_mean_and_deviation(df, ["x", "y"]).collect()}
+    assert moments["x"].mean == float(sum(x) / n) and moments["x"].deviation == math.sqrt(float(scatter(x, x) / (n - 1)))
+    covariances = {(c.left, c.right): c.covariance for c in exact.exact_covariances(df, ["x", "y"]).collect()}
+    assert covariances["x", "y"] == float(scatter(x, y) / (n - 1)) and covariances["y", "y"] == float(scatter(y, y) / (n - 1))
+    (found,) = exact.exact_correlations(df, "x", ["y"]).collect()
+    assert found.correlation == pytest.approx(float(scatter(x, y)) / math.sqrt(scatter(x, x) * scatter(y, y)), rel=1e-14)
+
+
+def test_nulls_empty_and_values_that_are_not_finite(spark, rows):
+    none = rows([], "x double, y double")
+    assert [tuple(r) for r in exact.exact_sums(none, [], "x").collect()] == [(0, None, None)]
+    assert exact.exact_sums(none, ["y"], "x").count() == 0
+    assert [tuple(r) for r in exact.exact_mean_and_deviation(none, ["x"]).collect()] == [("x", None, None)]
+    assert [tuple(r) for r in exact.exact_correlations(none, "x", ["y"]).collect()] == [("y", None)]
+    odd = rows([("a", 1.0), ("a", None), ("b", math.inf), ("b", 2.0), ("c", math.inf), ("c", -math.inf), ("d", math.nan), (None, -math.inf)], "k string, x double")
+    out = {r.k: (r.n, r.total) for r in exact.exact_sums(odd, ["k"], "x").collect()}
+    assert out["a"] == (1, 1.0) and out["b"] == (2, math.inf) and out[None] == (1, -math.inf)
+    assert math.isnan(out["c"][1]) and math.isnan(out["d"][1])
+    constant = rows([(1.0, 2.0), (1.0, None), (1.0, 3.0)], "x double, y double")
+    assert exact.exact_correlations(constant, "x", ["y"]).first().correlation is None
+    assert exact.exact_mean_and_deviation(rows([(4, 1)], "x int, y int"), ["x"]).first()[1:] == (4.0, None)
+
+
+def test_a_group_is_few_rows_before_the_shuffle(rows):
+    df = rows([(x,) for x in wild(500)], "x double").select("x", F.lit(1).alias("k"))
+    sums = exact.grid_sums(df, ["k"], [(F.col("x"), None)])
+    assert "partial_try_sum" in sums._jdf.queryExecution().executedPlan().toString()
+    assert len(sums.first()._sums) <= 104
