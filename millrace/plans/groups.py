@@ -23,7 +23,7 @@ from millrace.operators.aggregates import (
 from millrace.operators.exact import exact_correlations, exact_covariances, exact_mean_and_deviation, exact_sums
 from millrace.operators.frequent import frequent_keys
 from millrace.operators.joins import lookup_join, skew_safe_join
-from millrace.operators.sampling import key_in_fraction, split_at_random
+from millrace.operators.sampling import key_in_fraction, split_at_random, split_exactly
 from millrace.operators.sets import intersect_distinct, union_all
 from millrace.plans.registry import Tables, query
 from millrace.plans.rows import FIELDS_SQL, round_sql
@@ -375,6 +375,19 @@ def split_labels(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", part.alias("part"))
 
 
+@query(
+    "split_exactly",
+    """WITH placed AS (SELECT o_orderkey, o_orderstatus, count(*) OVER (PARTITION BY o_orderstatus) AS n,
+                              row_number() OVER (PARTITION BY o_orderstatus
+                                                 ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS place FROM orders)
+       SELECT o_orderkey, o_orderstatus, CAST(place > floor(n * 0.7::DOUBLE + 0.5) AS INTEGER)
+              + CAST(place > floor(n * 0.9::DOUBLE + 0.5) AS INTEGER) AS part FROM placed""",
+)
+def exact_parts(t: Tables) -> DataFrame:
+    """Training, validation and test rows, exactly 70, 20 and 10 per cent of each status."""
+    return split_exactly(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderkey", [7, 2, 1], ["o_orderstatus"])
+
+
 # a word is frequent if it is more than one of so many
 WORDS_PER_FREQUENT = 500
 
