@@ -13,7 +13,9 @@ are, and so is what stands outside the article of a page that has one. On a page
 element the alignment decides.
 
 A class, id or role is judged token by token. A token marks an element if it begins or ends with the name of
-such a thing and tells no state ("no-sidebar", "comments-open"). ``html``, ``body``, ``article`` and ``main`` are
+such a thing and tells no state ("no-sidebar", "comments-open"). Within an article every part of the token must be such a
+name or a word of layout ("share-buttons" marks, "related-work" does not), and ids of headings, which name their section,
+do not count. A marked inline element takes its own text out of a block, not what follows. ``html``, ``body``, ``article`` and ``main`` are
 never marked by their names. An article within an element that its name marks counts unless another article stands
 outside of such elements, or it is a reply within an article.
 
@@ -36,14 +38,17 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.ranges import range_of, shuffle_partitions
 
 # Element names of HTML by their role.
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "object", "textarea", "title", "select", "canvas", "math"}
+RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "select", "canvas"}
 BOILERPLATE = {"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "button"}
 MAIN = {"article", "main"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
     "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+    "nobr", "object", "picture", "ruby", "rt", "rp", "svg", "g", "text", "tspan",
+    "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "msub", "msup", "msubsup", "mfrac", "msqrt", "mroot",
 }
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 NESTED = {
     "div", "section", "ul", "ol", "dl", "table", "tbody", "thead", "tr", "td", "th", "blockquote", "figure", "fieldset",
     "details", "center", "body", "html", *MAIN, *BOILERPLATE,
@@ -61,6 +66,14 @@ STATES = {
     "no", "not", "non", "without", "with", "has", "have", "is", "one", "two", "both", "free", "open", "opened", "closed", "enabled",
     "disabled", "active", "inactive", "visible", "hidden", "collapsed", "expanded", "allowed", "layout",
 }
+# Words of layout that stand beside a mark in a name and do not change what it says
+LAYOUT_WORDS = {
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "col", "column", "container",
+    "content", "entry", "form", "global", "group", "header", "icon", "icons", "inner", "item", "items", "label", "left", "link",
+    "links", "list", "main", "outer", "page", "panel", "post", "posts", "primary", "reader", "respond", "right", "row",
+    "secondary", "section", "single", "site", "slot", "stories", "story", "thread", "title", "toolbar", "tools", "top", "unit",
+    "user", "widget", "widgets", "wrap", "wrapper",
+}
 LAYOUTS = {frozenset({"content", "sidebar"}), frozenset({"main", "sidebar"})}
 # their name never marks these, and nothing marks the first two
 WHOLE = {"html", "body"}
@@ -68,10 +81,13 @@ WHOLE = {"html", "body"}
 # neighbours that share so many per cent of the characters of their unmarked lines are copies
 COPY_PERCENT = 95
 
+# a quote opens a value only right after an equals sign; elsewhere it is a character like any other
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)>",
+    re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _PARTS = re.compile(r"[a-z]+")
 
 # WRAPPED is an article within an element that its name marks, where no article stands outside of those
@@ -80,15 +96,20 @@ OUTSIDE, IN_MAIN, MARKED, WRAPPED = 0, 1, 2, 3
 _NAMED = 4
 
 
-def _names_boilerplate(token: str) -> bool:
-    """Whether a class, id or role is a mark, or begins or ends with one and tells no state."""
+def _names_boilerplate(token: str, in_article: bool) -> bool:
+    """Whether a class, id or role is a mark, or begins or ends with one and tells no state.
+
+    Within an article its other parts must be marks or words of layout.
+    """
     parts = _PARTS.findall(token)
     if not parts or not STATES.isdisjoint(parts) or (len(parts) > 1 and frozenset(parts) in LAYOUTS):
         return False
+    if in_article:
+        return not MARKS.isdisjoint(parts) and all(x in MARKS or x in LAYOUT_WORDS for x in parts)
     return parts[0] in MARKS or parts[-1] in MARKS
 
 
-def _marked(attributes: str) -> int:
+def _marked(attributes: str, element: str, in_article: bool) -> int:
     """MARKED if the element is not shown, ``_NAMED`` if its class, id or role is boilerplate, else OUTSIDE."""
     found = OUTSIDE
     for m in _ATTRIBUTE.finditer(attributes):
@@ -98,8 +119,9 @@ def _marked(attributes: str) -> int:
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return MARKED
-        elif name != "aria-hidden" and any(map(_names_boilerplate, value.split())):
-            found = _NAMED
+        elif name in ("class", "id", "role") and not (name == "id" and in_article and element in HEADINGS):
+            if any(_names_boilerplate(x, in_article) for x in value.split()):
+                found = _NAMED
     return found
 
 
@@ -107,8 +129,8 @@ def page_lines(page: str) -> list[tuple[str, int]]:
     """The non-empty text blocks of a page in order, each with where it stands."""
     lines: list[tuple[str, int]] = []
     parts: list[str] = []
-    # open elements that matter, as (name, state within)
-    stack: list[tuple[str, int]] = []
+    # open elements that matter, as (name, state within, and for a marked inline element the block it interrupts)
+    stack: list[tuple[str, int, list[str] | None]] = []
     state = OUTSIDE
     lower = None
     article_outside = False
@@ -116,33 +138,52 @@ def page_lines(page: str) -> list[tuple[str, int]]:
     def end_line() -> None:
         nonlocal article_outside
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 lines.append((text, MARKED if state == _NAMED else state))
                 article_outside |= state == IN_MAIN and any(x[0] == "article" for x in stack)
             parts.clear()
 
+    def leave(depth: int) -> None:
+        """End the elements that are open beyond ``depth``; a block that an inline element interrupts goes on."""
+        nonlocal state
+        while len(stack) > depth:
+            _, _, interrupted = stack.pop()
+            outer = stack[-1][1] if stack else OUTSIDE
+            if interrupted is not None:
+                end_line()
+                parts.extend(interrupted)
+            elif outer != state:
+                end_line()
+            state = outer
+
     at = 0
     while True:
         m = _TOKEN.search(page, at)
         if m is None:
-            parts.append(page[at:])
+            parts.append(html.unescape(page[at:]))
             break
         if m.start() > at:
-            parts.append(page[at : m.start()])
+            # a reference does not go on behind a tag
+            parts.append(html.unescape(page[at : m.start()]))
         at = m.end()
         name = m[2]
         if name is None:
             continue
         name = name.lower()
         if m[1]:
+            # the innermost open element of that name; an inline one does not end the blocks around it
+            depth = len(stack) - 1
+            while depth >= 0 and stack[depth][0] != name:
+                depth = -1 if name in INLINE and stack[depth][0] not in INLINE else depth - 1
             if name in INLINE:
+                if depth >= 0:
+                    leave(depth)
                 continue
+            leave(depth + 1 if depth >= 0 else len(stack))
             end_line()
-            if any(x[0] == name for x in stack):
-                while stack.pop()[0] != name:
-                    pass
-                state = stack[-1][1] if stack else OUTSIDE
+            if depth >= 0:
+                leave(depth)
             continue
         if name in RAW and not m[3].endswith("/"):
             if name != "textarea":
@@ -158,24 +199,29 @@ def page_lines(page: str) -> list[tuple[str, int]]:
             parts.append(" ")
             continue
         inline = name in INLINE
-        marked = _marked(m[3]) if m[3] and name not in WHOLE else OUTSIDE
+        within_main = any(x[0] in MAIN for x in stack)
+        marked = _marked(m[3], name, within_main) if m[3] and name not in WHOLE else OUTSIDE
         if name in MAIN and marked == _NAMED:
             marked = OUTSIDE
         if inline and not marked:
+            # within a marked inline element its own name may stand again
+            if stack and stack[-1][0] in INLINE and name not in VOID and not m[3].endswith("/"):
+                stack.append((name, state, None))
             continue
         if not inline:
             end_line()
-        if name in VOID:
+        if name in VOID or (inline and m[3].endswith("/")):
             continue
         # marked elements that are left open: a paragraph ends where a block begins, an item at the next one
         if not inline:
             while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p" or stack[-1][0] == name == "li"):
-                stack.pop()
-                state = stack[-1][1] if stack else OUTSIDE
+                leave(len(stack) - 1)
+            end_line()
+        interrupted = None
         if inline:
             # a marked inline element: its text belongs to no line of the article
-            end_line()
-        within_main = any(x[0] in MAIN for x in stack)
+            interrupted = parts[:]
+            parts.clear()
         if state == MARKED or marked == MARKED:
             inner = MARKED
         elif marked:
@@ -193,8 +239,9 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         else:
             inner = state
         if name in NESTED or marked:
-            stack.append((name, inner))
+            stack.append((name, inner, interrupted))
             state = inner
+    leave(0)
     end_line()
     if article_outside:
         return [(text, MARKED if state == WRAPPED else state) for text, state in lines]

@@ -72,6 +72,30 @@ def test_names_of_layouts_do_not_drop_the_text(page):
     assert text_of(page) == "The text"
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<p>Hello <a class="share">Tweet</a> and goodbye.</p>', "Hello and goodbye."),
+        ('<p>one<span class=ad>x<span>y</span>z</span>two <b>three</b></p><p>four</p>', "onetwo three four"),
+        ('<p>open <a class="share">Tweet</p><p>next</p>', "open next"),
+        ('<p>open <a class="share">Tweet<div>block</div></p> next', "open block next"),
+        ("<p class=it's>Hello</p><p class='a'b\">you</p>", "Hello you"),
+        ("<p>see <a title=Bob's href=x>this</a>, <a href=\"a>b\" title='class=ad hidden'>that</a></p>", "see this, that"),
+        ('<h2 id="comments">On comments</h2><h3 id="search">Search</h3>', "On comments Search"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, <svg><title>t</title><text>drawn</text></svg> <object>kept</object></p>", "so x=1, drawn kept"),
+        ("<p>&<b>lt;</b> &l<!-- -->t; &lt;</p>", "&lt; &lt; <"),
+        ('<div class="share-buttons">S</div><div class="related-posts">R</div><ul id="comment-list"><li>C</ul>kept', "kept"),
+        *[
+            (f'<section {attribute}="{name}"><p>kept</p></section>', "kept")
+            for attribute in ("id", "class")
+            for name in ("related-work", "notice-of-appeal", "ad-hoc", "modal-logic", "skip-level", "search-results-analysis")
+        ],
+    ],
+)
+def test_an_article_keeps_its_text(page, text):
+    assert text_of(f"<nav>N</nav><article>{page}</article><footer>F</footer>") == text
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "a<b", "<script>", "<!--", "</p></div>", "<a title='x>y", "<p>x</p", "&#xZZ;&amp"])
 def test_broken_markup_does_not_fail(page):
     assert isinstance(text_of(page), str)
