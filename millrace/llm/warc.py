@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import posixpath
+import re
 import struct
 import uuid
 import zlib
@@ -63,7 +64,10 @@ HEADER_OF = {
     "refers_to": "WARC-Refers-To",
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-# characters of an address that stay as they are in a header line
+# what a header line cannot hold; an address with it, or with white space at an end, is percent-encoded, which a line tells
+_UNHELD = re.compile(r"[\x00-\x1f\x7f\x85\u2028\u2029]")
+ENCODED = "X-Target-URI-Encoding: percent"
+# characters of such an address that stay as they are
 _ADDRESS = "!#$&'()*+,/:;=?@[]~-._|{}^`\"\\<>"
 
 
@@ -106,7 +110,11 @@ def record_bytes(row: dict) -> bytes:
         f"WARC-Payload-Digest: sha1:{row['payload_digest']}",
     ]
     if row["target_uri"] is not None:
-        lines.append(f"WARC-Target-URI: {quote(row['target_uri'], safe=_ADDRESS)}")
+        uri = row["target_uri"]
+        if _UNHELD.search(uri) or uri != uri.strip():
+            lines.append(ENCODED)
+            uri = quote(uri, safe=_ADDRESS)
+        lines.append(f"WARC-Target-URI: {uri}")
     if revisit:
         lines += [f"WARC-Refers-To: <{row['refers_to']}>", f"WARC-Profile: {REVISIT_PROFILE}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
@@ -365,7 +373,9 @@ class WarcReader(DataSourceReader):
         for column in ("record_id", "refers_to"):
             if values[column] is not None:
                 values[column] = values[column].removeprefix("<").removesuffix(">")
-        if values["target_uri"] is not None:
+        name, _, told = ENCODED.partition(": ")
+        # only what the writer has encoded: per cent signs of other addresses are their own
+        if values["target_uri"] is not None and headers.get(name) == told:
             values["target_uri"] = unquote(values["target_uri"])
         if values["payload_digest"] is not None:
             values["payload_digest"] = values["payload_digest"].partition(":")[2] or values["payload_digest"]

@@ -205,6 +205,27 @@ def warc_id(record_id):
     return int(digits) if digits else None
 
 
+@pytest.mark.parametrize("uri", ["http://h/a%20b", "http://h/a%20b%2Fc", "http://h/100%", "http://h/a b", " u ", "a\nb%41", "\x85é\u2028", ""])
+def test_addresses_stay_as_they_are(spark, tmp_path, uri):
+    pages = spark.createDataFrame([(1, uri, "x"), (2, None, "y")], PAGES)
+    path = f"file://{tmp_path}/w"
+    warc.register(spark)
+    warc.archive_records(pages, "page_id", "url", "html").write.format("warc").mode("append").save(path)
+    out = warc.read_warc(spark, path)
+    assert [r.target_uri for r in out.where(out.target_uri == uri).collect()] == [uri]
+    held = {r.target_uri: r.headers for r in out.collect()}[uri]
+    if "%" in uri and "\n" not in uri:
+        assert held["WARC-Target-URI"] == uri
+
+
+def test_addresses_of_other_archives_are_not_decoded(spark, tmp_path):
+    head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:1>\r\nWARC-Target-URI: http://h/a%20b%2Fc\r\nContent-Length: 2\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(f"{head}hi\r\n\r\n".encode())
+    warc.register(spark)
+    out = warc.read_warc(spark, str(tmp_path), "record_id string, target_uri string")
+    assert out.where("target_uri = 'http://h/a%20b%2Fc'").count() == 1
+
+
 def test_repeated_smallest_ids_are_responses_each(spark):
     pages = spark.createDataFrame([(1, "a", "x"), (1, "b", "x"), (2, "c", "x")], PAGES)
     out = warc.archived(pages, "page_id", "url", "html").collect()
