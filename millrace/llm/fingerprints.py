@@ -194,6 +194,6 @@ def edited_pairs(
             names=[c.split()[0] for c in _RESULT.split(", ")],
         )
 
-    dealt = keyed.mapInArrow(deal, _DEALT).repartition(parts, "bucket")
+    dealt = keyed.mapInArrow(deal, _DEALT).repartitionById(parts, "bucket")
     ordered = dealt.sortWithinPartitions("bucket", "tail", *keys)
     return ordered.select("bucket", "tail", "id", "text").mapInArrow(walk, _RESULT)
