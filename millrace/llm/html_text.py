@@ -452,7 +452,7 @@ def extract(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
         if before is not None:
             yield ended()
 
-    outlines = tied.mapInArrow(outline, _LINED).repartition(parts, "bucket").sortWithinPartitions("bucket", *names)
+    outlines = tied.mapInArrow(outline, _LINED).repartitionById(parts, "bucket").sortWithinPartitions("bucket", *names)
     marks: dict[int, dict[int, tuple]] = {}
     for r in outlines.mapInArrow(mark, _MARKS).collect():
         marks.setdefault(r["bucket"], {})[r["place"]] = as_key([r[c] for c in names]), _own(r)
@@ -511,7 +511,7 @@ def extract(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
             names=["page_id", "url", "text", "n_chars"],
         )
 
-    dealt = tied.mapInArrow(deal, _DEALT).repartition(parts, "bucket")
+    dealt = tied.mapInArrow(deal, _DEALT).repartitionById(parts, "bucket")
     return dealt.sortWithinPartitions("bucket", "role", *names).mapInArrow(
         walk, "page_id bigint, url string, text string, n_chars bigint"
     )
