@@ -111,7 +111,11 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes
 
 
 def by_bucket(df: DataFrame, parts: int) -> DataFrame:
-    return df.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
+    """Blocks by bucket, in an order that does not depend on when they arrive.
+
+    What is settled in a task is settled over the blocks gathered there, so a repeated task must see them in the same order.
+    """
+    return df.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "kind", F.xxhash64("block"))
 
 
 def bucket_of_doc(doc: np.ndarray, tie: np.ndarray, buckets: int) -> np.ndarray:

@@ -156,3 +156,14 @@ def test_hash_compared_sort_is_the_suffix_order():
             n = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
             assert common[i] == (n if group[order[i - 1]] == group[order[i]] else 0)
     assert not suffixes.verified(np.array([0]), np.array([1]), np.array([40])) or (data[:40] == data[1:41]).all()
+
+
+def test_blocks_are_gathered_in_one_order(spark):
+    rows = [(i % 8, i % 3, f"block {i}".encode()) for i in range(400)]
+    orders = []
+    for seed, parts in ((1, 1), (2, 7), (3, 40)):
+        given = spark.createDataFrame(random.Random(seed).sample(rows, len(rows)), "bucket int, kind int, block binary")
+        dealt = repeats.by_bucket(given.repartition(parts), 4).selectExpr("spark_partition_id() AS part", "*").collect()
+        orders.append([(r.part, r.bucket, r.kind, bytes(r.block)) for r in dealt])
+        assert {r.part for r in dealt} == set(range(4))
+    assert orders[0] == orders[1] == orders[2]
