@@ -208,22 +208,20 @@ def score_ratings(train: DataFrame, test: DataFrame, user: str, item: str, ratin
     """``test`` with a ``prediction`` from factors of ``train``, for ids of any type and size.
 
     Ids are replaced by dense numbers for the training, users and items that ``train`` does not have are
-    dropped, and the result has the original ids.
+    dropped, and the result has the original ids. Both kinds of ids are counted and numbered together, and
+    ``train`` and ``test`` are joined with the numbers as one table.
     """
-
-    def numbers(col: str) -> DataFrame:
-        counts = train.where(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
-        dense = with_ordinal(counts, [F.col(col)], "_dense").withColumn("_dense", F.col("_dense").cast("int"))
-        return materialize(dense, "dense")
-
-    users, items = numbers(user), numbers(item)
-
-    def dense(df: DataFrame) -> DataFrame:
-        by_user = users.select(user, F.col("_dense").alias("_user"))
-        by_item = items.select(item, F.col("_dense").alias("_item"))
-        df = skew_safe_join(df, by_user, user, [item], key_counts=users.select(user, "n"))
-        return skew_safe_join(df, by_item, item, [user], key_counts=items.select(item, "n"))
-
-    rows = materialize(dense(train).select("_user", "_item", F.col(rating).alias("_rating")), "dense-ratings")
-    model = fit_ratings(rows, "_user", "_item", "_rating", **options)
-    return model.transform(dense(test)).drop("_user", "_item")
+    # the first grouping set is that of the users, whose numbers come before those of the items
+    counts = train.groupingSets([[user], [item]], user, item).agg(
+        F.grouping(user).alias("_is_item"), F.count("*").alias("_n")
+    )
+    counts = counts.where(F.when(F.col("_is_item") == 0, F.col(user).isNotNull()).otherwise(F.col(item).isNotNull()))
+    numbers = materialize(with_ordinal(counts, [F.col(c) for c in ("_is_item", user, item)], "_dense"), "dense")
+    rows = train.select(user, item, rating, F.lit(True).alias("_train"))
+    rows = rows.unionByName(test.withColumn("_train", F.lit(False)), allowMissingColumns=True)
+    for is_item, (col, number, other) in enumerate(((user, "_user", item), (item, "_item", user))):
+        own = numbers.where(F.col("_is_item") == is_item).select(col, F.col("_dense").cast("int").alias(number), "_n")
+        rows = skew_safe_join(rows, own.drop("_n"), col, [other], key_counts=own.select(col, F.col("_n").alias("n")))
+    rows = materialize(rows, "dense-ratings")
+    model = fit_ratings(rows.where("_train"), "_user", "_item", rating, **options)
+    return model.transform(rows.where("not _train")).select(*test.columns, "prediction")

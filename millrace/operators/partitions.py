@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
-MODEL_PARTS = 32
+# rows of a partition for training, and the fewest partitions
+MODEL_ROWS = 1_000_000
+LEAST_MODEL_PARTS = 8
 
 
 def planned_bytes(df: DataFrame) -> float:
@@ -33,13 +36,25 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def stated_layout(df: DataFrame, parts: int = MODEL_PARTS) -> DataFrame:
-    """``df`` in ``parts`` sorted partitions that depend on its rows only, not on files, cores or the run.
+def stated_layout(
+    df: DataFrame, parts: int | None = None, *, key: Sequence[str] | None = None, rows: int = MODEL_ROWS
+) -> DataFrame:
+    """``df`` in sorted partitions that depend on its rows only, not on files, cores or the run.
 
-    Training that samples or adds up by partition then repeats exactly. ``parts`` belongs to the model: raise
-    it with the data so that a partition fits into a task. Vectors have no order; leave them to a later step.
+    Training that samples or adds up by partition then repeats exactly. Rows are dealt and sorted by ``key`` (by
+    default all columns), and those with one key by a hash of the rest, so wide columns are never compared. There is
+    a partition for each ``rows`` rows, at least ``LEAST_MODEL_PARTS``; wide rows want fewer in each. A count of
+    the rows decides, unless the caller gives ``parts``. Vectors have no order; leave them to a later step.
     """
-    return df.repartition(parts, *df.columns).sortWithinPartitions(*df.columns)
+    key = list(key or df.columns)
+    rest = [c for c in df.columns if c not in key]
+    parts = parts or max(LEAST_MODEL_PARTS, math.ceil(df.count() / rows))
+    return df.repartition(parts, *key).sortWithinPartitions(*key, *([F.xxhash64(*rest)] if rest else []))
+
+
+def partition_sizes(df: DataFrame) -> DataFrame:
+    """``part`` and ``n``: the rows of each partition that holds any."""
+    return df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
 
 
 def partition_count(df: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ def default_correlations(rows: DataFrame) -> DataFrame:
 def compare_models(rows: DataFrame, estimators: dict[str, Estimator] | None = None) -> DataFrame:
     """Accuracy of each classifier on the same 30 per cent of the customers."""
     # read many times by the training loops: written once, so no lost executor repeats the joins
-    prepared = materialize(stated_layout(rows.select("CustId", "Defaulted", *MODEL_COLUMNS)), "credit-features")
+    prepared = materialize(stated_layout(rows.select("CustId", "Defaulted", *MODEL_COLUMNS), key=["CustId"]), "credit-features")
     vectors = assemble(prepared, MODEL_COLUMNS).select("CustId", "Defaulted", "features")
     train, test = split_by_key(vectors.withColumn("id", F.col("CustId").cast("bigint")), "id", 0.7)
     return compare_classifiers(train, test, "Defaulted", estimators or classifiers())
@@ -132,7 +132,7 @@ def compare_models(rows: DataFrame, estimators: dict[str, Estimator] | None = No
 
 def customer_groups(rows: DataFrame, k: int = 4, seed: int = 1) -> DataFrame:
     """``CustId`` and ``prediction``: the group by centred and scaled sex, education, marriage and age."""
-    prepared = materialize(stated_layout(rows.select("CustId", *GROUP_COLUMNS)), "credit-groups")
+    prepared = materialize(stated_layout(rows.select("CustId", *GROUP_COLUMNS), key=["CustId"]), "credit-groups")
     points = assemble(center_and_scale(prepared, GROUP_COLUMNS), GROUP_COLUMNS).select("CustId", "features")
     return fit_clusters(points, k, seed).transform(points).select("CustId", "prediction")
 

@@ -27,6 +27,9 @@ from millrace.operators.trees import classified, node_table, size_of, walked
 from millrace.plans.registry import Tables, query
 from millrace.workspace import materialize
 
+# rows of a training partition where a row holds a text or a vector
+WIDE_ROWS = 20_000
+
 
 def _embedding_vectors(t: Tables) -> DataFrame:
     return t.embeddings.select(
@@ -52,7 +55,8 @@ def random_forest(t: Tables) -> DataFrame:
 def _lines(t: Tables) -> DataFrame:
     """The lines with their numbers as features, laid out by their rows alone."""
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    lines = stated_layout(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", *features))
+    given = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", *features)
+    lines = stated_layout(given, key=["l_orderkey", "l_linenumber"])
     return assemble(lines, features).select("l_orderkey", "l_returnflag", "features")
 
 
@@ -86,7 +90,8 @@ def decision_tree_table(t: Tables) -> DataFrame:
 @query("random_forest_table", "SELECT label, count(*) AS n, count(*) AS n_same FROM embeddings WHERE label IS NOT NULL GROUP BY label")
 def random_forest_table(t: Tables) -> DataFrame:
     """A forest trained on all embeddings and scored from its table of nodes: where it gives what the model gives."""
-    raw = stated_layout(t.embeddings.select("vec_id", "label", "embedding").where("label is not null"))
+    given = t.embeddings.select("vec_id", "label", "embedding").where("label is not null")
+    raw = stated_layout(given, key=["vec_id"], rows=WIDE_ROWS)
     vectors = raw.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     rows = materialize(vectors, "vectors")
     model = fit_classifier(rows, RandomForestClassifier(labelCol="label_index", seed=SEED), "label")
@@ -106,7 +111,7 @@ def _same_by(rows: DataFrame, label: str, model: PipelineModel, found: DataFrame
 def nb_text(t: Tables) -> DataFrame:
     labelled = t.labels.join(t.documents.select("doc_id", "text"), "doc_id")
     label = F.col("quality").cast("double").alias("label")
-    rows = stated_layout(labelled.select("doc_id", "text", label).na.fill("", ["text"]))
+    rows = stated_layout(labelled.select("doc_id", "text", label).na.fill("", ["text"]), key=["doc_id"], rows=WIDE_ROWS)
     train, test = split_by_key(rows, "doc_id", 0.7)
     return confusion_matrix(fit_text_classifier(train, "text", "label").transform(test))
 

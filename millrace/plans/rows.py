@@ -29,7 +29,7 @@ from millrace.functions import (
 from millrace.operators.aggregates import above_mean
 from millrace.operators.features import impute_constant, impute_mean
 from millrace.operators.ordering import top_k
-from millrace.operators.partitions import spread_small_input
+from millrace.operators.partitions import partition_count, partition_sizes, spread_small_input
 from millrace.plans.registry import Tables, query
 from millrace.plans.scans import READING_SQL, reading
 
@@ -296,3 +296,19 @@ def ratio_bin(t: Tables) -> DataFrame:
         bin_percent(F.col("l_quantity") * 2000, F.col("l_extendedprice")).alias("binned"),
         whole_percent(F.col("l_quantity").cast("int"), F.round(F.col("l_tax") * 100).cast("int")).alias("whole"),
     )
+
+
+PARTS = 7
+
+
+@query(
+    "partition_sizes",
+    f"""SELECT CAST(((doc_id % {PARTS}) + {PARTS}) % {PARTS} AS INTEGER) AS part, count(*) AS n,
+               CAST((SELECT count(DISTINCT ((doc_id % {PARTS}) + {PARTS}) % {PARTS}) FROM documents) AS BIGINT) AS parts
+        FROM documents WHERE doc_id IS NOT NULL GROUP BY 1""",
+)
+def partition_sizes_by_id(t: Tables) -> DataFrame:
+    """Documents dealt by their id to partitions of stated numbers: the rows of each, and how many hold rows."""
+    ids = t.documents.select("doc_id").where("doc_id is not null")
+    dealt = ids.repartitionById(PARTS, F.pmod("doc_id", F.lit(PARTS)).cast("int"))
+    return partition_sizes(dealt).withColumn("parts", partition_count(dealt).scalar())

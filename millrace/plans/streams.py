@@ -11,11 +11,11 @@ from millrace.streaming import (
     append_available,
     as_table,
     count_per_batch,
+    disorder_of,
     drain_windows,
     run_available,
     running_counts,
     sliding_counts,
-    span_of,
     stream_growing_lines,
     stream_parquet,
     tumbling_counts,
@@ -25,7 +25,7 @@ from millrace.streaming import (
 from millrace.workspace import new_folder
 
 # a micro-batch takes about so much of a table
-BYTES_PER_TRIGGER = 64 << 30
+BYTES_PER_TRIGGER = 8 << 30
 
 
 @query(
@@ -47,7 +47,7 @@ def _events(t: Tables) -> DataFrame:
 
 
 def _delay(t: Tables) -> str:
-    return span_of(t.events.select(utc_instant("ts").alias("ts")), "ts")
+    return disorder_of(t.events.withColumn("ts", utc_instant("ts")), "ts")
 
 
 def _by_start(windows: DataFrame) -> DataFrame:

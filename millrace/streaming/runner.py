@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.streaming.ledger import Batch, listening
@@ -76,13 +76,32 @@ def span_of(table: DataFrame, time: str) -> str:
     return f"{(last or 0) - (first or 0) + 1} seconds"
 
 
+def disorder_of(table: DataFrame, time: str) -> str:
+    """A delay as long as the events of a table of files are out of order when its files are streamed.
+
+    Files come by the time of their last change, and a micro-batch is made of whole files, so a row is late if an
+    earlier file has rows after it by more than the delay. Files of the same time may come in any order. Each file is
+    one row (its first and last time) before they are put in order in one task.
+    """
+    files = table.groupBy(
+        F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_path").alias("path")
+    ).agg(F.min(F.unix_seconds(time)).alias("first"), F.max(F.unix_seconds(time)).alias("last"))
+    alike = files.groupBy("changed").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.count("*").alias("n")
+    )
+    before = F.max("last").over(Window.orderBy("changed").rowsBetween(Window.unboundedPreceding, -1))
+    latest = F.greatest(before, F.when(F.col("n") > 1, F.col("last")))
+    late = alike.select((latest - F.col("first")).alias("late")).agg(F.max("late")).first()[0]
+    return f"{max(late or 0, 0) + 1} seconds"
+
+
 def drain_windows(events: DataFrame, time: str, counts: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run windowed ``counts`` over all events there are now and return every window.
 
     The counts are written in append mode, which holds back the windows that the watermark has not
     passed. So once the events are through, the same query is resumed from its checkpoint with one
     marker event at the end of time: it closes all windows but its own, which is never written.
-    The counts need a delay that covers the disorder of the events (``span_of`` covers any); if an event was
+    The counts need a delay that covers the disorder of the events (``disorder_of`` measures it, ``span_of`` covers any); if an event was
     late all the same, the call fails instead of returning a part.
     """
     spark = events.sparkSession

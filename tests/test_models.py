@@ -203,3 +203,26 @@ def test_the_stated_layout_does_not_depend_on_the_one_before(spark, rows):
         laid = stated_layout(before, 4).select("id", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("place"))
         seen.append({tuple(r) for r in laid.collect()})
     assert seen[0] == seen[1] == seen[2] and len({p for _, p, _ in seen[0]}) == 4
+
+
+def test_the_layout_has_a_partition_for_so_many_rows_and_sorts_by_key(spark):
+    from millrace.operators.partitions import LEAST_MODEL_PARTS, stated_layout
+
+    df = spark.range(1000, numPartitions=3).select((F.col("id") % 500).alias("k"), F.col("id").cast("string").alias("text"))
+    assert stated_layout(df, key=["k"], rows=50).rdd.getNumPartitions() == 20
+    assert stated_layout(df.where("k < 3"), key=["k"]).rdd.getNumPartitions() == LEAST_MODEL_PARTS
+    placed = [
+        {r["text"]: (r["p"], r["place"]) for r in stated_layout(x, key=["k"], rows=50)
+         .select("text", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("place")).collect()}
+        for x in (df, df.repartition(7))
+    ]
+    assert placed[0] == placed[1] and len(placed[0]) == 1000
+
+
+def test_ratings_of_ids_that_training_has_not_seen_are_dropped(spark, rows):
+    ddl = "u string, i bigint, r double"
+    train = rows([(f"u{u}", 10**12 + i, float((u * i) % 5)) for u in range(12) for i in range(9) if (u + i) % 3] + [(None, 1, 1.0), ("u1", None, 2.0)], ddl)
+    test = rows([("u0", 10**12, 1.0), ("u5", 10**12 + 7, 2.0), ("new", 10**12, 1.0), ("u0", 5, 1.0), (None, 10**12, 3.0)], ddl)
+    scored = M.score_ratings(train, test, "u", "i", "r", blocks=2)
+    assert scored.columns == ["u", "i", "r", "prediction"]
+    assert sorted((x["u"], x["i"]) for x in scored.collect()) == [("u0", 10**12), ("u5", 10**12 + 7)]

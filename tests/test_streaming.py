@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,3 +148,35 @@ def test_files_out_of_order_lose_no_event_or_fail(spark, rows, tmp_path, delay,
     else:
         with pytest.raises(RuntimeError, match="later than the watermark"):
             run()
+
+
+def test_the_disorder_of_files_is_that_of_their_times(spark, rows, tmp_path):
+    """Files of one time may come in any order; a file may reach back behind the files before it."""
+    folder = tmp_path / "events"
+
+    def arrive(changed, *lots):
+        known = {*folder.rglob("*.parquet")}
+        for lot in lots:
+            rows([(moment(s),) for s in lot], "ts timestamp_ntz").coalesce(1).write.mode("append").parquet(str(folder))
+        for file in {*folder.rglob("*.parquet")} - known:
+            os.utime(file, (changed, changed))
+
+    def delay():
+        return S.disorder_of(spark.read.parquet(str(folder)).withColumn("ts", S.utc_instant("ts")), "ts")
+
+    arrive(1_000, [0, 9, 4])
+    assert delay() == "1 seconds"
+    arrive(2_000, [10, 50])
+    assert delay() == "1 seconds"
+    arrive(3_000, [43])
+    assert delay() == "8 seconds"
+    arrive(4_000, [60, 70], [61, 90])
+    assert delay() == "31 seconds"
+
+
+def test_windows_with_the_measured_delay_lose_nothing(spark, events, values, tmp_path):
+    stream, batch = events
+    delay = S.disorder_of(batch, "ts")
+    expected = batch.groupBy(F.window("ts", "3 seconds"), "kind").agg(F.count("*").alias("n"))
+    result = S.drain_windows(stream, "ts", lambda e: S.tumbling_counts(e, "ts", "kind", "3 seconds", delay))
+    assert values(starts(result)) == values(starts(expected))
