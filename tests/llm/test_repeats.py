@@ -140,6 +140,60 @@ def test_windows_around_a_frequent_anchor_are_spread():
     assert len(by_window) < len(rows) and all(len(b) == 1 for b in by_window.values())
 
 
+def rows_of_texts(texts, windows, docs=None):
+    """The rows around all anchors of the texts."""
+    column = pa.array(texts, pa.large_string())
+    found = windows.anchors(*(units := windows.units(column)))
+    doc = np.arange(len(texts)) if docs is None else np.array(docs)
+    facts = repeats.Facts([repeats.to_block(repeats._candidates(doc[found.text], 0 * found.text, (found.at - units[1][found.text]).astype(np.uint32)))])
+    batch = pa.RecordBatch.from_pydict({repeats.DOC: doc, repeats.TIE: 0 * doc, "text": column})
+    return substring_dedup._windows(batch, facts, "text", windows)
+
+
+def removed_starts(rows, length):
+    row, place = substring_dedup.repeated_windows(rows, length)
+    doc, start = rows.column("doc").to_numpy(), rows.column("start").to_numpy().astype(np.int64)
+    return sorted(zip(doc[row].tolist(), (start[row] + place).tolist()))
+
+
+def later_windows(texts, length):
+    seen, out = set(), []
+    for doc, text in enumerate(texts):
+        w = text.split()
+        for i in range(len(w) - length + 1):
+            window = tuple(w[i : i + length])
+            if window in seen:
+                out.append((doc, i))
+            seen.add(window)
+    return out
+
+
+@pytest.mark.parametrize("length, seed", [(20, 6), (6, 2), (5, 5), (4, 1)])
+def test_rows_around_seeds_are_extended_to_all_repeated_windows(length, seed):
+    r = random.Random(length)
+    texts = [" ".join(r.choice("ab") for _ in range(r.randint(0, 3 * length))) for _ in range(60)]
+    line = " ".join(f"l{i}" for i in range(length + 3))
+    texts += [f"{r.random()} {line} {r.random()}" for _ in range(20)] + [f"x {line}", f"{line}", f"y y {line}  \n z"]
+    rows = rows_of_texts(texts, Windows(length, seed, word_hashes))
+    assert removed_starts(rows, length) == later_windows(texts, length)
+    # in parts by gram, and with what is equal settled before
+    parts = [x for part in substring_dedup.by_gram(rows) for x in removed_starts(part, length)]
+    assert sorted(parts) == later_windows(texts, length)
+    sent, runs = substring_dedup._settled(rows, length)
+    passed = [(d, s) for d, a, b in zip(*(runs.column(c).to_pylist() for c in ("doc", "start", "stop"))) for s in range(a, b + 1)]
+    assert sorted({*passed, *removed_starts(sent, length)}) == later_windows(texts, length)
+
+
+def test_grams_with_equal_hashes_are_told_apart_by_their_words():
+    r = random.Random(4)
+    a, b = (" ".join(f"{x}{i}" for i in range(24)) for x in "ab")
+    texts = [a, b, f"c {a}", f"{b} c", f"{a} {b}"] + [" ".join(r.choice("ab") for _ in range(30)) for _ in range(9)]
+    rows = rows_of_texts(texts, Windows(20, 6, word_hashes))
+    clash = {"h1": pa.array(np.zeros(len(rows), np.uint64)), "h2": pa.array(np.zeros(len(rows), np.uint32))}
+    clashing = pa.RecordBatch.from_pydict({c: clash.get(c, rows.column(c)) for c in rows.schema.names}, schema=rows.schema)
+    assert removed_starts(clashing, 20) == removed_starts(rows, 20) == later_windows(texts, 20)
+
+
 def test_hash_compared_sort_is_the_suffix_order():
     r = random.Random(3)
     data = np.frombuffer("".join(r.choice("ab") for _ in range(400)).encode(), np.uint8)
