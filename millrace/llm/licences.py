@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.licence_texts import LICENCES
+from millrace.sources import inline_table
 
 # Spellings that licence matching takes as equivalent; words are delimited by single spaces.
 EQUIVALENT = [
@@ -50,7 +51,7 @@ def digest(canonical: Column) -> Column:
 def known_licences(spark: SparkSession, texts: Mapping[str, Iterable[str]] = LICENCES) -> DataFrame:
     """``licence`` and ``digest`` of known texts, one row for each canonical form."""
     rows = [(name, text) for name, forms in texts.items() for text in forms]
-    given = spark.createDataFrame(rows, "licence string, text string")
+    given = inline_table(spark, rows, "licence string, text string")
     whole = F.array_join(canonical_lines(F.col("text")), " ")
     return given.select("licence", digest(whole).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
 
@@ -59,8 +60,8 @@ def scan(docs: DataFrame, id_col: str, text_col: str, known: DataFrame) -> DataF
     """Per document: ``doc_id``, ``whole_licence`` (null if the whole text is none), ``n_lines`` that are licence
     notices on their own, and ``licences``, all that were found, sorted and joined by commas (empty if none).
 
-    ``known`` has ``licence`` and ``digest``. Its join carries no hint: Spark broadcasts a list below its
-    threshold. Whole texts and single lines are looked up in one pass; only lookups that found something
+    ``known`` has ``licence`` and ``digest``. Its join carries no hint: Spark broadcasts a list whose estimated
+    size is below its threshold, which that of ``known_licences`` is by far. Whole texts and single lines are looked up in one pass; only lookups that found something
     are gathered by document.
 
     Defined results: null and empty texts have no licence; rows with the same id are taken together, as one

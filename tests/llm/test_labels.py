@@ -230,3 +230,8 @@ def test_every_known_form_is_found(spark):
     forms = [(n, t) for n, texts in licences.LICENCES.items() for t in texts]
     out = scanned(spark, [(i, t, None) for i, (_, t) in enumerate(forms)])
     assert [out[i][0] for i in range(len(forms))] == [n for n, _ in forms]
+
+
+def test_the_list_of_licences_is_small_by_its_estimate(spark):
+    known = licences.known_licences(spark)
+    assert int(str(known._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1_000_000
