@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.aggregates import confusion_matrix
 from millrace.operators.features import assemble, center_and_scale, principal_components
@@ -23,7 +23,7 @@ from millrace.operators.models import (
 from millrace.operators.optimality import centre_residuals, rating_residuals
 from millrace.operators.partitions import stated_layout
 from millrace.operators.sampling import split_by_key
-from millrace.operators.trees import classified, node_table, size_of, walked
+from millrace.operators.trees import TreeModel, node_table, size_of, ways, with_class
 from millrace.plans.registry import Tables, query
 from millrace.workspace import materialize
 
@@ -77,14 +77,16 @@ def decision_tree_table(t: Tables) -> DataFrame:
 
     For how many lines that gives what the model gives, and how many nodes do not have the rows that training saw there.
     """
-    # a number for each row, since lines may be equal in all they have
-    rows = materialize(_lines(t).where("l_returnflag is not null").withColumn("row", F.monotonically_increasing_id()), "lines")
+    rows = materialize(_lines(t).where("l_returnflag is not null").select("l_returnflag", "features"), "lines")
     model = fit_classifier(rows, DecisionTreeClassifier(labelCol="label_index", seed=SEED), "l_returnflag")
     tree = model.stages[1]
-    nodes, size, key = materialize(node_table(tree, t.spark), "nodes"), size_of(tree), ["row"]
-    seen = walked(rows, "features", nodes, *size, keep=[], every_node=True).groupBy("tree", "node").agg(F.count("*").alias("seen"))
-    wrong = nodes.join(seen, ["tree", "node"], "left").agg(F.count_if(F.coalesce("seen", F.lit(0)) != F.col("n")).alias("w")).scalar()
-    return _same_by(rows, "l_returnflag", model, classified(rows, "features", nodes, *size, key=key), key).withColumn("nodes_wrong", wrong)
+    nodes = materialize(node_table(tree, t.spark), "nodes")
+    # a row for each label and leaf
+    found = materialize(_same_by(rows, "l_returnflag", model, tree, nodes, F.get("_leaves", F.lit(0)).alias("node")), "by-leaf")
+    seen = found.join(ways(nodes, tree.depth), "node").select(F.explode("way").alias("node"), "n")
+    seen = seen.groupBy("node").agg(F.sum("n").alias("seen"))
+    wrong = nodes.join(seen, "node", "left").agg(F.count_if(F.coalesce("seen", F.lit(0)) != F.col("n")).alias("w")).scalar()
+    return found.groupBy("l_returnflag").agg(F.sum("n").alias("n"), F.sum("n_same").alias("n_same")).withColumn("nodes_wrong", wrong)
 
 
 @query("random_forest_table", "SELECT label, count(*) AS n, count(*) AS n_same FROM embeddings WHERE label IS NOT NULL GROUP BY label")
@@ -97,14 +99,14 @@ def random_forest_table(t: Tables) -> DataFrame:
     model = fit_classifier(rows, RandomForestClassifier(labelCol="label_index", seed=SEED), "label")
     forest = model.stages[1]
     nodes = materialize(node_table(forest, t.spark), "nodes")
-    return _same_by(rows, "label", model, classified(rows, "features", nodes, *size_of(forest), key=["vec_id"]), ["vec_id"])
+    return _same_by(rows, "label", model, forest, nodes)
 
 
-def _same_by(rows: DataFrame, label: str, model: PipelineModel, found: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of each label, and those with one prediction by the model and in ``found``."""
-    told = model.transform(rows).select(label, *key, F.col("prediction").alias("_told"))
-    both = told.join(found, key, "left")
-    return both.groupBy(label).agg(F.count("*").alias("n"), F.count_if(F.col("_told").eqNullSafe(F.col("prediction"))).alias("n_same"))
+def _same_by(rows: DataFrame, label: str, model: PipelineModel, trees: TreeModel, nodes: DataFrame, *by: Column) -> DataFrame:
+    """Rows of each label (and of ``by``), and those with one prediction by the model and by the table of its nodes."""
+    told = model.transform(rows).select(label, "features", F.col("prediction").alias("_told"))
+    both = with_class(told, "features", nodes, size_of(trees)[1], "_found")
+    return both.groupBy(label, *by).agg(F.count("*").alias("n"), F.count_if(F.col("_told").eqNullSafe(F.col("_found"))).alias("n_same"))
 
 
 @query("nb_text")

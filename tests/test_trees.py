@@ -6,6 +6,7 @@ import pytest
 from millrace.operators import trees
 from millrace.operators.features import assemble
 from millrace.operators.partitions import stated_layout
+from millrace.workspace import materialize
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorIndexer
 from pyspark.sql import functions as F
@@ -49,3 +50,17 @@ def test_two_layouts_give_one_table(spark, points, values, estimator):
         return values(trees.node_table(estimator[0](**estimator[1]).fit(assemble(laid_out, ["a", "b", "c"])), spark))
 
     assert table(points.repartition(3)) == table(points.orderBy(F.rand(1)).coalesce(1))
+
+
+@pytest.mark.parametrize("estimator", [(DecisionTreeClassifier, {"maxDepth": 4}), (RandomForestClassifier, {"numTrees": 7, "maxDepth": 3, "seed": 1})])
+def test_rows_are_classified_where_they_are(spark, points, estimator):
+    kind, options = estimator
+    df = assemble(points.repartition(3, "id").withColumn("at", F.spark_partition_id()), ["a", "b", "c"])
+    model = kind(**options).fit(df)
+    nodes = materialize(trees.node_table(model, spark), "nodes")
+    out = trees.classified(df, "features", nodes, *trees.size_of(model), key=["id", "at"])
+    assert out.where(F.col("at") == F.spark_partition_id()).count() == 500
+    # equal rows need no key that tells them apart
+    twice = trees.with_class(df.unionByName(df), "features", nodes, trees.size_of(model)[1], "found")
+    told = {r.id: r.prediction for r in model.transform(df).collect()}
+    assert sorted((r.id, r.found) for r in twice.collect()) == sorted([*told.items()] * 2)
