@@ -4,10 +4,14 @@ A window's count is the one before it plus the slide that comes in, minus the sl
 therefore the counts of its slides in the current window and their sum, however many windows a slide belongs to. An
 event-time timer stands at the end of the next window, so windows are written when the watermark has passed their
 ends, whether or not the key has new events.
+
+Time is cut into stretches of many slides, and a key has a state for each stretch, so windows of one key are counted by many
+tasks. Slides shortly before a stretch ends belong to windows of both sides and go to both.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, functions as F
@@ -17,13 +21,21 @@ from pyspark.sql.types import StructField, StructType
 from millrace.streaming.counts import tumbling_counts
 
 _SLIDES = "start bigint, n bigint"
+_WINDOW = Row("key", "start_ms", "n")
+
+# slides of a stretch, and the fewest sizes of a window in it
+SLIDES_PER_STRETCH = 10_000
+SIZES_PER_STRETCH = 10
 
 
 class RunningWindow(StatefulProcessor):
-    """Slides of one key (``start`` in milliseconds, ``n``) in, windows (``key``, ``start_ms``, ``n``) out."""
+    """Slides of one key (``start`` in milliseconds, ``n``) in, windows (``key``, ``start_ms``, ``n``) out.
+
+    With ``stretch_ms`` the second part of a key is the number of a stretch, and only windows that start in it are put out.
+    """
 
-    def __init__(self, size_ms: int, slide_ms: int) -> None:
-        self.size, self.slide = size_ms, slide_ms
+    def __init__(self, size_ms: int, slide_ms: int, stretch_ms: int | None = None) -> None:
+        self.size, self.slide, self.stretch = size_ms, slide_ms, stretch_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -41,8 +53,8 @@ class RunningWindow(StatefulProcessor):
         yield from ()
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        inside = sorted(tuple(x) for x in self.inside.get()) if self.inside.exists() else []
-        waiting = sorted(tuple(x) for x in self.waiting.get()) if self.waiting.exists() else []
+        inside = deque(sorted(tuple(x) for x in self.inside.get()) if self.inside.exists() else [])
+        waiting = deque(sorted(tuple(x) for x in self.waiting.get()) if self.waiting.exists() else [])
         end, total = tuple(self.last.get()) if self.last.exists() else (None, 0)
         closed = timerValues.getCurrentWatermarkInMs()
         while inside or waiting:
@@ -53,18 +65,19 @@ class RunningWindow(StatefulProcessor):
                 break
             end = following
             while waiting and waiting[0][0] < end:
-                inside.append(waiting.pop(0))
+                inside.append(waiting.popleft())
                 total += inside[-1][1]
             while inside and inside[0][0] < end - self.size:
-                total -= inside.pop(0)[1]
-            if inside:
-                yield Row(key=key[0], start_ms=end - self.size, n=total)
+                total -= inside.popleft()[1]
+            start = end - self.size
+            if inside and (self.stretch is None or start // self.stretch == key[1]):
+                yield _WINDOW(key[0], start, total)
         self._keep(inside, waiting, end, total)
 
-    def _keep(self, inside: list[tuple], waiting: list[tuple], end: int | None, total: int) -> None:
+    def _keep(self, inside: deque[tuple], waiting: deque[tuple], end: int | None, total: int) -> None:
         for state, rows in ((self.inside, inside), (self.waiting, waiting)):
             if rows:
-                state.put(rows)
+                state.put(list(rows))
             else:
                 state.clear()
         if inside:
@@ -93,6 +106,11 @@ def running_counts(
     )
     kind = StructField("key", events.schema[key].dataType)
     out = StructType([kind, *StructType.fromDDL("start_ms bigint, n bigint").fields])
-    processor = RunningWindow(size_seconds * 1000, slide_seconds * 1000)
-    windows = timed.groupBy(key).transformWithState(processor, out, "Append", "EventTime")
+    size, slide = size_seconds * 1000, slide_seconds * 1000
+    stretch = max(SLIDES_PER_STRETCH * slide, SIZES_PER_STRETCH * size)
+    # the stretches in which the first and the last window of a slide start
+    first, last = (F.floor(at / stretch) for at in (F.col("start") - (size - slide), F.col("start")))
+    timed = timed.withColumn("_stretch", F.explode(F.array_distinct(F.array(first, last))))
+    processor = RunningWindow(size, slide, stretch)
+    windows = timed.groupBy(key, "_stretch").transformWithState(processor, out, "Append", "EventTime")
     return windows.select((F.col("start_ms") / 1000).cast("bigint").alias("start"), F.col("key").alias(key), "n")

@@ -51,6 +51,44 @@ def test_windows_end_while_events_still_arrive(spark, rows, tmp_path):
     assert streamed(spark, rows, str(tmp_path / "e"), lots, 15, 3, "30 seconds", files=1) == windows(data, 15, 3)
 
 
+def test_windows_of_one_key_are_counted_in_many_states(spark, rows, tmp_path, monkeypatch):
+    from millrace.streaming import slides
+
+    # a timer of one state closes the windows of one stretch
+    monkeypatch.setattr(slides, "SLIDES_PER_STRETCH", 20)
+    monkeypatch.setattr(slides, "SIZES_PER_STRETCH", 2)
+    made = []
+
+    class Seen(slides.RunningWindow):
+        def __init__(self, *args):
+            made.append(args)
+            super().__init__(*args)
+
+    monkeypatch.setattr(slides, "RunningWindow", Seen)
+    r = random.Random(8)
+    data = [(s, "only") for s in [0, 59, 60, 61, 119, 120, 1000] for _ in range(2)] + [(r.randrange(2000), "only") for _ in range(100)]
+    assert streamed(spark, rows, str(tmp_path / "e"), [data], 15, 3) == windows(data, 15, 3)
+    assert made == [(15_000, 3_000, 60_000)]
+
+
+def test_a_state_puts_out_the_windows_of_its_stretch():
+    from millrace.streaming import slides
+
+    class Nothing:
+        exists = lambda self: False
+        clear = lambda self: None
+
+    class Two(Nothing):
+        exists = lambda self: True
+        get = lambda self: iter([(54_000, 1), (60_000, 2)])
+
+    window = slides.RunningWindow(15_000, 3_000, 60_000)
+    window.inside, window.waiting, window.last = Nothing(), Two(), Nothing()
+    now = type("Now", (), {"getCurrentWatermarkInMs": lambda self: 10**15})()
+    found = [[(r.start_ms, r.n) for r in window.handleExpiredTimer(("k", stretch), now, None)] for stretch in (0, 1)]
+    assert found == [[(42_000, 1), (45_000, 1), (48_000, 3), (51_000, 3), (54_000, 3), (57_000, 2)], [(60_000, 2)]]
+
+
 def test_no_events_and_wrong_sizes(spark, rows, tmp_path):
     assert streamed(spark, rows, str(tmp_path / "e"), [], 15, 3) == {}
     with pytest.raises(ValueError, match="multiple"):
