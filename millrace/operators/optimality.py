@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+from operator import add
+
 from pyspark.ml.clustering import KMeansModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,9 +21,8 @@ def _norm(a: Column) -> Column:
     return F.sqrt(_dot(a, a))
 
 
-def _total(a: str) -> Column:
-    """The sum of an array column, place by place."""
-    return vector_to_array(Summarizer.sum(array_to_vector(F.col(a))))
+def _plus(terms: Iterable[Column]) -> Column:
+    return reduce(add, terms)
 
 
 def rating_residuals(model: ALSModel, ratings: DataFrame, user: str, item: str, rating: str, reg: float) -> DataFrame:
@@ -29,15 +32,20 @@ def rating_residuals(model: ALSModel, ratings: DataFrame, user: str, item: str,
     last step of the training solves just that for every user, so what is left is rounding to 32 bits. Ratings are joined
     with the factors of both sides and added up once per user.
     """
-    users = model.userFactors.select(F.col("id").alias(user), F.col("features").cast("array<double>").alias("_p"))
-    items = model.itemFactors.select(F.col("id").alias(item), F.col("features").cast("array<double>").alias("_q"))
+    users = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("_p"))
+    items = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_q"))
     rated = ratings.select(user, item, F.col(rating).cast("float").cast("double").alias("_r")).na.drop()
     rows = rated.join(items, item).join(users, user)
-    error = _dot(F.col("_q"), F.col("_p")) - F.col("_r")
-    # inside a transform another column must be a plain one
-    pulled = rows.withColumn("_e", error).withColumn("_pull", F.transform("_q", lambda x: x * F.col("_e")))
-    sized = pulled.withColumn("_size", _norm(F.col("_q")) * F.abs("_r"))
-    sums = sized.groupBy(user).agg(F.count("*").alias("n"), _total("_pull").alias("_sum"), F.sum("_size").alias("_size"), F.first("_p").alias("_p"))
+    # place by place in columns of doubles, which Spark compiles; factors travel as the arrays of floats that they are
+    places = range(model.rank)
+    names = [f"_q{i}" for i in places]
+    opened = rows.select(user, "_r", "_p", *[F.get("_q", F.lit(i)).cast("double").alias(n) for i, n in zip(places, names)])
+    error = _plus(F.col(n) * F.get("_p", F.lit(i)) for i, n in zip(places, names)) - F.col("_r")
+    size = F.sqrt(_plus(F.col(n) * F.col(n) for n in names)) * F.abs("_r")
+    sized = opened.select(user, "_p", *names, error.alias("_e"), size.alias("_size"))
+    pulls = F.array(*[F.sum(F.col(n) * F.col("_e")) for n in names])
+    sums = sized.groupBy(user, "_p").agg(F.count("*").alias("n"), pulls.alias("_sum"), F.sum("_size").alias("_size"))
+    sums = sums.withColumn("_p", F.col("_p").cast("array<double>"))
     left = F.zip_with("_sum", "_p", lambda s, p: s + F.lit(reg) * F.col("n") * p)
     scale = F.col("_size") + F.lit(reg) * F.col("n") * _norm(F.col("_p"))
     return sums.select(user, "n", F.coalesce(F.try_divide(_norm(left), scale), F.lit(0.0)).alias("residual"))

@@ -35,3 +35,10 @@ def test_centres_at_rest_are_means(rows):
     assert sum(x.n for x in rest) == 240 and max(x.residual for x in rest) < 1e-9
     early = optimality.centre_residuals(KMeans(k=4, seed=1, maxIter=1).fit(points), points).collect()
     assert max(x.residual for x in early) > 1e-3
+
+
+def test_pulls_are_added_up_in_compiled_columns(spark, rows):
+    data = rows([(u, i, float((u * i) % 5)) for u in range(6) for i in range(5)], "user int, item int, rating double")
+    model = M.fit_ratings(data, "user", "item", "rating", blocks=2)
+    plan = optimality.rating_residuals(model, data, "user", "item", "rating", M.RATING_REG)._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
