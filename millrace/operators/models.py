@@ -219,9 +219,11 @@ def score_ratings(train: DataFrame, test: DataFrame, user: str, item: str, ratin
     numbers = materialize(with_ordinal(counts, [F.col(c) for c in ("_is_item", user, item)], "_dense"), "dense")
     rows = train.select(user, item, rating, F.lit(True).alias("_train"))
     rows = rows.unionByName(test.withColumn("_train", F.lit(False)), allowMissingColumns=True)
-    for is_item, (col, number, other) in enumerate(((user, "_user", item), (item, "_item", user))):
+    for is_item, (col, number, other) in enumerate(((user, "_user", item), (item, "_item", "_user"))):
         own = numbers.where(F.col("_is_item") == is_item).select(col, F.col("_dense").cast("int").alias(number), "_n")
         rows = skew_safe_join(rows, own.drop("_n"), col, [other], key_counts=own.select(col, F.col("_n").alias("n")))
+        # training needs the numbers only
+        rows = rows.withColumn(col, F.when(~F.col("_train"), F.col(col)))
     rows = materialize(rows, "dense-ratings")
     model = fit_ratings(rows.where("_train"), "_user", "_item", rating, **options)
     return model.transform(rows.where("not _train")).select(*test.columns, "prediction")

@@ -169,7 +169,7 @@ def _ratings(t: Tables) -> DataFrame:
 
 def _rated(t: Tables) -> tuple[DataFrame, DataFrame]:
     """The ratings, of which nine tenths are for training."""
-    ratings = materialize(_ratings(t).withColumn("pair", F.concat_ws("-", "o_custkey", "l_partkey")), "ratings")
+    ratings = materialize(_ratings(t), "ratings").withColumn("pair", F.concat_ws("-", "o_custkey", "l_partkey"))
     train, test = split_by_key(ratings, "pair", 0.9)
     return train.drop("pair"), test.drop("pair")
 

@@ -12,6 +12,7 @@ from millrace.operators import models as M
 from millrace.operators.aggregates import accuracy, r_squared
 from millrace.operators.features import assemble
 from millrace.operators.sampling import split_by_key
+from millrace.workspace import materialize
 
 
 @pytest.fixture
@@ -226,3 +227,15 @@ def test_ratings_of_ids_that_training_has_not_seen_are_dropped(spark, rows):
     scored = M.score_ratings(train, test, "u", "i", "r", blocks=2)
     assert scored.columns == ["u", "i", "r", "prediction"]
     assert sorted((x["u"], x["i"]) for x in scored.collect()) == [("u0", 10**12), ("u5", 10**12 + 7)]
+
+
+def test_numbered_ratings_keep_the_ids_of_test_rows_only(rows, monkeypatch):
+    written = {}
+    monkeypatch.setattr(M, "materialize", lambda df, label: written.setdefault(label, materialize(df, label)))
+    data = [(100 + u, f"item{i}", float(1 + (u * i) % 5)) for u in range(8) for i in range(6)]
+    ratings = rows(data, "u long, i string, r double")
+    M.score_ratings(ratings, ratings.limit(5), "u", "i", "r", blocks=2)
+    numbered = written["dense-ratings"]
+    assert numbered.where("_train").count() == 48
+    assert numbered.where("_train and (u is not null or i is not null)").count() == 0
+    assert numbered.where("not _train and u is not null and i is not null").count() == 5
