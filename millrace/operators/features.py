@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from millrace.functions import tokens
 from millrace.operators.joins import skew_safe_join
@@ -13,6 +18,9 @@ from millrace.operators.ordering import with_ordinal
 from millrace.operators.partitions import spread_small_input
 from millrace.workspace import materialize
 
+# words that a task counts together, besides the rest of a document; all are counted
+WORDS_AT_A_TIME = 2_000_000
+
 
 def assemble(df: DataFrame, cols: Sequence[str], output: str = "features") -> DataFrame:
     """Add one dense vector of the given numeric columns; a null in any of them is an error."""
@@ -83,31 +91,45 @@ def strings_of_index(
     return skew_safe_join(df, lookup, source, salt_by, "left", key_counts=counts)
 
 
-def _counted_terms(words: Column) -> Column:
-    """Each distinct element of an array of strings with its number of occurrences.
-
-    The sorted array is cut where its elements change, so the work grows with the text's length.
+def _lists_of(ids: pa.Array, words: pa.Array) -> pa.RecordBatch:
+    """The lists of ``_term_lists`` for some documents and their words."""
+    coded = words.flatten().dictionary_encode()
+    # one number for each word and document, so that equal ones are occurrences in one document
+    keys = coded.indices.to_numpy().astype(np.int64)
+    keys *= len(words)
+    keys += pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
+    pairs, tf = np.unique(keys, return_counts=True)
+    code, row = np.divmod(pairs, max(1, len(words)))
+    # the pairs are in the order of their words; those of a word are brought into the order of their counts
+    same = code * (tf.max(initial=0) + 1) + tf
+    order = np.argsort(same, kind="stable")
+    starts = np.flatnonzero(np.diff(same[order], prepend=-1))
+    ends = np.append(starts, len(order))
+    first = order[starts]
+    docs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids.take(pa.array(row[order])))
+    columns = [coded.dictionary.take(pa.array(code[first])), pa.array(tf[first], pa.int64()), pa.array(np.diff(ends), pa.int64()), docs]
+    return pa.RecordBatch.from_arrays(columns, names=["term", "tf", "_n", "_docs"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, words = batch.columns
+        # cut before the document that starts in another stretch of words
+        stretch = words.offsets.to_numpy()[:-1] // WORDS_AT_A_TIME
+        cuts = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(batch)]
+        for lo, hi in pairwise(cuts):
+            yield _lists_of(ids.slice(lo, hi - lo), words.slice(lo, hi - lo))
+
+
+def _term_lists(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """Terms with the list of rows that have them ``tf`` times: ``term``, ``tf``, ``_n`` rows, ``_docs``.
+
+    A list is made from a part of an Arrow batch, which bounds its length, so a term has lists for each part it is in.
     """
-    ordered = F.sort_array(words)
-
-    def cuts(a: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(a) - 1)
-        return F.filter(places, lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)))
-
-    def runs(a: Column, starts: Column) -> Column:
-        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(a)))
-        return F.zip_with(
-            starts,
-            ends,
-            lambda start, end: F.struct(F.get(a, start).alias("term"), (end - start).cast("bigint").alias("tf")),
-        )
-
-    # a transform over a one-element array names an intermediate value, so that it is computed once
-    def named(value: Column, use) -> Column:
-        return F.get(F.transform(F.array(value), use), 0)
-
-    counted = named(ordered, lambda a: named(cuts(a), lambda starts: runs(a, starts)))
-    return F.when(F.size(words) > 0, counted)
+    words = spread_small_input(df.select(doc, text)).select(doc, tokens(F.col(text)).alias("_words"))
+    docs = StructField("_docs", ArrayType(df.schema[doc].dataType))
+    schema = StructType([*StructType.fromDDL("term string, tf bigint, _n bigint").fields, docs])
+    return words.mapInArrow(_gathered, schema)
 
 
 def term_counts(df: DataFrame, doc: str, text: str, *, one_row_per_doc: bool = False) -> DataFrame:
@@ -116,28 +138,36 @@ def term_counts(df: DataFrame, doc: str, text: str, *, one_row_per_doc: bool = F
     Terms are counted within their row, and then the rows of a document are brought together. Who knows that
     each ``doc`` has one row says so and saves that shuffle.
     """
-    words = spread_small_input(df.select(doc, text)).select(doc, tokens(F.col(text)).alias("_words"))
-    pairs = words.select(doc, F.explode(_counted_terms(F.col("_words"))).alias("_pair"))
-    counts = pairs.select(doc, "_pair.term", "_pair.tf")
+    counts = _term_lists(df, doc, text).select(F.explode("_docs").alias(doc), "term", "tf")
     if one_row_per_doc:
         return counts
     return counts.groupBy(doc, "term").agg(F.sum("tf").alias("tf"))
 
 
-def tf_idf(df: DataFrame, doc: str, text: str, *, one_row_per_doc: bool = False) -> DataFrame:
+def tf_idf(df: DataFrame, doc: str, text: str, *, one_row_per_doc: bool = False, digits: int | None = None) -> DataFrame:
     """``doc``, ``term``, ``tf`` and ``tf_idf`` = tf * ln((documents + 1) / (documents with the term + 1)).
 
-    The texts are read and tokenised once: their term counts are written down, and read for the vocabulary
-    and for the result. Terms of nearly every document are hot keys and are spread by document.
+    The texts are read and tokenised once: their terms are written down, and read for the vocabulary and for the
+    result. With one row for each document they stay lists of documents until they have met the vocabulary and have
+    their weight, rounded if ``digits`` are given. Terms of nearly every document are hot keys and are spread by document
+    or list.
     """
-    counts = materialize(term_counts(df, doc, text, one_row_per_doc=one_row_per_doc), "term-counts")
-    frequency = materialize(counts.groupBy("term").agg(F.count("*").alias("n")), "vocabulary")
+    if one_row_per_doc:
+        found, spread = _term_lists(df, doc, text), "_docs"
+    else:
+        found, spread = term_counts(df, doc, text).withColumn("_n", F.lit(1).cast("bigint")), doc
+    found = materialize(found, "term-counts")
+    frequency = materialize(found.groupBy("term").agg(F.sum("_n").alias("n")), "vocabulary")
     # documents, not rows; one without words counts as well
     ids = df if one_row_per_doc else df.select(doc).distinct()
     documents = ids.agg(F.count("*").alias("m")).scalar()
     weights = frequency.select("term", F.log((documents + 1) / (F.col("n") + 1)).alias("idf"))
-    joined = skew_safe_join(counts, weights, "term", salt_by=[doc], key_counts=frequency)
-    return joined.select(doc, "term", "tf", (F.col("tf") * F.col("idf")).alias("tf_idf"))
+    joined = skew_safe_join(found.drop("_n"), weights, "term", salt_by=[spread], key_counts=frequency)
+    weight = F.col("tf") * F.col("idf")
+    weighted = joined.withColumn("tf_idf", weight if digits is None else F.round(weight, digits))
+    if one_row_per_doc:
+        weighted = weighted.withColumn(doc, F.explode("_docs"))
+    return weighted.select(doc, "term", "tf", "tf_idf")
 
 
 def principal_components(df: DataFrame, k: int, source: str = "features", output: str = "components") -> DataFrame:

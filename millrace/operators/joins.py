@@ -72,8 +72,9 @@ def salted_join(
     key = [key] if isinstance(key, str) else list(key)
     if key_counts is None:
         key_counts = materialize(frequent_keys(fact, key, rows_per_task), "hot-keys")
-    # sixteen bytes for each key above rows_per_task; no hint, Spark broadcasts it while it is small
-    hot = hot_keys(key_counts, key, "n", rows_per_task)
+    # sixteen bytes for each key above rows_per_task; no hint, Spark broadcasts it while it is small. Written down, since
+    # Spark would take it to be as large as the counts and shuffle both sides for it
+    hot = materialize(hot_keys(key_counts, key, "n", rows_per_task), "hot-pieces")
 
     def with_pieces(df: DataFrame) -> DataFrame:
         return df.withColumn("_hash", key_hash(key)).join(hot, F.col("_hash") == F.col("_hot"), "left").drop("_hot", "_hash")

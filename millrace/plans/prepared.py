@@ -109,7 +109,7 @@ def term_freq(t: Tables) -> DataFrame:
         FROM terms JOIN frequency USING (term)""",
 )
 def weighted_terms(t: Tables) -> DataFrame:
-    return tf_idf(t.documents, "doc_id", "text", one_row_per_doc=True).withColumn("tf_idf", F.round("tf_idf", 6))
+    return tf_idf(t.documents, "doc_id", "text", one_row_per_doc=True, digits=6)
 
 
 @query(

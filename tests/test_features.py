@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import IDF, HashingTF, StringIndexer, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -121,6 +122,42 @@ def test_documents_in_several_rows_count_once(rows):
     assert got[1, "y"][0] == 1 and got[1, "y"][1] == pytest.approx(math.log(3 / 2))
 
 
+def test_tf_idf_lists_the_documents_of_a_term_and_rounds(spark, monkeypatch):
+    texts = ["a b b", "a", "a", "", None, "b b a a", "  "]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    monkeypatch.setattr(X, "spread_small_input", lambda df: df)
+    written = {}
+
+    def materialize(df, label):
+        written[label] = df.localCheckpoint()
+        return written[label]
+
+    monkeypatch.setattr(X, "materialize", materialize)
+    got = sorted(tuple(r) for r in X.tf_idf(df, "id", "text", one_row_per_doc=True, digits=3).collect())
+    # seven documents, of which four have an "a", two a "b" and one the empty term
+    a, b, empty = math.log(8 / 5), math.log(8 / 3), math.log(8 / 2)
+    expected = [(0, "a", 1, a), (0, "b", 2, 2 * b), (1, "a", 1, a), (2, "a", 1, a), (3, "", 1, empty), (5, "a", 2, 2 * a), (5, "b", 2, 2 * b)]
+    assert got == [(i, term, tf, round(w, 3)) for i, term, tf, w in expected]
+    # what is written, shuffled and joined is a row for each term and count, not for each term of a document
+    lists = sorted((r.term, r.tf, r._docs) for r in written["term-counts"].collect())
+    assert lists == [("", 1, [3]), ("a", 1, [0, 1, 2]), ("a", 2, [5]), ("b", 2, [0, 5])]
+
+
+def test_term_lists_do_not_depend_on_where_they_are_cut(monkeypatch):
+    rnd = random.Random(7)
+    words = [[rnd.choice("abcdé") for _ in range(rnd.randrange(30))] for _ in range(60)]
+    words[7:9] = [None, []]
+    expected = Counter((i, w) for i, doc in enumerate(words) for w in doc or [])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(words, pa.list_(pa.string()))], names=["id", "words"])
+    for most in (1, 17, 400, 10**6):
+        monkeypatch.setattr(X, "WORDS_AT_A_TIME", most)
+        for batches in ([batch], [batch.slice(0, 0), batch.slice(0, 25), batch.slice(25)]):
+            lists = [r for part in X._gathered(iter(batches)) for r in part.to_pylist()]
+            entries = [((doc, r["term"]), r["tf"]) for r in lists for doc in r["_docs"]]
+            assert len(entries) == len(expected) and dict(entries) == expected
+            assert all(r["_n"] == len(r["_docs"]) for r in lists)
+
+
 def test_rows_without_a_value_keep_drop_or_refuse(rows, values):
     df = rows([(1, "a"), (2, None), (3, "a")], "id int, c string")
     index = X.value_index(df, "c")

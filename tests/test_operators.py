@@ -10,6 +10,7 @@ from millrace.operators.ordering import top_k, with_ordinal
 from millrace.operators.partitions import partition_count, spread_small_input
 from millrace.operators.sampling import key_in_fraction, split_at_random, split_by_key
 from millrace.operators.sets import intersect_distinct, union_all
+from millrace.workspace import materialize
 
 INTS_A = [7, 0, -4, 7, 20, 7, 31, 0]
 INTS_B = [31, 8, 0, -9, 31]
@@ -312,3 +313,18 @@ def test_lookups_never_turn_the_large_side_into_the_broadcast_one(spark, tmp_pat
                 assert "SortMergeJoin" not in line and "BuildLeft" not in line, line
         assert not [x for x in plan.splitlines() if "hashpartitioning(c_nationkey" in x and key == "lookup_join"]
         assert df.count() == {"lookup_join": 2000, "rate_report": 5, "rate_report_2key": 5}[key]
+
+
+def test_salted_join_does_not_shuffle_rows_for_few_hot_keys_of_many_counts(spark):
+    fact = spark.range(20_000).select(F.col("id"), (F.col("id") % 5_000).alias("k"))
+    counts = materialize(fact.groupBy("k").agg(F.count("*").alias("n")), "counts")
+    other = counts.select("k", (F.col("k") * 2).alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        joined = salted_join(fact, other, "k", ["id"], key_counts=counts)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(_hash" not in plan
+        assert joined.where(F.col("v") == F.col("k") * 2).count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
