@@ -8,7 +8,9 @@ ids that share a group and how often. The matrices are rows of pointers, columns
 go row by row (Gustavson): the rows of the second matrix that a row of the first one names are added up.
 
 Id pairs are then counted over all documents. A task works on slices of documents, each with a list of the pairs that its
-documents hold; only these lists are shuffled to be counted, and the counts come back to each slice.
+documents hold; only these lists are shuffled to be counted, and the counts come back to each slice. What is stored of a
+slice is a row for each document and one for its list: rows as large as a slice would be held together by the hundred
+where files are written and read.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,6 +35,8 @@ from millrace.workspace import materialize
 STORED_BYTES = 4_000_000
 WORK_BYTES = 500_000
 TERMS = 2_000_000
+# what a task holds of the stored rows as it writes or reads them, even where documents are long
+STORED_GROUP = {"parquet.block.size": 8_000_000, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 ROWS_PER_TASK = 1_000_000
 _SLICE_BITS = 33
 
@@ -193,10 +198,10 @@ class Aligned:
 # ---------------------------------------------------------------- over all documents
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps")
-_STORED = (
-    "slice bigint, doc_id array<bigint>, " + ", ".join(f"{c} array<bigint>" for c in _COUNTS) + ", groups_sha256 array<string>, "
-    "first binary, at binary, times binary, pairs binary, docs binary"
-)
+# a document's row, and the row of a slice's list; what one has the other has not
+_DOCUMENT = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS) + ", groups_sha256 string, at binary, times binary"
+_LIST = "pairs binary, docs binary"
+_STORED = f"slice bigint, {_DOCUMENT}, {_LIST}"
 _RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string, n_overlaps bigint"
 
 
@@ -218,7 +223,7 @@ def align(docs: DataFrame, id_col: str, text_col: str, a_path: str, b_path: str)
         number = TaskContext.get().partitionId() << _SLICE_BITS
         for batch in batches:
             for lo, hi in slices(batch.column("text"), STORED_BYTES):
-                yield _stored(number, batch.slice(lo, hi - lo), both)
+                yield from _stored(number, batch.slice(lo, hi - lo), both)
                 number += 1
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,8 +237,9 @@ def align(docs: DataFrame, id_col: str, text_col: str, a_path: str, b_path: str)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["slice", "place", "a", "b", "docs"])
 
     rows = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].alias("text"))
-    stored = materialize(rows.mapInArrow(store, _STORED), "alignment")
-    listed = stored.select("slice", "pairs", "docs").mapInArrow(entries, "slice bigint, place bigint, a bigint, b bigint, docs bigint")
+    stored = materialize(rows.mapInArrow(store, _STORED), "alignment", STORED_GROUP)
+    lists = stored.where("pairs is not null").select("slice", "pairs", "docs")
+    listed = lists.mapInArrow(entries, "slice bigint, place bigint, a bigint, b bigint, docs bigint")
     # at most one row for each pair and slice; there are no more pairs than A ids times B ids
     counts = materialize(listed.groupBy("a", "b").agg(F.sum("docs").alias("count"), F.count("*").alias("n")), "alignment-pairs")
     highest = counts.groupBy(F.col("a").alias("of")).agg(F.max("count").alias("highest"))
@@ -241,11 +247,16 @@ def align(docs: DataFrame, id_col: str, text_col: str, a_path: str, b_path: str)
     answers = salted_join(
         listed.drop("docs"), rated, ["a", "b"], ["slice"], key_counts=counts.select("a", "b", "n"), rows_per_task=ROWS_PER_TASK
     ).select("slice", "place", "count", "best")
-    return stored.drop("pairs", "docs").groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_answered, _RESULT)
+    held = stored.where("pairs is null").drop("pairs", "docs")
+    return held.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_answered, _RESULT)
 
 
-def _stored(number: int, batch: pa.RecordBatch, both: Tokenizers) -> pa.RecordBatch:
-    """One row for a slice of documents: their counts, the pairs that they hold, and each document's pairs by place."""
+def _names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
+
+
+def _stored(number: int, batch: pa.RecordBatch, both: Tokenizers) -> Iterator[pa.RecordBatch]:
+    """What is stored of a slice: a row for each document with its counts and its pairs by their place in the list; the list."""
     texts, done, base = batch.column("text"), [], 0
     text_of, pair = [], []
     for lo, hi in slices(texts, WORK_BYTES):
@@ -257,33 +268,29 @@ def _stored(number: int, batch: pa.RecordBatch, both: Tokenizers) -> pa.RecordBa
         done.append(part)
         base += hi - lo
     known, at = np.unique(np.concatenate(pair), return_inverse=True)
-    first = np.r_[0, np.cumsum(np.bincount(np.concatenate(text_of), minlength=len(batch)))]
-    lists = [batch.column("doc_id").to_pylist()]
-    lists += [np.concatenate([getattr(p, c) for p in done]).tolist() for c in _COUNTS]
-    digests = [d for p in done for d in p.digests]
-    cells = [first, at.astype("<u4"), np.concatenate([p.times for p in done]), known, np.bincount(at, minlength=len(known))]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([number], pa.int64()),
-            *(pa.array([x], pa.list_(pa.int64())) for x in lists),
-            pa.array([digests], pa.list_(pa.string())),
-            *(pa.array([(c if c.dtype == "<u4" else c.astype("<i8")).tobytes()], pa.binary()) for c in cells),
-        ],
-        names=[c.split()[0] for c in _STORED.split(", ")],
-    )
-
-
-def _answered(stored: pa.Table, answers: pa.Table) -> pa.Table:
+    first = np.r_[0, np.cumsum(np.bincount(np.concatenate(text_of), minlength=len(batch)))].tolist()
+    n, counted_pairs = len(batch), np.bincount(at, minlength=len(known))
+    parts = [(x.tobytes(), x.itemsize) for x in (at.astype("<u4"), np.concatenate([p.times for p in done]).astype("<i8"))]
+    document = [
+        batch.column("doc_id"),
+        *(pa.array(np.concatenate([getattr(p, c) for p in done]), pa.int64()) for c in _COUNTS),
+        pa.array([d for p in done for d in p.digests], pa.string()),
+        *(pa.array([x[lo * size : hi * size] for lo, hi in zip(first, first[1:])], pa.binary()) for x, size in parts),
+    ]
+    listed = [pa.array([x.astype("<i8").tobytes()], pa.binary()) for x in (known, counted_pairs)]
+    names = _names(_STORED)
+    yield pa.RecordBatch.from_arrays([pa.array([number] * n, pa.int64()), *document, *(pa.nulls(n, c.type) for c in listed)], names=names)
+    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.nulls(1, c.type) for c in document), *listed], names=names)
+
+
+def _answered(held: pa.Table, answers: pa.Table) -> pa.Table:
     """The rows of the documents of one slice."""
-    cell = {c: stored.column(c)[0].as_py() for c in stored.column_names}
     places = answers.column("place").to_numpy()
     count, best = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
     count[places] = answers.column("count").to_numpy()
     best[places] = answers.column("best").to_numpy()
-    first, times = (np.frombuffer(cell[c], "<i8") for c in ("first", "times"))
-    at = np.frombuffer(cell["at"], "<u4")
+    at, times = (np.frombuffer(b"".join(held.column(c).to_pylist()), kind) for c, kind in (("at", "<u4"), ("times", "<i8")))
+    first = np.r_[0, np.cumsum(pc.binary_length(held.column("at")).to_numpy() // at.itemsize)]
     sums = [np.diff(np.r_[0, np.cumsum(times * value[at])][first]) for value in (best, count)]
-    out = {**{c: cell[c] for c in ("doc_id", *_COUNTS, "groups_sha256")}, "n_best": sums[0], "count_sum": sums[1]}
-    names = [c.split()[0] for c in _RESULT.split(", ")]
-    kinds = [pa.string() if c == "groups_sha256" else pa.int64() for c in names]
-    return pa.Table.from_arrays([pa.array(out[c], k) for c, k in zip(names, kinds)], names=names)
+    out = {c: held.column(c) for c in ("doc_id", *_COUNTS, "groups_sha256")} | {"n_best": pa.array(sums[0]), "count_sum": pa.array(sums[1])}
+    return pa.table({c: out[c] for c in _names(_RESULT)})

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,10 +37,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return _WRITTEN[-1]
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared root and return a scan of it."""
+def materialize(df: DataFrame, label: str, options: Mapping[str, int | str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared root, with the writer's ``options``, and return a scan of it."""
     path = new_folder(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,9 +4,11 @@ import random
 
 import brute
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from millrace.llm import token_alignment
 from millrace.llm.queries import tokenizer_file
+from millrace.workspace import materialize
 from pyspark.sql import functions as F
 
 FILES = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
@@ -77,3 +79,24 @@ def test_product_of_sparse_matrices(terms):
     assert (out == a @ b).all()
     turned = sparse[0].transposed()
     assert [turned.columns[lo:hi].tolist() for lo, hi in zip(turned.first, turned.first[1:])] == [np.nonzero(x)[0].tolist() for x in a.T]
+
+
+def test_what_is_stored_has_a_row_for_each_document_and_small_groups_of_rows(docs, monkeypatch):
+    written = {}
+
+    def keep(df, label, *options):
+        return written.setdefault(label, materialize(df, label, *options))
+
+    monkeypatch.setattr(token_alignment, "materialize", keep)
+    r = random.Random(9)
+    rows = [(i, " ".join(r.choices(FRAGMENTS[3:14], k=4000))) for i in range(40)] + [(40, None), (41, "the house")]
+    monkeypatch.setattr(token_alignment, "STORED_GROUP", token_alignment.STORED_GROUP | {"parquet.block.size": 30_000})
+    assert found(docs(rows)) == brute.aligned(rows, *FILES)
+    stored = written["alignment"]
+    slices = stored.select("slice").distinct().count()
+    # no row holds what a whole slice has
+    assert slices < len(rows) and stored.count() == len(rows) + slices
+    assert stored.groupBy("slice").agg(F.count("pairs").alias("n")).where("n != 1").count() == 0
+    files = [pq.ParquetFile(x.removeprefix("file:")).metadata for x in stored.inputFiles()]
+    sizes = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(sizes) == len(rows) + slices and max(sizes) < 20
