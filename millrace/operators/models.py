@@ -22,6 +22,7 @@ from millrace.operators.features import assemble
 from millrace.operators.joins import skew_safe_join
 from millrace.operators.nearest import assign_by_cells
 from millrace.operators.ordering import with_ordinal
+from millrace.operators.products import largest_products
 from millrace.sources import inline_table
 from millrace.workspace import materialize
 
@@ -204,12 +205,18 @@ def fit_ratings(
     return als.setNumBlocks(blocks).fit(df)
 
 
-def score_ratings(train: DataFrame, test: DataFrame, user: str, item: str, rating: str, **options) -> DataFrame:
+def score_ratings(
+    train: DataFrame, test: DataFrame, user: str, item: str, rating: str, *, top: int = 0, **options
+) -> DataFrame:
     """``test`` with a ``prediction`` from factors of ``train``, for ids of any type and size.
 
     Ids are replaced by dense numbers for the training, users and items that ``train`` does not have are
     dropped, and the result has the original ids. Both kinds of ids are counted and numbered together, and
     ``train`` and ``test`` are joined with the numbers as one table.
+
+    With ``top`` the rows of ``test`` are followed by what the model recommends: for every user of ``train`` the
+    ``top`` items of ``train`` with the highest predictions, rated ones among them, as in the library. These
+    have a ``place`` from 1 on, and nulls in the other columns of ``test``; rows of ``test`` have no place.
     """
     # the first grouping set is that of the users, whose numbers come before those of the items
     counts = train.groupingSets([[user], [item]], user, item).agg(
@@ -226,4 +233,20 @@ def score_ratings(train: DataFrame, test: DataFrame, user: str, item: str, ratin
         rows = rows.withColumn(col, F.when(~F.col("_train"), F.col(col)))
     rows = materialize(rows, "dense-ratings")
     model = fit_ratings(rows.where("_train"), "_user", "_item", rating, **options)
-    return model.transform(rows.where("not _train")).select(*test.columns, "prediction")
+    scored = model.transform(rows.where("not _train")).select(*test.columns, "prediction")
+    if not top:
+        return scored
+    liked = _recommended(model, numbers, user, item, top)
+    return scored.withColumn("place", F.lit(None).cast("int")).unionByName(liked, allowMissingColumns=True)
+
+
+def _recommended(model: ALSModel, numbers: DataFrame, user: str, item: str, top: int) -> DataFrame:
+    """``user``, ``item``, ``prediction`` and ``place`` of the ``top`` items of every user, by their original ids."""
+
+    def factors(found: DataFrame, is_item: int, col: str) -> DataFrame:
+        own = numbers.where(F.col("_is_item") == is_item).select(col, F.col("_dense").cast("int").alias("id"))
+        return found.join(own, "id")
+
+    users = factors(model.userFactors, 0, user).select(user, "features")
+    items = factors(model.itemFactors, 1, item).withColumnRenamed("features", "_other")
+    return largest_products(users, "features", items, item, "_other", "id", top).withColumnRenamed("product", "prediction")

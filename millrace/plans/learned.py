@@ -174,9 +174,14 @@ def _rated(t: Tables) -> tuple[DataFrame, DataFrame]:
     return train.drop("pair"), test.drop("pair")
 
 
+# parts recommended to each customer
+RECOMMENDED = 3
+
+
 @query("als_recommend")
 def als_recommend(t: Tables) -> DataFrame:
-    return score_ratings(*_rated(t), "o_custkey", "l_partkey", "rating")
+    """Predictions for the pairs held out, and the parts recommended to every customer, which have a ``place``."""
+    return score_ratings(*_rated(t), "o_custkey", "l_partkey", "rating", top=RECOMMENDED)
 
 
 @query("als_rmse")

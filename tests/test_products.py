@@ -1,0 +1,102 @@
+import numpy as np
+import pytest
+
+from millrace.operators import models as M, products as P
+
+
+def brute(vectors, others, k):
+    """By vector: the numbers of the ``k`` others with the largest products, equal ones by number, and the products."""
+    out = {}
+    for i, v in enumerate(vectors):
+        ranked = sorted((-float(np.dot(v, o)), j) for j, o in enumerate(others))[:k]
+        out[i] = [(j, pytest.approx(-p, rel=1e-5, abs=1e-5)) for p, j in ranked]
+    return out
+
+
+def found(spark, vectors, others, k):
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "u int, v array<float>")
+    right = spark.createDataFrame([(f"o{j}", j, [float(x) for x in o]) for j, o in enumerate(others)], "o string, n int, w array<float>")
+    rows = P.largest_products(df, "v", right, "o", "w", "n", k).collect()
+    out = {}
+    for r in sorted(rows, key=lambda r: (r["u"], r["place"])):
+        out.setdefault(r["u"], []).append((int(r["o"][1:]), r["product"]))
+        assert r["place"] == len(out[r["u"]])
+    return out
+
+
+def made(seed):
+    """Small whole numbers, so that products are often equal; some long others, and a vector of zeros."""
+    rng = np.random.default_rng(seed)
+    vectors, others = rng.integers(-3, 4, (40, 4)), rng.integers(-3, 4, (150, 4))
+    others[::17] *= 5
+    vectors[3] = 0
+    return vectors, others
+
+
+def test_largest_products_equal_brute_force(spark):
+    vectors, others = made(1)
+    assert found(spark, vectors, others, 3) == brute(vectors, others, 3)
+
+
+@pytest.mark.parametrize("part", [1, 7, 150])
+def test_parts_of_the_others_add_up(monkeypatch, part):
+    monkeypatch.setattr(P, "PRODUCTS", 20)
+    vectors, others = made(part)
+    order = np.lexsort((np.arange(150), -(others * others).sum(axis=1)))
+    best = P.Best(vectors.astype(float), 3)
+    for at in (order[i : i + part] for i in range(0, 150, part)):
+        longest = float(np.sqrt((others[at[0]] ** 2).sum()))
+        best.add(best.open(longest), others[at].astype(float), at, P.pa.array(at))
+    out = {}
+    for row, key, product, _ in zip(*(x.tolist() if isinstance(x, np.ndarray) else x.to_pylist() for x in best.listed())):
+        out.setdefault(row, []).append((key, product))
+    assert out == brute(vectors, others, 3)
+
+
+def test_fewer_others_than_asked_for_and_none(spark):
+    vectors, others = np.array([[1, 0], [0, -1]]), np.array([[2, 1], [3, -4]])
+    assert found(spark, vectors, others, 3) == {0: [(1, 3.0), (0, 2.0)], 1: [(1, 4.0), (0, -1.0)]}
+    df = spark.createDataFrame([(1, [1.0])], "u int, v array<float>")
+    none = spark.createDataFrame([], "o string, n int, w array<float>")
+    assert P.largest_products(df, "v", none, "o", "w", "n", 3).collect() == []
+
+
+def test_short_others_are_not_read(monkeypatch):
+    best = P.Best(np.array([[1.0, 0.0], [0.0, 2.0]]), 1)
+    best.add(best.open(10.0), np.array([[6.0, 8.0]]), np.array([4]), P.pa.array(["a"]))
+    assert best.open(7.0).tolist() == [0] and best.open(5.9).tolist() == []
+    assert best.open(6.0).tolist() == [0]
+
+
+def test_every_user_of_training_gets_the_items_with_the_highest_predictions(rows):
+    ddl = "u string, i bigint, r double"
+    data = [(f"u{u}", 10**12 + i, float((u * i) % 5)) for u in range(12) for i in range(9) if (u + i) % 3]
+    train = rows([*data, (None, 1, 1.0), ("u1", None, 2.0)], ddl)
+    test = rows([("u0", 10**12, 1.0), ("new", 10**12, 1.0), ("u0", 5, 1.0)], ddl)
+    every = rows([(f"u{u}", 10**12 + i, 0.0) for u in range(12) for i in range(9)], ddl)
+    out = M.score_ratings(train, test, "u", "i", "r", top=3, blocks=2)
+    assert out.columns == ["u", "i", "r", "prediction", "place"]
+    out = out.collect()
+    assert [(x["u"], x["i"], x["r"]) for x in out if x["place"] is None] == [("u0", 10**12, 1.0)]
+    liked = [x for x in out if x["place"] is not None]
+    assert len(liked) == 36 and all(x["r"] is None for x in liked)
+    told = {}
+    for x in M.score_ratings(train, every, "u", "i", "r", blocks=2).collect():
+        told.setdefault(x["u"], []).append(x["prediction"])
+    for u in told:
+        mine = sorted((x["place"], x["prediction"]) for x in liked if x["u"] == u)
+        assert [p for p, _ in mine] == [1, 2, 3]
+        assert [p for _, p in mine] == pytest.approx(sorted(told[u], reverse=True)[:3], abs=1e-5)
+
+
+def test_als_recommend_recommends_parts_to_customers(spark):
+    import __spark_entry__ as entry
+
+    out = entry.queries()["als_recommend"](spark, entry.SMOKE_FOLDER).collect()
+    held_out = [x for x in out if x["place"] is None]
+    by_customer = {}
+    for x in out:
+        if x["place"] is not None:
+            by_customer.setdefault(x["o_custkey"], []).append(x["place"])
+    assert held_out and by_customer.keys() >= {x["o_custkey"] for x in held_out}
+    assert all(sorted(p) == [1, 2, 3] for p in by_customer.values())
